@@ -24,57 +24,69 @@ _PLAIN = rf"^(\S+(?:\s+\S+)*?)\s+((?:{_any_of(fixed.NAME_PARTICLES)}\s+)*\S+)$"
 _NICKNAME = r""""[^"]*"|\([^)]*\)|\[[^\]]*\]|(?<!\S)'[^']*'(?!\S)"""
 
 
-def _tidy(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+def split_names(authors: Column) -> Column:
+    """Family and given part of each author of a list, as structs ``family``, ``given``.
 
+    Known forms are ``Given Family``, ``Family, Given`` and ``Family; Given``. The family part
+    carries particles (``van``) and suffixes (``Jr.``), the given part middle names; titles and
+    nicknames are dropped. A single word is a given name.
 
-def _cut_suffix(text: Column, pattern: str) -> tuple[Column, Column]:
-    """The text before its trailing suffix words, and those words as an array."""
-    core = F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1)).otherwise(text)
-    words = F.split(F.trim(F.regexp_extract(text, pattern, 2)), " ")
-    return core, F.filter(words, lambda w: w != "")
+    Each step is a pass over the list, so that every pattern is tried once per name.
+    """
+    parts = F.transform(authors, _parts)
+    ordered = F.transform(parts, _in_order)
+    trimmed = F.transform(ordered, _without_suffix)
+    return F.transform(trimmed, _family_and_given)
 
 
-def _name(family: Column, given: Column, suffixes: Column) -> Column:
-    family = F.trim(F.concat_ws(" ", family, F.array_join(suffixes, ", ")))
-    return F.struct(family.alias("family"), F.trim(given).alias("given"))
+def creator_name(family: Column, given: Column) -> Column:
+    """``Family, Given`` without stray blanks or commas at either end."""
+    return F.btrim(F.concat(family, F.lit(", "), given), F.lit(" ,"))
 
 
-def _plain(text: Column, extra_suffixes: Column) -> Column:
-    """``Title Given Particle Family Suffix``; a single word is a given name."""
-    core, suffixes = _cut_suffix(F.regexp_replace(text, _TITLES, ""), _SUFFIX_AFTER_TWO)
-    several = core.rlike(_PLAIN)
-    return _name(
-        family=F.when(several, F.regexp_extract(core, _PLAIN, 2)).otherwise(F.lit("")),
-        given=F.when(several, F.regexp_extract(core, _PLAIN, 1)).otherwise(core),
-        suffixes=F.concat(suffixes, extra_suffixes),
+def _parts(author: Column) -> Column:
+    """What commas and semicolons separate, tidied, without empty parts."""
+    bare = F.regexp_replace(author, _NICKNAME, " ")
+    tidy = F.transform(F.split(bare, "[,;]"),
+                       lambda part: F.trim(F.regexp_replace(part, r"\s+", " ")))
+    return F.filter(tidy, lambda part: part != "")
+
+
+def _in_order(parts: Column) -> Column:
+    """The family part if it stands first, the other words, and suffixes in further parts."""
+    first, second = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    suffix_second = second.rlike(_ONLY_SUFFIXES) & first.contains(" ")
+    family_first = (F.size(parts) > 1) & ~suffix_second
+    words = F.when(family_first, second).otherwise(F.coalesce(first, F.lit("")))
+    return F.struct(
+        F.when(family_first, first).alias("family"),
+        F.regexp_replace(words, _TITLES, "").alias("words"),
+        F.slice(parts, F.when(family_first, 3).otherwise(2), F.greatest(F.size(parts), F.lit(1)))
+        .alias("suffixes"),
     )
 
 
-def _family_first(parts: Column) -> Column:
-    """``Family, Given`` with any further parts as suffixes."""
-    given, suffixes = _cut_suffix(F.regexp_replace(parts[1], _TITLES, ""), _SUFFIX_AFTER_ONE)
-    return _name(parts[0], given, F.concat(suffixes, F.slice(parts, 3, F.size(parts))))
-
-
-def author_name(author: Column) -> Column:
-    """Struct ``family``, ``given`` of one author.
-
-    Known forms are ``Given Family``, ``Family, Given`` and ``Family; Given``. The family part
-    carries suffixes (``Jr.``), the given part middle names; titles and nicknames are dropped.
-    """
-    bare = F.regexp_replace(author, _NICKNAME, " ")
-    parts = F.filter(F.transform(F.split(bare, "[,;]"), _tidy), lambda p: p != "")
-    no_suffix = F.array().cast("array<string>")
-    whole_then_suffix = parts[1].rlike(_ONLY_SUFFIXES) & parts[0].contains(" ")
-    return (
-        F.when(F.size(parts) == 0, _name(F.lit(""), F.lit(""), no_suffix))
-        .when(F.size(parts) == 1, _plain(parts[0], no_suffix))
-        .when(whole_then_suffix, _plain(parts[0], F.slice(parts, 2, F.size(parts))))
-        .otherwise(_family_first(parts))
+def _without_suffix(name: Column) -> Column:
+    """The words before their trailing suffixes, and all suffixes."""
+    family, words = name["family"], name["words"]
+    cut = lambda group: F.when(
+        family.isNull(), F.regexp_extract(words, _SUFFIX_AFTER_TWO, group)
+    ).otherwise(F.regexp_extract(words, _SUFFIX_AFTER_ONE, group))
+    found = F.filter(F.split(F.trim(cut(2)), " "), lambda w: w != "")
+    return F.struct(
+        family.alias("family"),
+        F.coalesce(F.nullif(cut(1), F.lit("")), words).alias("words"),
+        F.concat(found, name["suffixes"]).alias("suffixes"),
     )
 
 
-def creator_name(family: Column, given: Column) -> Column:
-    """``Family, Given`` without stray blanks or commas at either end."""
-    return F.btrim(F.concat(family, F.lit(", "), given), F.lit(" ,"))
+def _family_and_given(name: Column) -> Column:
+    family, words = name["family"], name["words"]
+    # Without a family part in front, the last word and particles before it are the family.
+    last = F.when(family.isNull(), F.regexp_extract(words, _PLAIN, 2)).otherwise(family)
+    given = F.when(family.isNull(), F.regexp_extract(words, _PLAIN, 1)).otherwise(words)
+    given = F.when(last == "", words).otherwise(given)
+    return F.struct(
+        F.trim(F.concat_ws(" ", last, F.array_join(name["suffixes"], ", "))).alias("family"),
+        F.trim(given).alias("given"),
+    )

@@ -12,6 +12,7 @@ from shelfmark.functions.locations import source_id
 from shelfmark.functions.status import status_word
 from shelfmark.functions.times import hour_number
 from shelfmark.operators.skew import ROWS_PER_TASK, lookup_join, number_rows, salted_join
+from shelfmark.session import checkpointed
 
 ORDER = ("submission_time", "source_key")
 
@@ -41,7 +42,7 @@ def resubmission_errors(incoming: DataFrame, submissions: DataFrame,
     """Adds ``error`` to incoming rows whose name exists already and that are no update."""
     known = submissions.select("source_name").distinct().withColumn("_known", F.lit(True))
     refused = F.col("_known").isNotNull() & ~F.coalesce(F.col("update"), F.lit(False))
-    return (salted_join(incoming, known, ["source_name"], "left", _own_columns(incoming),
+    return (salted_join(incoming, known, ["source_name"], "left", incoming.columns,
                         rows_per_task)
             .withColumn("error", F.when(refused, F.lit(fixed.ALREADY_SUBMITTED)))
             .drop("_known"))
@@ -55,7 +56,7 @@ def inherit(incoming: DataFrame, submissions: DataFrame, columns: Sequence[str],
     """
     latest = latest_versions(submissions, columns).withColumnsRenamed(
         {"version": "previous_version", **{c: f"_old_{c}" for c in columns}})
-    joined = salted_join(incoming, latest, ["source_name"], "left", _own_columns(incoming),
+    joined = salted_join(incoming, latest, ["source_name"], "left", incoming.columns,
                          rows_per_task)
     return (joined.withColumns({c: F.coalesce(c, f"_old_{c}") for c in columns})
             .drop(*[f"_old_{c}" for c in columns]))
@@ -90,7 +91,7 @@ def registered_organizations(submissions: DataFrame, registry: DataFrame,
     """Submissions with an organization that is not in the registry set to NULL."""
     known = registry.select("organization").distinct().withColumn("_known", F.lit(True))
     joined = lookup_join(submissions, known, ["organization"], "left",
-                         _own_columns(submissions), rows_per_task=rows_per_task)
+                         submissions.columns, rows_per_task=rows_per_task)
     return (joined.withColumn("organization",
                               F.when(F.col("_known").isNotNull(), F.col("organization")))
             .drop("_known"))
@@ -123,12 +124,10 @@ def with_ancestors(submissions: DataFrame, parents: DataFrame,
                    rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """One row per submission and organization: its own and that one's ancestors."""
     own = submissions.where(F.col("organization").isNotNull()).select("source_key", "organization")
-    lines = organization_ancestors(parents).select(
+    # Written once: the recursion would otherwise run for the size check and again for the join.
+    lines = checkpointed(organization_ancestors(parents)).select(
         F.col("org").alias("organization"), F.col("ancestor").alias("_ancestor"))
     above = lookup_join(own, lines, ["organization"], "inner", ["source_key"],
                         rows_per_task=rows_per_task)
     return own.unionByName(above.select("source_key", F.col("_ancestor").alias("organization")))
 
-
-def _own_columns(df: DataFrame) -> list[str]:
-    return df.columns

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from shelfmark import fixed
 from shelfmark.functions.documents import absent_if_blank, absent_if_empty, as_list
-from shelfmark.functions.names import author_name, creator_name
+from shelfmark.functions.names import creator_name, split_names
 
 _TEXTS = T.ArrayType(T.StringType())
 
@@ -44,11 +44,9 @@ def align_affiliations(authors: Column, affiliations: Column) -> Column:
 
 def creators(authors: Column, affiliations: Column) -> Column:
     """Creator structs from a list of authors and a list of affiliation lists."""
-    pairs = F.arrays_zip(authors.alias("author"),
+    pairs = F.arrays_zip(split_names(authors).alias("name"),
                          align_affiliations(authors, affiliations).alias("places"))
-    named = F.transform(pairs, lambda p: F.struct(author_name(p["author"]).alias("name"),
-                                                  p["places"].alias("places")))
-    return F.transform(named, lambda p: F.struct(
+    return F.transform(pairs, lambda p: F.struct(
         creator_name(p["name"]["family"], p["name"]["given"]).alias("creatorName"),
         p["name"]["family"].alias("familyName"),
         p["name"]["given"].alias("givenName"),

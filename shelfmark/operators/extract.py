@@ -91,11 +91,15 @@ def nested(fields: Mapping[str, Column]) -> list[Column]:
 
 
 def records(df: DataFrame, fields: Mapping[str, Column], keep: Sequence[str] = ()) -> DataFrame:
-    """Nested records of the mapped fields; rows in which none has a value are no records."""
+    """Nested records of the mapped fields; rows in which none has a value are no records.
+
+    A row yields a list of one record or none, which is spread out. As a filter the same test
+    would be moved below the mapping, and each document parsed twice.
+    """
     flat = {path: f"_f{n}" for n, path in enumerate(fields)}
-    found = F.coalesce(*[F.col(c).cast("string") for c in flat.values()]).isNotNull()
-    return (df.select(*keep, *[fields[path].alias(c) for path, c in flat.items()])
-            .where(found)
+    row = F.struct(*[fields[path].alias(c) for path, c in flat.items()])
+    has_value = lambda r: reduce(lambda a, b: a | b, [r[c].isNotNull() for c in flat.values()])
+    return (df.select(*keep, F.inline(F.filter(F.array(row), has_value)))
             .select(*keep, *nested({path: F.col(c) for path, c in flat.items()})))
 
 

@@ -26,14 +26,6 @@ def heavy_keys(df: DataFrame, keys: Sequence[str],
             .select(*keys, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_parts")))
 
 
-def same_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                  how: str = "left") -> DataFrame:
-    """Equi-join in which NULL keys match each other, keeping the left key columns."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
                 spread: Sequence[Column | str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Join on ``keys`` with the heavy keys of ``left`` split over several tasks.
@@ -71,18 +63,20 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_
     numbered slice by slice, each slice starting from the number of rows before it; all other
     keys are one slice, so that they need the usual single shuffle.
     """
-    keys = list(keys)
-    heavy = F.broadcast(heavy_keys(df, keys, rows_per_task))
+    # In a struct, NULL keys equal each other, so that they too can be heavy.
+    keyed = df.withColumn("_key", F.struct(*keys))
+    heavy = F.broadcast(heavy_keys(keyed, ["_key"], rows_per_task))
     is_heavy = F.col("_parts").isNotNull()
-    sliced = same_key_join(df, heavy, keys).withColumn(
+    sliced = keyed.join(heavy, "_key", "left").withColumn(
         "_slice", F.when(is_heavy, slice_by.cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
     before = (sliced.where(is_heavy)
-              .groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
+              .groupBy("_key", "_slice").agg(F.count("*").alias("_n"))
               .withColumn("_before", F.sum("_n").over(earlier)).drop("_n"))
-    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    # The plain keys are named too, so that filters on them reach the scan.
+    within = Window.partitionBy(*keys, "_key", "_slice").orderBy(*order)
     number = F.row_number().over(within) + F.coalesce(F.col("_before"), F.lit(0))
-    return (same_key_join(sliced, before, [*keys, "_slice"])
+    return (sliced.join(before, ["_key", "_slice"], "left")
             .withColumn(out, number.cast("bigint"))
-            .drop("_parts", "_slice", "_before"))
+            .drop("_key", "_parts", "_slice", "_before"))

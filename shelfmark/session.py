@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings; each may also be given at cluster level.
 SETTINGS = {
@@ -27,6 +27,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, and read from there from now on."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 

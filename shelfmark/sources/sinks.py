@@ -18,6 +18,9 @@ def write_submissions(submissions: DataFrame, path: str, placement_name: str = "
 
 def write_routed(df: DataFrame, path: str, by: str | Sequence[str],
                  mode: str = "errorifexists") -> None:
-    """Rows as parquet, one folder per route (``service``, ``test``, ``search_index``)."""
+    """Rows as parquet, one folder per route (``service``, ``test``, ``search_index``).
+
+    Rebalanced by route first: few files for a small route, several tasks for a large one.
+    """
     routes = [by] if isinstance(by, str) else list(by)
-    df.write.mode(mode).partitionBy(*routes).parquet(path)
+    df.hint("rebalance", *routes).write.mode(mode).partitionBy(*routes).parquet(path)

@@ -54,7 +54,7 @@ def run_fold(log: DataFrame, fold: Callable[[DataFrame], DataFrame], folder: str
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bucket = F.pmod(F.xxhash64("submission_id"), F.lit(buckets)).cast("int")
-        (batch.withColumn("bucket", bucket).repartition(buckets, "bucket", F.xxhash64("seq") % 8)
+        (batch.withColumn("bucket", bucket).hint("rebalance", "bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/log/batch={batch_id}"))
         stored = spark.read.parquet(f"{folder}/log")
         touched = (stored.where(F.col("batch") == batch_id)
