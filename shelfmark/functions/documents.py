@@ -44,12 +44,15 @@ def is_finite_json(text: Column) -> Column:
 
     The parser refuses the words ``NaN`` and ``Infinity`` but lets ``1e400`` overflow, and an
     overflowed number is written back as the text ``"Infinity"``: more such texts out than in
-    give it away.
+    give it away. Only a text with a three-digit exponent or very many digits can overflow.
     """
     value = F.try_parse_json(text)
     words = F.lit(r'"-?Infinity"')
     overflow = F.regexp_count(F.to_json(value), words) > F.regexp_count(text, words)
-    return F.when(text.isNull(), F.lit(True)).otherwise(value.isNotNull() & ~overflow)
+    suspect = text.rlike("[eE][+]?[0-9]{3}|[0-9]{300}")
+    return (F.when(text.isNull(), F.lit(True))
+            .when(suspect, value.isNotNull() & ~overflow)
+            .otherwise(value.isNotNull()))
 
 
 def parsed_values(col: Column) -> Column:

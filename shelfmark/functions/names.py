@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,10 +35,8 @@ def split_names(authors: Column) -> Column:
 
     Each step is a pass over the list, so that every pattern is tried once per name.
     """
-    parts = F.transform(authors, _parts)
-    ordered = F.transform(parts, _in_order)
-    trimmed = F.transform(ordered, _without_suffix)
-    return F.transform(trimmed, _family_and_given)
+    steps = [_parts, _in_order, _cut_suffixes, _cut_family, _joined]
+    return reduce(F.transform, steps, authors)
 
 
 def creator_name(family: Column, given: Column) -> Column:
@@ -66,27 +66,37 @@ def _in_order(parts: Column) -> Column:
     )
 
 
-def _without_suffix(name: Column) -> Column:
-    """The words before their trailing suffixes, and all suffixes."""
-    family, words = name["family"], name["words"]
-    cut = lambda group: F.when(
-        family.isNull(), F.regexp_extract(words, _SUFFIX_AFTER_TWO, group)
-    ).otherwise(F.regexp_extract(words, _SUFFIX_AFTER_ONE, group))
-    found = F.filter(F.split(F.trim(cut(2)), " "), lambda w: w != "")
+def _cut_suffixes(name: Column) -> Column:
+    """The words as a list: those before trailing suffixes, and the suffixes if there are any."""
+    return F.struct(
+        name["family"].alias("family"),
+        F.when(name["family"].isNull(), _halves(name["words"], _SUFFIX_AFTER_TWO))
+        .otherwise(_halves(name["words"], _SUFFIX_AFTER_ONE)).alias("halves"),
+        name["suffixes"].alias("suffixes"),
+    )
+
+
+def _cut_family(name: Column) -> Column:
+    """Without a family part in front, the last word and the particles before it are the family."""
+    words = name["halves"][0]
+    found = F.filter(F.split(F.trim(F.get(name["halves"], F.lit(1))), " "), lambda w: w != "")
     return F.struct(
-        family.alias("family"),
-        F.coalesce(F.nullif(cut(1), F.lit("")), words).alias("words"),
-        F.concat(found, name["suffixes"]).alias("suffixes"),
+        name["family"].alias("family"),
+        F.when(name["family"].isNull(), _halves(words, _PLAIN)).otherwise(F.array(words))
+        .alias("halves"),
+        F.concat(F.coalesce(found, F.array().cast("array<string>")), name["suffixes"])
+        .alias("suffixes"),
     )
 
 
-def _family_and_given(name: Column) -> Column:
-    family, words = name["family"], name["words"]
-    # Without a family part in front, the last word and particles before it are the family.
-    last = F.when(family.isNull(), F.regexp_extract(words, _PLAIN, 2)).otherwise(family)
-    given = F.when(family.isNull(), F.regexp_extract(words, _PLAIN, 1)).otherwise(words)
-    given = F.when(last == "", words).otherwise(given)
+def _joined(name: Column) -> Column:
+    last = F.coalesce(name["family"], F.get(name["halves"], F.lit(1)))
     return F.struct(
         F.trim(F.concat_ws(" ", last, F.array_join(name["suffixes"], ", "))).alias("family"),
-        F.trim(given).alias("given"),
+        F.trim(name["halves"][0]).alias("given"),
     )
+
+
+def _halves(text: Column, pattern: str) -> Column:
+    """Both groups of the pattern, or the whole text where it does not match."""
+    return F.split(F.regexp_replace(text, pattern, "$1\n$2"), "\n")

@@ -27,52 +27,51 @@ def tabular_na(na_values: NaValues) -> NaValues:
     return fixed.TABULAR_NA_VALUES if na_values is None else na_values
 
 
-def json_fields(document: Column, mapping: Mapping[str, str],
-                types: Mapping[str, str] | None = None,
-                na_values: NaValues = None) -> dict[str, Column]:
-    """Target fields read from dotted source paths in JSON text; a missing path is NULL."""
-    value = F.try_parse_json(document)
-    return {target: _typed(without_na(
-        F.try_variant_get(value, _variant_path(source), "string"), na_values), target, types)
-        for target, source in mapping.items()}
+def json_records(df: DataFrame, document: Column, mapping: Mapping[str, str],
+                 types: Mapping[str, str] | None = None, na_values: NaValues = None,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """Records from dotted paths in JSON text."""
+    parsed = _parsed_once(df, F.try_parse_json(document), keep)
+    return records(parsed, {
+        target: _value(F.try_variant_get("_parsed", _variant_path(source), "string"), target,
+                       types, na_values) for target, source in mapping.items()}, keep)
+
+
+def csv_records(df: DataFrame, line: Column, header: Sequence[str], mapping: Mapping[str, str],
+                delimiter: str = ",", types: Mapping[str, str] | None = None,
+                na_values: NaValues = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Records from named cells of delimited text."""
+    cells = ", ".join(f"`{name}` string" for name in header)
+    parsed = _parsed_once(df, F.from_csv(line, cells, {"sep": delimiter}), keep)
+    return _struct_records(parsed, mapping, types, tabular_na(na_values), keep)
+
+
+def xml_records(df: DataFrame, document: Column, mapping: Mapping[str, str],
+                types: Mapping[str, str] | None = None, na_values: NaValues = None,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """Records from dotted element paths in XML text."""
+    row = F.from_xml(document, nested_schema(list(mapping.values())).simpleString())
+    return _struct_records(_parsed_once(df, row, keep), mapping, types, na_values, keep)
+
+
+def name_records(df: DataFrame, name: Column, patterns: Mapping[str, str],
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """Records from a name by regular expressions, by their first group if they have one."""
+    groups = {f"_g{n}": F.regexp_extract(name, pattern, min(1, re.compile(pattern).groups))
+              for n, pattern in enumerate(patterns.values())}
+    parsed = _parsed_once(df, F.struct(*[c.alias(g) for g, c in groups.items()]), keep)
+    return records(parsed, {target: F.nullif(F.col(f"_parsed.{g}"), F.lit(""))
+                            for target, g in zip(patterns, groups)}, keep)
 
 
 def struct_fields(schema: T.StructType, mapping: Mapping[str, str],
                   types: Mapping[str, str] | None = None,
                   na_values: NaValues = None) -> dict[str, Column]:
     """Target fields read from columns or nested fields; those the schema lacks are NULL."""
-    return {target: _typed(without_na(_column_or_null(schema, source), na_values), target, types)
-            for target, source in mapping.items()}
-
-
-def csv_fields(line: Column, header: Sequence[str], mapping: Mapping[str, str],
-               delimiter: str = ",", na_values: NaValues = None,
-               types: Mapping[str, str] | None = None) -> dict[str, Column]:
-    """Target fields read from named cells of delimited text."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    cells = F.from_csv(line, schema.simpleString()[len("struct<"):-1].replace(":", " "),
-                       {"sep": delimiter})
-    missing = F.lit(None).cast("string")
-    return {target: _typed(without_na(cells[source] if source in header else missing,
-                                      tabular_na(na_values)), target, types)
-            for target, source in mapping.items()}
-
-
-def xml_fields(document: Column, mapping: Mapping[str, str],
-               types: Mapping[str, str] | None = None) -> dict[str, Column]:
-    """Target fields read from dotted element paths in XML text."""
-    row = F.from_xml(document, nested_schema(list(mapping.values())).simpleString())
-    return {target: _typed(reduce(lambda c, name: c[name], source.split("."), row), target, types)
+    return {target: _value(_column_or_null(schema, source), target, types, na_values)
             for target, source in mapping.items()}
 
 
-def pattern_fields(name: Column, patterns: Mapping[str, str]) -> dict[str, Column]:
-    """Target fields found by regular expressions, by their first group if they have one."""
-    return {target: F.when(name.rlike(pattern), F.regexp_extract(
-        name, pattern, min(1, re.compile(pattern).groups)))
-        for target, pattern in patterns.items()}
-
-
 def nested_schema(paths: Sequence[str]) -> T.StructType:
     """The struct type with a text leaf at each dotted path, for readers to take only those."""
     tree: dict = {}
@@ -91,15 +90,11 @@ def nested(fields: Mapping[str, Column]) -> list[Column]:
 
 
 def records(df: DataFrame, fields: Mapping[str, Column], keep: Sequence[str] = ()) -> DataFrame:
-    """Nested records of the mapped fields; rows in which none has a value are no records.
-
-    A row yields a list of one record or none, which is spread out. As a filter the same test
-    would be moved below the mapping, and each document parsed twice.
-    """
+    """Nested records of the mapped fields; rows in which none has a value are no records."""
     flat = {path: f"_f{n}" for n, path in enumerate(fields)}
-    row = F.struct(*[fields[path].alias(c) for path, c in flat.items()])
-    has_value = lambda r: reduce(lambda a, b: a | b, [r[c].isNotNull() for c in flat.values()])
-    return (df.select(*keep, F.inline(F.filter(F.array(row), has_value)))
+    has_value = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in flat.values()])
+    return (df.select(*keep, *[fields[path].alias(c) for path, c in flat.items()])
+            .where(has_value)
             .select(*keep, *nested({path: F.col(c) for path, c in flat.items()})))
 
 
@@ -126,11 +121,27 @@ def group_by_directory(files: DataFrame, location: str, fields: Sequence[str]) -
                  F.max(location).alias("last_file"), *merged))
 
 
+def _parsed_once(df: DataFrame, value: Column, keep: Sequence[str]) -> DataFrame:
+    """The value as column ``_parsed``, computed once per row.
+
+    It goes through a list of one, as an optimizer would otherwise repeat the parsing wherever
+    the column is used, in the filter and for every field.
+    """
+    return df.select(*keep, F.explode(F.array(value)).alias("_parsed"))
+
+
+def _struct_records(parsed: DataFrame, mapping, types, na_values, keep) -> DataFrame:
+    paths = {target: f"_parsed.{source}" for target, source in mapping.items()}
+    return records(parsed, struct_fields(parsed.schema, paths, types, na_values), keep)
+
+
 def _variant_path(source: str) -> str:
     return "$" + "".join(f"['{name}']" for name in source.split("."))
 
 
-def _typed(col: Column, target: str, types: Mapping[str, str] | None) -> Column:
+def _value(col: Column, target: str, types: Mapping[str, str] | None,
+           na_values: NaValues) -> Column:
+    col = without_na(col, na_values)
     return col.try_cast(types[target]) if types and target in types else col
 
 

@@ -264,32 +264,39 @@ def _dc(spark, folder):
     }, default_publisher=PUBLISHER, as_of_year=AS_OF_YEAR)
 
 
+def _spread(df, column, name):
+    """Items of a list with their position.
+
+    The outer form keeps Spark from testing the list for emptiness first, which would build it
+    twice; the rows of empty lists go afterwards.
+    """
+    items = df.select("submission_id", F.posexplode_outer(column).alias("pos", name))
+    return items.where("pos is not null")
+
+
 @query
 def dc_titles(spark, folder):
-    return (_dc(spark, folder).select("submission_id", F.posexplode("dc.titles"))
-            .select("submission_id", "pos", "col.title"))
+    return _spread(_dc(spark, folder), "dc.titles", "item").select(
+        "submission_id", "pos", "item.title")
 
 
 @query
 def dc_author_names(spark, folder):
-    return (_dc(spark, folder).select("submission_id", F.posexplode("dc.creators"))
-            .select("submission_id", "pos", F.col("col.creatorName").alias("creator_name"),
-                    F.col("col.familyName").alias("family"),
-                    F.col("col.givenName").alias("given")))
+    return _spread(_dc(spark, folder), "dc.creators", "creator").select(
+        "submission_id", "pos", F.col("creator.creatorName").alias("creator_name"),
+        F.col("creator.familyName").alias("family"), F.col("creator.givenName").alias("given"))
 
 
 @query
 def dc_affiliations(spark, folder):
-    creators = _dc(spark, folder).select(
-        "submission_id", F.posexplode("dc.creators").alias("author_pos", "creator"))
-    return creators.select("submission_id", "author_pos",
+    creators = _spread(_dc(spark, folder), "dc.creators", "creator")
+    return creators.select("submission_id", F.col("pos").alias("author_pos"),
                            F.posexplode("creator.affiliations").alias("pos", "affiliation"))
 
 
 @query
 def dc_creators(spark, folder):
-    creators = _dc(spark, folder).select(
-        "submission_id", F.posexplode("dc.creators").alias("pos", "creator"))
+    creators = _spread(_dc(spark, folder), "dc.creators", "creator")
     return creators.select("submission_id", "pos",
                            F.col("creator.creatorName").alias("creator_name"),
                            F.array_join("creator.affiliations", "|").alias("affiliations"))
@@ -320,16 +327,16 @@ def dc_optional(spark, folder):
 
 @query
 def dc_related(spark, folder):
-    return (_dc(spark, folder).select("submission_id", F.posexplode("dc.relatedIdentifiers"))
-            .select("submission_id", "pos", F.col("col.relatedIdentifier").alias("related"),
-                    F.col("col.relatedIdentifierType").alias("related_type"),
-                    F.col("col.relationType").alias("relation")))
+    return _spread(_dc(spark, folder), "dc.relatedIdentifiers", "item").select(
+        "submission_id", "pos", F.col("item.relatedIdentifier").alias("related"),
+        F.col("item.relatedIdentifierType").alias("related_type"),
+        F.col("item.relationType").alias("relation"))
 
 
 @query
 def dc_subjects(spark, folder):
-    return (_dc(spark, folder).select("submission_id", F.posexplode("dc.subjects"))
-            .select("submission_id", "pos", "col.subject"))
+    return _spread(_dc(spark, folder), "dc.subjects", "item").select(
+        "submission_id", "pos", "item.subject")
 
 
 @query
@@ -381,9 +388,8 @@ def coerce_list(spark, folder):
              .when(key % 3 == 1, F.concat(F.lit('["'), "subject1", F.lit('", "'), "tag1",
                                           F.lit('"]')))
              .otherwise(F.col("size").cast("string")))
-    return (views.dc_input(spark, folder)
-            .select("submission_id", F.posexplode(documents.json_as_list(value)))
-            .select("submission_id", "pos", F.col("col").alias("item")))
+    listed = views.dc_input(spark, folder).withColumn("list", documents.json_as_list(value))
+    return _spread(listed, "list", "item")
 
 
 # --- submissions ------------------------------------------------------------
@@ -703,16 +709,19 @@ DOCUMENT_TYPES = {"crystal_structure.number_of_atoms": "int",
 @query
 def index_json(spark, folder):
     mapping = {"reading.k": "k", "reading.y": "x.y"}
-    fields = extract.json_fields(F.col("props"), mapping, {"reading.k": "bigint"})
-    return extract.records(views.table(spark, folder, "events"), fields, keep=["event_id"]).select(
-        "event_id", "reading.k", "reading.y")
+    return extract.json_records(
+        views.table(spark, folder, "events"), F.col("props"), mapping, {"reading.k": "bigint"},
+        keep=["event_id"]).select("event_id", "reading.k", "reading.y")
+
+
+def _document_records(spark, folder):
+    return extract.json_records(views.part_documents(spark, folder), F.col("document"),
+                                DOCUMENT_MAPPING, DOCUMENT_TYPES, keep=["p_partkey"])
 
 
 @query
 def index_nested(spark, folder):
-    docs = views.part_documents(spark, folder)
-    fields = extract.json_fields(F.col("document"), DOCUMENT_MAPPING, DOCUMENT_TYPES)
-    return extract.records(docs, fields, keep=["p_partkey"]).select(
+    return _document_records(spark, folder).select(
         "p_partkey", "material.composition", "crystal_structure.number_of_atoms",
         "crystal_structure.space_group_number", "dft.converged")
 
@@ -723,10 +732,9 @@ LINE_MAPPING = {"line.number": "number", "line.flag": "flag", "line.status": "st
 
 
 def _line_records(spark, folder, na_values=None):
-    fields = extract.csv_fields(F.col("line"), LINE_HEADER, LINE_MAPPING, "#", na_values,
-                                {"line.number": "int"})
-    return extract.records(views.delimited(spark, folder), fields,
-                           keep=["l_orderkey", "l_linenumber", "l_partkey"])
+    return extract.csv_records(
+        views.delimited(spark, folder), F.col("line"), LINE_HEADER, LINE_MAPPING, "#",
+        {"line.number": "int"}, na_values, keep=["l_orderkey", "l_linenumber", "l_partkey"])
 
 
 @query
@@ -745,10 +753,9 @@ def index_xml(spark, folder):
     df = views.table(spark, folder, "part").select("p_partkey", F.concat(
         F.lit("<entry><mat><comp>"), "p_type", F.lit("</comp></mat><size>"),
         F.col("p_size").cast("string"), F.lit("</size></entry>")).alias("document"))
-    fields = extract.xml_fields(F.col("document"), {
+    return extract.xml_records(df, F.col("document"), {
         "material.composition": "mat.comp", "material.size": "size", "material.gone": "mat.gone",
-    }, {"material.size": "int"})
-    return extract.records(df, fields, keep=["p_partkey"]).select("p_partkey", "material.*")
+    }, {"material.size": "int"}, keep=["p_partkey"]).select("p_partkey", "material.*")
 
 
 @query
@@ -767,8 +774,8 @@ NAME_PATTERNS = {"page.number": r"^(\d+)", "page.kind": r"\.([a-z]+)", "page.vie
 
 def _page_fields(spark, folder):
     name = locations.file_name(F.col("url"))
-    return extract.records(views.locations(spark, folder),
-                           extract.pattern_fields(name, NAME_PATTERNS), keep=["page_id", "url"])
+    return extract.name_records(views.locations(spark, folder), name, NAME_PATTERNS,
+                                keep=["page_id", "url"])
 
 
 @query
@@ -784,10 +791,8 @@ def group_by_dir(spark, folder):
 
 @query
 def index_union(spark, folder):
-    docs = extract.json_fields(F.col("document"), DOCUMENT_MAPPING, DOCUMENT_TYPES)
-    from_json = extract.records(
-        views.part_documents(spark, folder), docs, keep=["p_partkey"],
-    ).select("p_partkey", "material.composition", "crystal_structure.space_group_number")
+    from_json = _document_records(spark, folder).select(
+        "p_partkey", "material.composition", "crystal_structure.space_group_number")
     from_csv = _line_records(spark, folder).select(
         F.col("l_partkey").alias("p_partkey"), F.col("line.flag").alias("composition"),
         "line.status")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators.extract import (
-    NaValues, json_fields, nested_schema, pattern_fields, records, struct_fields, tabular_na,
+    NaValues, json_records, name_records, nested_schema, records, struct_fields, tabular_na,
 )
 
 Mapped = Mapping[str, str]
@@ -55,7 +55,7 @@ def read_file_names(spark: SparkSession, path: str, patterns: Mapped) -> DataFra
     """Records from file names by regular expressions; the files' content is not read."""
     files = spark.read.format("binaryFile").load(path).select(
         F.col("path").alias("file"), F.regexp_extract("path", "[^/]*$", 0).alias("name"))
-    return records(files, pattern_fields(F.col("name"), patterns), keep=["file"])
+    return name_records(files, F.col("name"), patterns, keep=["file"])
 
 
 def yaml_records(df: DataFrame, text: str, mapping: Mapped, types: Mapped | None = None,
@@ -70,7 +70,7 @@ def yaml_records(df: DataFrame, text: str, mapping: Mapped, types: Mapped | None
     out = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]],
                      "_json string"])
     as_json = kept.mapInPandas(_yaml_to_json, out)
-    return records(as_json, json_fields(F.col("_json"), mapping, types, na_values), keep)
+    return json_records(as_json, F.col("_json"), mapping, types, na_values, keep)
 
 
 def _yaml_to_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

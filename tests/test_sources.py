@@ -32,8 +32,8 @@ def test_json_file(spark, tmp_path):
 
 def test_json_text_and_types(spark):
     df = spark.createDataFrame([(json.dumps(DOCUMENT),), ("{broken",)], "doc string")
-    fields = extract.json_fields(F.col("doc"), MAPPING, {"crystal_structure.number_of_atoms": "int"})
-    got = values(extract.records(df, fields))
+    got = values(extract.json_records(df, F.col("doc"), MAPPING,
+                                      {"crystal_structure.number_of_atoms": "int"}))
     assert got == [{**RECORD, "crystal_structure": {"number_of_atoms": 1,
                                                     "space_group_number": "10"}}]
 
@@ -76,8 +76,8 @@ def test_file_names(spark, tmp_path):
 
 def test_names_with_odd_characters(spark):
     df = spark.createDataFrame([('{"a b": {"c\'d": 1}}',)], "doc string")
-    path = extract.json_fields(F.col("doc"), {"x": "a b"})
-    assert values(extract.records(df, path)) == [{"x": '{"c\'d":1}'}]
+    got = extract.json_records(df, F.col("doc"), {"x": "a b"})
+    assert values(got) == [{"x": '{"c\'d":1}'}]
 
 
 @pytest.mark.parametrize("na, want", [(None, "v"), ("v", None), (["a", "v"], None), ([], "v")])
