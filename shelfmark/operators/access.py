@@ -6,8 +6,6 @@ alone. Lists are matched against a table of principals entry by entry, as an equ
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +40,9 @@ def visible_records(submissions: DataFrame, principals: DataFrame, key: str,
 
 def curation_identities(memberships: DataFrame, requesters: DataFrame) -> DataFrame:
     """The requesters themselves and the groups they manage or administer."""
-    groups = (memberships.where(F.col("role").isin("manager", "admin"))
-              .join(requesters, "principal", "left_semi")
+    leading = memberships.where(F.col("role").isin("manager", "admin"))
+    groups = (lookup_join(leading, requesters.select("principal"), ["principal"], "left_semi",
+                          ["group"])
               .select(F.col("group").alias("principal")))
     return requesters.select("principal").unionByName(groups).distinct()
 
@@ -59,7 +58,7 @@ def not_public(tasks: DataFrame) -> DataFrame:
     return tasks.where(~F.array_contains(base_acl(F.col("acl")), fixed.PUBLIC))
 
 
-def _matching(df: DataFrame, acl: Column, principals: DataFrame, key: str | Sequence[str],
+def _matching(df: DataFrame, acl: Column, principals: DataFrame, key: str,
               rows_per_task: int) -> DataFrame:
     entries = df.select(key, F.explode(acl).alias("principal"))
     spark = df.sparkSession

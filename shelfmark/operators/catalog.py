@@ -79,11 +79,13 @@ def last_update(updates: DataFrame, columns: Sequence[str], order: Column) -> Da
     return updates.groupBy("source_id").agg(last).select("source_id", "_last.*")
 
 
-def eligible_updates(updates: DataFrame, catalog: DataFrame) -> DataFrame:
+def eligible_updates(updates: DataFrame, catalog: DataFrame,
+                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Metadata updates by the owner of a submission that has finished and succeeded."""
     done = ~F.col("active") & (status_word(F.col("status_code")) == "Succeeded")
     open_to = catalog.where(done).select("source_id", F.col("owner").alias("requester"))
-    return updates.join(open_to, ["source_id", "requester"], "left_semi")
+    return salted_join(updates, open_to, ["source_id", "requester"], "left_semi",
+                       updates.columns, rows_per_task)
 
 
 def registered_organizations(submissions: DataFrame, registry: DataFrame,
@@ -103,10 +105,7 @@ def organization_ancestors(parents: DataFrame, max_depth: int = 100) -> DataFram
     ``parents`` has one row ``(org, parent)`` per organization. A chain longer than
     ``max_depth``, such as a cycle, fails the query rather than being cut short.
     """
-    spark = parents.sparkSession
-    # Ancestors grow with the registry, so the default cap on recursive rows must not apply.
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    return spark.sql(
+    return parents.sparkSession.sql(
         f"""
         WITH RECURSIVE ancestors (org, ancestor, depth) MAX RECURSION LEVEL {int(max_depth)} AS (
           SELECT org, parent, 1 FROM {{parents}}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import fixed
 from shelfmark.functions.times import iso_time
+from shelfmark.operators.skew import ROWS_PER_TASK, salted_join
 from shelfmark.operators.validate import verdict, verdict_error
 
 
@@ -49,8 +50,10 @@ def apply_verdicts(tasks: DataFrame, verdicts: DataFrame, order: str) -> DataFra
     return tasks.join(decided, "source_id").withColumn("outcome", outcome)
 
 
-def unknown_verdicts(verdicts: DataFrame, tasks: DataFrame) -> DataFrame:
+def unknown_verdicts(verdicts: DataFrame, tasks: DataFrame,
+                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Valid verdicts on tasks that do not exist, with the error text."""
-    return (usable_verdicts(verdicts)
-            .join(tasks.select("source_id"), "source_id", "left_anti")
+    usable = usable_verdicts(verdicts)
+    return (salted_join(usable, tasks.select("source_id"), ["source_id"], "left_anti",
+                        usable.columns, rows_per_task)
             .withColumn("error", F.lit(fixed.TASK_NOT_FOUND)))

@@ -82,6 +82,9 @@ def nested_schema(paths: Sequence[str]) -> T.StructType:
 
 def nested(fields: Mapping[str, Column]) -> list[Column]:
     """Columns nested by their dotted names; a struct without any value is NULL."""
+    for path in fields:
+        if any(other.startswith(f"{path}.") for other in fields):
+            raise ValueError(f"field {path!r} is both a value and a block")
     tree: dict = {}
     for path, col in fields.items():
         *parents, leaf = path.split(".")
@@ -152,7 +155,7 @@ def _column_or_null(schema: T.StructType, source: str) -> Column:
             return F.lit(None).cast("string")
         col = F.col(f"`{name}`") if col is None else col[name]
         kind = kind[name].dataType
-    return col
+    return F.to_json(col) if isinstance(kind, T.StructType) else col
 
 
 def _tree_type(tree: dict) -> T.StructType:

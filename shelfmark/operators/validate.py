@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark import fixed
 from shelfmark.functions import locations
-from shelfmark.functions.documents import is_finite_json
+from shelfmark.functions.documents import is_finite_json, is_finite_number
 
 
 def required_arguments(title: Column, authors: Column) -> Column:
@@ -32,6 +35,12 @@ def finite_json(name: str, text: Column) -> Column:
     return F.when(~is_finite_json(text), F.lit(f"Error: Your {name} is invalid"))
 
 
+def finite_values(name: str, col: Column, data_type: T.DataType) -> Column:
+    """No number at any depth of a typed block may be NaN or infinite."""
+    return F.when(~F.coalesce(_is_finite(col, data_type), F.lit(True)),
+                  F.lit(f"Error: Your {name} is invalid"))
+
+
 def custom_keys(custom: Column, limit: int = 10) -> Column:
     """At most ten custom fields; their ``_desc`` entries do not count."""
     return F.when(F.size(_fields(custom)) > limit,
@@ -83,6 +92,21 @@ def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validated.where(is_accepted), validated.where(~is_accepted)
 
 
+def _is_finite(col: Column, data_type: T.DataType) -> Column:
+    """Whether all numbers in a value are finite; NULL where there is nothing to test."""
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return is_finite_number(col)
+    if isinstance(data_type, T.StructType):
+        tests = [F.coalesce(_is_finite(col[f.name], f.dataType), F.lit(True)) for f in data_type]
+        return reduce(and_, tests, F.lit(True))
+    if isinstance(data_type, T.ArrayType):
+        return F.forall(col, lambda x: F.coalesce(_is_finite(x, data_type.elementType),
+                                                  F.lit(True)))
+    if isinstance(data_type, T.MapType):
+        return _is_finite(F.map_values(col), T.ArrayType(data_type.valueType))
+    return F.lit(True)
+
+
 def _fields(custom: Column) -> Column:
     return F.filter(F.map_keys(custom), lambda k: ~k.endswith("_desc"))
 

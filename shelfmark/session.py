@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A repeated key in a JSON object keeps its last value instead of failing the parse.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The ancestors of a large registry outgrow the default cap on recursive rows.
+    "spark.sql.cteRecursionRowLimit": "-1",
 }
 
 

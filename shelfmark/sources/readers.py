@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.extract import (
     NaValues, json_records, name_records, nested_schema, records, struct_fields, tabular_na,
+    union_records,
 )
 
 Mapped = Mapping[str, str]
@@ -58,6 +59,30 @@ def read_file_names(spark: SparkSession, path: str, patterns: Mapped) -> DataFra
     return name_records(files, F.col("name"), patterns, keep=["file"])
 
 
+def read_indexed(spark: SparkSession, paths: Mapping[str, str], index: Mapping[str, Mapping],
+                 row_tag: str = "record", types: Mapped | None = None) -> DataFrame:
+    """Records of all data types of a submission, by its index configuration.
+
+    ``index`` gives each data type its ``mapping`` and, where wanted, ``delimiter`` and
+    ``na_values``; ``paths`` says where the files of that type are. Records carry ``data_type``.
+    """
+    readers = {
+        "json": lambda path, c: read_json(spark, path, c["mapping"], types, c.get("na_values")),
+        "csv": lambda path, c: read_csv(spark, path, c["mapping"], c.get("delimiter") or ",",
+                                        types, c.get("na_values")),
+        "xml": lambda path, c: read_xml(spark, path, c["mapping"], row_tag, types,
+                                        c.get("na_values")),
+        "yaml": lambda path, c: read_yaml(spark, path, c["mapping"], types, c.get("na_values")),
+        "filename": lambda path, c: read_file_names(spark, path, c["mapping"]),
+    }
+    unknown = set(index) - set(readers)
+    if unknown:
+        raise ValueError(f"no reader for data types {sorted(unknown)}")
+    return union_records(*[
+        readers[kind](paths[kind], config).withColumn("data_type", F.lit(kind))
+        for kind, config in index.items()])
+
+
 def yaml_records(df: DataFrame, text: str, mapping: Mapped, types: Mapped | None = None,
                  na_values: NaValues = None, keep: list[str] | None = None) -> DataFrame:
     """Records from a column of YAML text, one per document in it.

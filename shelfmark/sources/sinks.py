@@ -24,3 +24,14 @@ def write_routed(df: DataFrame, path: str, by: str | Sequence[str],
     """
     routes = [by] if isinstance(by, str) else list(by)
     df.hint("rebalance", *routes).write.mode(mode).partitionBy(*routes).parquet(path)
+
+
+def write_catalog(catalog: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The catalog as parquet, tests apart from live entries, in order of source name.
+
+    Files then cover narrow ranges of names, so that a lookup by name or source id reads few of
+    them. The range is taken over the unique key as well, which splits a name with many entries.
+    """
+    (catalog.repartitionByRange("test", "source_name", "source_key")
+     .sortWithinPartitions("test", "source_name", "source_key")
+     .write.mode(mode).partitionBy("test").parquet(path))

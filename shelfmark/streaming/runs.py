@@ -64,23 +64,20 @@ def run_fold(log: DataFrame, fold: Callable[[DataFrame], DataFrame], folder: str
         history = stored.where(F.col("bucket").isin(numbers) & (F.col("batch") <= batch_id))
         whole = salted_join(history.drop("bucket", "batch"), touched.select("submission_id"),
                             ["submission_id"], "left_semi", ["seq"], rows_per_task)
-        # A submission whose fold is empty leaves a row that replaces its earlier state.
-        folded = fold(whole).withColumn("present", F.lit(True))
-        empty = (touched.select("submission_id")
-                 .join(folded.select("submission_id").distinct(), "submission_id", "left_anti"))
-        (folded.unionByName(empty.withColumn("present", F.lit(False)), allowMissingColumns=True)
-         .write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}"))
+        fold(whole).write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+        # Written last: only now does the batch count for these submissions.
+        (touched.select("submission_id")
+         .write.mode("overwrite").parquet(f"{folder}/touched/batch={batch_id}"))
 
     _run(log.writeStream.outputMode("append"), write, folder)
 
 
 def read_fold(spark: SparkSession, folder: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The state of every submission as its last micro-batch left it."""
-    state = spark.read.parquet(f"{folder}/state")
-    last = state.groupBy("submission_id").agg(F.max("batch").alias("batch"))
-    return (salted_join(state, last, ["submission_id", "batch"], "left_semi",
-                        [F.col(c) for c in state.columns], rows_per_task)
-            .where("present").drop("present", "batch"))
+    """The state of every submission as the last micro-batch that touched it left it."""
+    touched, state = (spark.read.parquet(f"{folder}/{part}") for part in ("touched", "state"))
+    last = touched.groupBy("submission_id").agg(F.max("batch").alias("batch"))
+    return salted_join(state, last, ["submission_id", "batch"], "left_semi", state.columns,
+                       rows_per_task).drop("batch")
 
 
 def _run(writer, write: Callable[[DataFrame, int], None], folder: str) -> None:

@@ -100,3 +100,29 @@ def test_union_and_passthrough(spark):
     assert got.columns == ["id", "only_a", "only_b"] and got.count() == 2
     df = spark.sql("select * from values (1, true), (2, false), (3, null) as t(id, no_extract)")
     assert sorted(r["id"] for r in extract.extractable(df).collect()) == [2, 3]
+
+
+def test_index_configuration(spark, tmp_path):
+    (tmp_path / "j").mkdir()
+    (tmp_path / "c").mkdir()
+    (tmp_path / "j" / "a.json").write_text(json.dumps(DOCUMENT))
+    (tmp_path / "c" / "b.csv").write_text("h1;h2\nFe;1\n")
+    index = {"json": {"mapping": MAPPING},
+             "csv": {"mapping": {"material.composition": "h1"}, "delimiter": ";"},
+             "filename": {"mapping": {"run.name": r"^(\w)\."}}}
+    paths = {"json": str(tmp_path / "j"), "csv": str(tmp_path / "c"),
+             "filename": str(tmp_path / "c")}
+    got = {r["data_type"]: r for r in readers.read_indexed(spark, paths, index).collect()}
+    assert got["json"]["material"]["composition"] == "H"
+    assert got["csv"]["material"]["composition"] == "Fe" and got["csv"]["run"] is None
+    assert got["filename"]["run"]["name"] == "b"
+    with pytest.raises(ValueError):
+        readers.read_indexed(spark, {}, {"excel": {"mapping": {}}})
+
+
+def test_a_block_as_value_and_clashing_targets(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"a": {"b": 1}}')
+    got = values(readers.read_json(spark, str(tmp_path), {"whole": "a", "part": "a.b"}))
+    assert got == [{"whole": '{"b":"1"}', "part": "1"}]
+    with pytest.raises(ValueError):
+        extract.nested({"x": F.lit(1), "x.y": F.lit(2)})

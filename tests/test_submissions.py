@@ -9,7 +9,7 @@ from shelfmark.functions.documents import (
     as_list, canonical_json, is_finite_json, is_finite_number, json_as_list, with_descriptions,
 )
 from shelfmark.operators import submission, validate
-from shelfmark.sources.sinks import write_routed, write_submissions
+from shelfmark.sources.sinks import write_catalog, write_routed, write_submissions
 
 EMPTY = {"dc": {}, "data_sources": [], "test": False, "update": False, "placement": {},
          "update_metadata_only": False}
@@ -154,3 +154,25 @@ def test_required_blocks(rows, has_dc, sources, only, bad):
 def test_verdict_error(rows, action, want):
     (error,), = rows([(action,)], "a string", e=validate.verdict_error(F.col("a")))
     assert error is None if want is None else error.startswith(want)
+
+
+def test_finite_values_at_any_depth(spark):
+    df = spark.sql("""select id, named_struct('x', x, 'in', array(map('k', named_struct('y', y))))
+        as block from values (1, 1D, 2F), (2, double('NaN'), 2F), (3, 1D, float('-Infinity')),
+        (4, null, null) as t(id, x, y)""")
+    error = validate.finite_values("block", F.col("block"), df.schema["block"].dataType)
+    assert [r["id"] for r in df.where(error.isNotNull()).collect()] == [2, 3]
+
+
+def test_catalog_layout(spark, tmp_path):
+    df = spark.range(2000).select(
+        F.col("id").alias("source_key"), (F.col("id") % 10 == 0).alias("test"),
+        F.format_string("n%04d", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")))
+        .alias("source_name"))
+    path = str(tmp_path / "catalog")
+    write_catalog(df, path)
+    back = spark.read.schema(df.schema).parquet(path)
+    assert back.count() == 2000
+    plan = back.where("not test and source_name = 'n0007'")._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(test" in plan.toString()
+    assert "EqualTo(source_name,n0007)" in plan.toString()
