@@ -19,10 +19,11 @@ from shelfmark.operators.skew import ROWS_PER_TASK, number_rows, salted_join
 FIELD = ("submission_id", "key")
 
 
-def appended(log: DataFrame, slice_by: Column, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def appended(log: DataFrame, slice_by: Column, rows_per_task: int = ROWS_PER_TASK,
+             keys: Sequence[str] = FIELD) -> DataFrame:
     """Every appended element with its place ``pos`` in the list, from 1; duplicates stay."""
     elements = log.where("op = 'append'")
-    return number_rows(elements, FIELD, ["seq"], slice_by, out="pos", rows_per_task=rows_per_task)
+    return number_rows(elements, keys, ["seq"], slice_by, out="pos", rows_per_task=rows_per_task)
 
 
 def last_write(log: DataFrame, keys: Sequence[str] = FIELD,
@@ -45,20 +46,21 @@ def upserted(log: DataFrame, columns: Sequence[str] = ("payload",)) -> DataFrame
 def without_deleted(log: DataFrame, columns: Sequence[str] = ("payload",)) -> DataFrame:
     """The last value of each key, without keys whose last edit deletes them.
 
-    An upsert with nothing in it (JSON null, false, zero, empty text, list or object) deletes.
+    An upsert with falsy JSON in it deletes too.
     """
     edits = log.where(F.col("op").isin("upsert", "delete"))
     last = last_write(edits, FIELD, ["op", *columns, *({"payload"} - set(columns))])
-    return last.where((F.col("op") == "upsert") & ~_is_falsy(F.col("payload"))).select(
+    return last.where((F.col("op") == "upsert") & ~is_falsy(F.col("payload"))).select(
         *FIELD, *columns)
 
 
-def after_clear(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def after_clear(log: DataFrame, rows_per_task: int = ROWS_PER_TASK,
+                keys: Sequence[str] = FIELD) -> DataFrame:
     """The edits that come after the last ``clear`` of their field."""
-    cleared = (log.where("op = 'clear'").groupBy(*FIELD)
+    cleared = (log.where("op = 'clear'").groupBy(*keys)
                .agg(F.max("seq").alias("_cleared")))
     edits = log.where("op <> 'clear'")
-    joined = salted_join(edits, cleared, FIELD, "left", ["seq"], rows_per_task)
+    joined = salted_join(edits, cleared, keys, "left", ["seq"], rows_per_task)
     return joined.where(_is_after("_cleared")).drop("_cleared")
 
 
@@ -75,6 +77,12 @@ def after_reset(log: DataFrame, keep: Sequence[str] = ("test", "update"),
     return joined.where(F.col("key").isin(*keep) | _is_after("_reset")).drop("_reset")
 
 
+def is_falsy(payload: Column) -> Column:
+    """Whether a payload is nothing: missing, JSON null, false, zero, empty text, list or object."""
+    bare = F.regexp_replace(payload, r"\s", "")
+    return payload.isNull() | bare.isin("", "null", "false", "0", "0.0", '""', "[]", "{}")
+
+
 def valid_edits(log: DataFrame) -> DataFrame:
     """The log without edits whose payload is not finite JSON, so earlier values stand."""
     return log.where(is_finite_json(F.col("payload")))
@@ -99,8 +107,3 @@ def _pick(log, keys, columns, choose) -> DataFrame:
 
 def _is_after(bound: str) -> Column:
     return F.col(bound).isNull() | (F.col("seq") > F.col(bound))
-
-
-def _is_falsy(payload: Column) -> Column:
-    bare = F.regexp_replace(payload, r"\s", "")
-    return payload.isNull() | bare.isin("", "null", "false", "0", "0.0", '""', "[]", "{}")

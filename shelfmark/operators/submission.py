@@ -38,15 +38,15 @@ BLOCKS: dict[str, T.DataType] = {
     "update_metadata_only": T.BooleanType(),
 }
 _FLAGS_ALWAYS_SENT = {"test", "update", "update_metadata_only"}
-# Blocks held as JSON text, either whole or as the values of a map.
+# Blocks that are free JSON texts.
 _JSON_TEXTS = {"mrr", "extraction_config"}
-_JSON_VALUES = {"custom", "projects", "services"}
 
 
 def assemble(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per submission with every block in order, absent where empty.
 
-    Columns the input lacks count as absent. ``dc``, ``data_sources``, ``test``, ``update``,
+    Columns the input lacks count as absent; ``dc`` may also be JSON text, and ``index`` a map of
+    JSON texts like ``custom``, ``projects`` and ``services``. ``dc``, ``data_sources``, ``test``, ``update``,
     ``placement`` (name, organization, access) and ``update_metadata_only`` are always present.
     """
     return df.select(*keep, *[_block(df, name, kind).alias(name) for name, kind in BLOCKS.items()])
@@ -61,10 +61,10 @@ def submission_json(submissions: DataFrame, placement_name: str = "placement") -
     for name in submissions.columns:
         if name not in BLOCKS:
             continue
-        col = F.col(name)
-        if name in _JSON_TEXTS:
+        col, kind = F.col(name), submissions.schema[name].dataType
+        if name in _JSON_TEXTS or (name == "dc" and isinstance(kind, T.StringType)):
             col = F.try_parse_json(col)
-        elif name in _JSON_VALUES:
+        elif isinstance(kind, T.MapType) and isinstance(kind.valueType, T.StringType):
             col = parsed_values(col)
         fields.append(col.alias(placement_name if name == "placement" else name))
     return F.to_json(F.struct(*fields))
@@ -117,6 +117,8 @@ def _block(df: DataFrame, name: str, kind: T.DataType) -> Column:
         return F.coalesce(col, F.lit(False))
     if isinstance(kind, T.BooleanType):
         return F.when(col, col)
+    if name == "dc" and has and isinstance(df.schema[name].dataType, T.StringType):
+        return F.coalesce(col, F.lit("{}"))
     if isinstance(kind, T.StructType):
         # A struct of nothing is written as {} where a NULL one would be left out.
         fields = df.schema[name].dataType if has else kind

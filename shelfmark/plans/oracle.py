@@ -38,6 +38,30 @@ VIEWS = {
           when 'purchase' then 'delete' when 'signup' then 'set' else 'clear' end as op,
         'k' || cast(event_id % 5 as varchar) as key, props as payload, event_id, value
       from events""",
+    "calls": """
+      select user_id as submission_id, event_id as seq,
+        case event_type when 'view' then 'append' when 'click' then 'upsert'
+          when 'purchase' then 'upsert' when 'signup' then 'set'
+          else case when event_id % 3 = 2 then 'reset' else 'clear' end end as op,
+        case event_type when 'view' then 'tags' when 'click' then 'services'
+          when 'purchase' then 'projects' when 'signup' then 'organization'
+          else case event_id % 3 when 0 then 'tags' when 1 then 'services' end end as field,
+        case when event_type in ('click', 'purchase') then 'k' || cast(event_id % 5 as varchar)
+          end as key,
+        case event_type when 'view' then 't' || cast(event_id % 100 as varchar)
+          when 'click' then case when value < 3 then 'true' when value < 6 then 'false'
+            else props end
+          when 'purchase' then case when value < 3 then 'null' else props end
+          when 'signup' then '"org ' || cast(event_id % 5 as varchar) || '"' end as payload
+      from events""",
+    "live_calls": """
+      select c.* from calls c
+        left join (select submission_id, field, max(seq) as last from calls
+          where op = 'clear' group by 1, 2) f using (submission_id, field)
+        left join (select submission_id, max(seq) as reset from calls
+          where op = 'reset' group by 1) r using (submission_id)
+      where op not in ('clear', 'reset') and seq > coalesce(last, -1)
+        and seq > coalesce(reset, -1)""",
     "cleared": """
       select e.* from edit_log e left join (
         select submission_id, key, max(seq) as last from edit_log where op = 'clear' group by 1, 2
@@ -132,7 +156,7 @@ VIEWS = {
 # The views each view reads.
 _NEEDS = {
     "numbered": ["subs"], "catalog": ["numbered"], "worded": ["catalog"], "routed": ["catalog"],
-    "cleared": ["edit_log"], "unsafe": ["edit_log"], "authors_raw": ["dc_input"],
+    "live_calls": ["calls"], "cleared": ["edit_log"], "unsafe": ["edit_log"], "authors_raw": ["dc_input"],
     "authors": ["authors_raw"], "affs": ["dc_input"], "author_affs": ["authors", "affs"],
     "tasks": ["catalog"], "verdicts": ["tasks"], "updates": ["catalog"],
     "located": ["locations"], "page_fields": ["locations"],
@@ -418,6 +442,15 @@ ORACLE: dict[str, str] = {
       select submission_id, key, payload from (
         select *, row_number() over (partition by submission_id, key order by seq desc) as rn
         from cleared where op in ('upsert', 'delete')) where rn = 1 and op = 'upsert'"""),
+    "draft_state": _with("live_calls", """
+      select submission_id, field, cast(null as varchar) as key,
+        row_number() over (partition by submission_id order by seq) as pos, payload
+      from live_calls where op = 'append'
+      union all
+      select submission_id, field, key, null, payload from (
+        select *, row_number() over (partition by submission_id, field, key order by seq desc)
+          as rn from live_calls where op <> 'append')
+      where rn = 1 and payload <> 'null'"""),
     "custom_desc": _with("dc_input", """
       select submission_id, 'type' as field, subject1 as value from dc_input
       union all select submission_id, 'brand', tag1 from dc_input

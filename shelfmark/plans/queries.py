@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import documents, locations, status
 from shelfmark.functions.times import hour_number, iso_time
 from shelfmark.operators import (
-    access, catalog, curation, dc, extract, filters, fold, submission, validate,
+    access, catalog, curation, dc, draft, extract, filters, fold, submission, validate,
 )
 from shelfmark.plans import views
 from shelfmark.schema import EVENTS
@@ -621,6 +621,12 @@ def stream_fold(spark, folder):
     return runs.read_fold(spark, out).select("submission_id", "key", "payload")
 
 
+@query
+def draft_state(spark, folder):
+    """What submissions hold after all builder calls."""
+    return draft.current_state(views.builder_log(spark, folder))
+
+
 @query
 def custom_desc(spark, folder):
     custom = F.create_map(F.lit("type"), F.col("subject1"), F.lit("brand"), F.col("tag1"),

@@ -57,6 +57,29 @@ def edits(events: DataFrame) -> DataFrame:
     )
 
 
+def builder_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Builder calls, one per event: tags, services, projects, organizations, clears, resets."""
+    kind, n = F.col("event_type"), F.col("event_id")
+    by_kind = lambda view, click, purchase, signup, error: (
+        F.when(kind == "view", view).when(kind == "click", click)
+        .when(kind == "purchase", purchase).when(kind == "signup", signup).otherwise(error))
+    none, value, props = F.lit(None).cast("string"), F.col("value"), F.col("props")
+    key = F.concat(F.lit("k"), (n % 5).cast("string"))
+    text = lambda prefix, number: F.concat(F.lit(f'"{prefix}'), number.cast("string"), F.lit('"'))
+    return table(spark, folder, "events").select(
+        F.col("user_id").alias("submission_id"),
+        n.alias("seq"),
+        by_kind(F.lit("append"), F.lit("upsert"), F.lit("upsert"), F.lit("set"),
+                F.when(n % 3 == 2, "reset").otherwise("clear")).alias("op"),
+        by_kind(F.lit("tags"), F.lit("services"), F.lit("projects"), F.lit("organization"),
+                F.when(n % 3 == 0, "tags").when(n % 3 == 1, "services")).alias("field"),
+        by_kind(none, key, key, none, none).alias("key"),
+        by_kind(text("t", n % 100),
+                F.when(value < 3, none).when(value < 6, "false").otherwise(props),
+                F.when(value < 3, "null").otherwise(props), text("org ", n % 5), none)
+        .alias("payload"))
+
+
 def dc_input(spark: SparkSession, folder: str) -> DataFrame:
     """Flat citation input, one row per part."""
     key, size = F.col("p_partkey"), F.col("p_size")
