@@ -15,7 +15,7 @@ clear      any                                        forgets all edits of the f
 reset      none                                       forgets all but ``test`` and ``update``
 =========  =========================================  =============================================
 
-Links keep the first value set, until cleared. An edit whose payload is not finite JSON is
+Links keep the first value set that is not empty, until cleared. An edit whose payload is not finite JSON is
 ignored.
 """
 
@@ -57,7 +57,8 @@ def current_state(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFra
     entries = fold.last_write(live.where("op = 'upsert'"), [*_KEYS, "key"])
     values = live.where("op = 'set'")
     last = fold.last_write(values.where("field <> 'links'"), _KEYS)
-    first = fold.first_write(values.where("field = 'links'"), _KEYS)
+    is_links = (F.col("field") == "links") & ~fold.is_falsy(F.col("payload"))
+    first = fold.first_write(values.where(is_links), _KEYS)
     deleted = (F.col("field") == "projects") & fold.is_falsy(F.col("payload"))
     parts = [lists, entries.where(~deleted), last, first]
     state = parts[0].select(*_columns(parts[0]))

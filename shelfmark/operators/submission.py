@@ -76,7 +76,10 @@ def metadata_update(submissions: DataFrame) -> DataFrame:
 
 
 def service_routes(submissions: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """One row ``service``, ``parameters`` per service; ``false`` cancels it, nothing is ``true``."""
+    """One row ``service``, ``parameters`` per service; ``false`` cancels it.
+
+    A service without parameters gets ``true``.
+    """
     given = F.transform_values("services", lambda _, v: F.coalesce(v, F.lit("true")))
     wanted = F.map_filter(given, lambda _, v: v != "false")
     return submissions.select(*keep, F.explode(wanted).alias("service", "parameters"))

@@ -15,9 +15,9 @@ from shelfmark.functions import locations
 from shelfmark.functions.documents import is_finite_json, is_finite_number
 
 
-def required_arguments(title: Column, authors: Column) -> Column:
-    """Title (a text or list) and authors (a list) must be there."""
-    no_title, no_authors = _is_empty(title), F.coalesce(F.size(authors) == 0, F.lit(True))
+def required_arguments(titles: Column, authors: Column) -> Column:
+    """Titles and authors, both lists, must be there."""
+    no_title, no_authors = _is_empty(titles), _is_empty(authors)
     return (F.when(no_title & no_authors, F.lit(fixed.TITLE_AND_AUTHORS_REQUIRED))
             .when(no_title, F.lit(fixed.TITLE_REQUIRED))
             .when(no_authors, F.lit(fixed.AUTHORS_REQUIRED)))
@@ -25,9 +25,8 @@ def required_arguments(title: Column, authors: Column) -> Column:
 
 def required_blocks(has_dc: Column, data_sources: Column, metadata_only: Column) -> Column:
     """The citation block and data sources must be there, unless only metadata is updated."""
-    has_data = F.coalesce(F.size(data_sources) > 0, F.lit(False))
     exempt = F.coalesce(metadata_only, F.lit(False))
-    return F.when(~(has_dc & has_data) & ~exempt, F.lit(fixed.BLOCKS_REQUIRED))
+    return F.when((~has_dc | _is_empty(data_sources)) & ~exempt, F.lit(fixed.BLOCKS_REQUIRED))
 
 
 def finite_json(name: str, text: Column) -> Column:
@@ -111,5 +110,5 @@ def _fields(custom: Column) -> Column:
     return F.filter(F.map_keys(custom), lambda k: ~k.endswith("_desc"))
 
 
-def _is_empty(text: Column) -> Column:
-    return F.coalesce(text == "", F.lit(True))
+def _is_empty(items: Column) -> Column:
+    return F.coalesce(F.size(items) == 0, F.lit(True))

@@ -91,9 +91,10 @@ VIEWS = {
         case submission_id % 6 when 4 then 'van ' || w2 when 5 then w2 || ' Jr.' else w2 end, w1
       from dc_input where size % 10 <> 0""",
     "authors": """
-      select submission_id, row_number() over (partition by submission_id order by ord) - 1 as pos,
-        count(*) over (partition by submission_id) as n, family || ', ' || given as creator_name,
-        family, given from authors_raw""",
+      select submission_id,
+        cast(row_number() over (partition by submission_id order by ord) - 1 as integer) as pos,
+        cast(count(*) over (partition by submission_id) as integer) as n,
+        family || ', ' || given as creator_name, family, given from authors_raw""",
     "affs": """
       select submission_id, 0 as pos, aff1 as affiliation,
         case when aff2 is null then 1 else 2 end as n from dc_input where aff1 is not null
@@ -178,6 +179,10 @@ def _with(names: str, sql: str) -> str:
     return "with " + ",\n".join(f"{n} as ({VIEWS[n]})" for n in order) + "\n" + sql
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 _SHOWN = "select source_key, organization, status_code, size_mb from subs where "
 _ACTIVE = (f"case when active then '{fixed.STILL_PROCESSING}' "
            f"else '{fixed.NO_LONGER_PROCESSING}' end")
@@ -260,8 +265,8 @@ ORACLE: dict[str, str] = {
       select source_key, routed_id, case when test then 'catalog-test' else 'catalog' end
         as search_index, not test as public from routed"""),
     "source_id_parts": _with("routed", """
-      select source_key, test as is_test, source_name, version as major, 1 as minor
-      from routed"""),
+      select source_key, test as is_test, source_name, cast(version as integer) as major,
+        1 as minor from routed"""),
     "resubmit_guard": _with("subs incoming", f"""
       select incoming_key, source_name, case when not "update"
         and source_name in (select source_name from subs)
@@ -390,9 +395,9 @@ ORACLE: dict[str, str] = {
     # --- validation
     "v_required": _with("dc_input", f"""
       select submission_id, case
-        when title = '' and size % 30 = 0 then '{fixed.TITLE_AND_AUTHORS_REQUIRED.replace("'", "''")}'
-        when title = '' then '{fixed.TITLE_REQUIRED.replace("'", "''")}'
-        when size % 30 = 0 then '{fixed.AUTHORS_REQUIRED.replace("'", "''")}' end as error
+        when title = '' and size % 30 = 0 then {_quoted(fixed.TITLE_AND_AUTHORS_REQUIRED)}
+        when title = '' then {_quoted(fixed.TITLE_REQUIRED)}
+        when size % 30 = 0 then {_quoted(fixed.AUTHORS_REQUIRED)} end as error
       from dc_input"""),
     "v_blocks": _with("dc_input", f"""
       select submission_id, case when (title = '' or size % 5 = 0) and size % 6 <> 0

@@ -485,7 +485,7 @@ def url_canonical(spark, folder):
 @query
 def v_required(spark, folder):
     return _dc_lists(spark, folder).select("submission_id", validate.required_arguments(
-        F.col("title"), F.col("authors")).alias("error"))
+        F.col("titles"), F.col("authors")).alias("error"))
 
 
 @query

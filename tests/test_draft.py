@@ -30,10 +30,10 @@ CALLS = {
                call("upsert", "index", {"mapping": {"s.g": "h2"}}, "csv"),
                call("upsert", "index", key="json", raw='{"mapping": {"m.c": NaN}}')],
               {"index": {"csv": {"mapping": {"s.g": "h2"}}, "json": {"mapping": {"m.c": "p.q"}}}}),
-    "services": ([call("upsert", "services", None, "citrine"),
+    "services": ([call("upsert", "services", None, "partner"),
                   call("upsert", "services", {"collection_id": 5555}, "publish"),
-                  call("upsert", "services", False, "citrine")],
-                 {"services": {"citrine": False, "publish": {"collection_id": 5555}}}),
+                  call("upsert", "services", False, "partner")],
+                 {"services": {"partner": False, "publish": {"collection_id": 5555}}}),
     "default service": ([call("upsert", "services", None, "mrr")], {"services": {"mrr": True}}),
     "projects": ([call("upsert", "projects", {"foo": "bar"}, "one"),
                   call("upsert", "projects", key="two", raw='{"foo": NaN}'),
@@ -51,6 +51,8 @@ CALLS = {
                    call("set", "acl", ["u1", "u2"]), call("set", "source_name", "foo"),
                    call("clear", "source_name")],
                   {"placement": {"organization": "O1", "acl": ["u1", "u2"]}}),
+    "one link": ([call("set", "links", []), call("set", "links", {"url": "u1"})],
+                 {"placement": {"links": [{"url": "u1"}]}}),
     "links": ([call("set", "links", [{"type": "t", "url": "u1"}]),
                call("set", "links", [{"type": "t", "url": "u2"}])],
               {"placement": {"links": [{"type": "t", "url": "u1"}]}}),

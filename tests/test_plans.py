@@ -36,8 +36,8 @@ def test_filters_on_a_plain_column_are_pushed(spark):
 
 @pytest.mark.parametrize("name, shuffles", [
     ("f_all", 0), ("status_word", 0), ("dc_block", 0), ("submission_json", 0), ("index_csv", 0),
-    ("v_finite", 0), ("fold_last", 1), ("fold_upsert", 1), ("fold_delete", 1), ("latest_version", 1),
-    ("group_by_dir", 1), ("service_routing", 1), ("org_registry", 1),
+    ("v_finite", 0), ("fold_last", 1), ("fold_upsert", 1), ("fold_delete", 1),
+    ("latest_version", 1), ("group_by_dir", 1), ("service_routing", 1), ("org_registry", 1),
 ])
 def test_number_of_shuffles(spark, name, shuffles):
     df = queries()[name](spark, FOLDER)

@@ -57,8 +57,9 @@ def test_texts(rows):
     ]
 
 
-@pytest.mark.parametrize("time", [datetime(2020, 2, 11), datetime(2020, 2, 11, 1, 2, 3),
-                                  datetime(1969, 12, 31, 23, 59, 59, 120), datetime(2020, 2, 11, 0, 0, 0, 500000)])
+@pytest.mark.parametrize("time", [
+    datetime(2020, 2, 11), datetime(2020, 2, 11, 1, 2, 3), datetime(2020, 2, 11, 0, 0, 0, 500000),
+    datetime(1969, 12, 31, 23, 59, 59, 120)])
 def test_iso_time_and_hour(rows, time):
     hours = (time - datetime(1970, 1, 1)).total_seconds() // 3600
     got = rows([(time,)], "t timestamp_ntz", iso=iso_time(F.col("t")), h=hour_number(F.col("t")))

@@ -27,13 +27,13 @@ def test_empty_submission(spark):
 def test_empty_optional_blocks_are_left_out(spark):
     df = spark.sql("""select array() as tags, cast(map() as map<string,string>) as services,
         '{}' as mrr, '' as external_uri, false as curation, true as test, true as no_extract,
-        array('x') as data_sources, map('citrine', 'false', 'publish', '{"id": 5}') as projects,
+        array('x') as data_sources, map('partner', 'false', 'publish', '{"id": 5}') as projects,
         map('size', '5', 'name', '"n"') as custom, '{"group_by_dir": true}' as extraction_config,
         named_struct('organization', 'O', 'acl', array('me')) as placement""")
     assert document(df, placement_name="entry") == {
         "dc": {}, "data_sources": ["x"], "test": True, "update": False,
         "entry": {"organization": "O", "acl": ["me"]},
-        "custom": {"size": 5, "name": "n"}, "projects": {"citrine": False, "publish": {"id": 5}},
+        "custom": {"size": 5, "name": "n"}, "projects": {"partner": False, "publish": {"id": 5}},
         "extraction_config": {"group_by_dir": True}, "no_extract": True,
         "update_metadata_only": False}
 
@@ -108,7 +108,8 @@ def test_canonical_json(spark):
     df = spark.sql("""select named_struct('z', 1, 'a', array(named_struct('d', 1, 'c', 2))) as b,
         map('y', named_struct('q', 1, 'p', 2), 'x', named_struct('q', 3, 'p', 4)) as a""")
     text = df.select(canonical_json(df.schema, df.columns)).first()[0]
-    want = {"a": {"x": {"p": 4, "q": 3}, "y": {"p": 2, "q": 1}}, "b": {"a": [{"c": 2, "d": 1}], "z": 1}}
+    want = {"a": {"x": {"p": 4, "q": 3}, "y": {"p": 2, "q": 1}},
+            "b": {"a": [{"c": 2, "d": 1}], "z": 1}}
     assert text == json.dumps(want, separators=(",", ":"), sort_keys=True)
 
 
@@ -120,9 +121,9 @@ def test_descriptions_replace_older_ones(spark):
 
 def test_rules_together(spark):
     df = spark.sql("""select * from values
-        (1, 't', array('a'), array('https://a.b/c'), true, map('k', '1', 'k_desc', 'd')),
-        (2, '', array(), array('globus://e/p'), false, map('k_desc', 'd')),
-        (3, 't', array('a'), array('globus://e/p'), null, map('k', '1'))
+        (1, array('t'), array('a'), array('https://a.b/c'), true, map('k', '1', 'k_desc', 'd')),
+        (2, null, array(), array('globus://e/p'), false, map('k_desc', 'd')),
+        (3, array('t'), array('a'), array('globus://e/p'), null, map('k', '1'))
         as t(id, title, authors, data_sources, no_extract, custom)""")
     checked = validate.with_errors(df, [
         validate.required_arguments(F.col("title"), F.col("authors")),
@@ -149,8 +150,8 @@ def test_required_blocks(rows, has_dc, sources, only, bad):
     assert (error is not None) == bad
 
 
-@pytest.mark.parametrize("action, want", [(" Accept ", None), ("REJECT", None), ("maybe", "Verdict 'maybe'"),
-                                          (None, "Verdict ''")])
+@pytest.mark.parametrize("action, want", [
+    (" Accept ", None), ("REJECT", None), ("maybe", "Verdict 'maybe'"), (None, "Verdict ''")])
 def test_verdict_error(rows, action, want):
     (error,), = rows([(action,)], "a string", e=validate.verdict_error(F.col("a")))
     assert error is None if want is None else error.startswith(want)
