@@ -32,3 +32,10 @@ def utc_literal(bound: datetime) -> Column:
 def hour_number(time: Column) -> Column:
     """Hours since 1970, a coarse order that never contradicts the time itself."""
     return F.datediff(F.to_date(time), F.lit("1970-01-01")) * 24 + F.hour(time)
+
+
+def order_slices(time: Column, number: Column, ids_per_slice: int = 1_000_000) -> list[Column]:
+    """Slices, coarse to fine, of rows ordered by a time and then a number: hours, and within
+    them equal times by ranges of the number."""
+    id_range = F.floor(number / ids_per_slice)
+    return [hour_number(time), F.struct(time.alias("time"), id_range.alias("range"))]

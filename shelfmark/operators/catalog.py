@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark import fixed
 from shelfmark.functions.locations import source_id
 from shelfmark.functions.status import status_word
-from shelfmark.functions.times import hour_number
+from shelfmark.functions.times import order_slices
 from shelfmark.operators.skew import ROWS_PER_TASK, lookup_join, number_rows, salted_join
 from shelfmark.session import checkpointed
 
@@ -20,7 +20,7 @@ ORDER = ("submission_time", "source_key")
 def with_versions(submissions: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Adds ``version``, counted from 1 within a source name, and the ``source_id`` made of it."""
     numbered = number_rows(submissions, ["source_name"], ORDER,
-                           slice_by=hour_number(F.col("submission_time")),
+                           order_slices(F.col("submission_time"), F.col("source_key")),
                            out="version", rows_per_task=rows_per_task)
     return numbered.withColumn("source_id", source_id(F.col("source_name"), F.col("version")))
 

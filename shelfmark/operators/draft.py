@@ -53,7 +53,7 @@ def current_state(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFra
     steps = _steps(fold.valid_edits(log))
     # Written once, as each kind of field is folded in its own way from here.
     live = checkpointed(fold.after_clear(steps, rows_per_task, _KEYS))
-    lists = fold.appended(live, F.floor(F.col("seq.at") / _SLICE), rows_per_task, _KEYS)
+    lists = fold.appended(live, [F.floor(F.col("seq.at") / _SLICE)], rows_per_task, _KEYS)
     entries = fold.last_write(live.where("op = 'upsert'"), [*_KEYS, "key"])
     values = live.where("op = 'set'")
     last = fold.last_write(values.where("field <> 'links'"), _KEYS)

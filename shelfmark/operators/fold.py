@@ -19,11 +19,14 @@ from shelfmark.operators.skew import ROWS_PER_TASK, number_rows, salted_join
 FIELD = ("submission_id", "key")
 
 
-def appended(log: DataFrame, slice_by: Column, rows_per_task: int = ROWS_PER_TASK,
+def appended(log: DataFrame, slices: Sequence[Column], rows_per_task: int = ROWS_PER_TASK,
              keys: Sequence[str] = FIELD) -> DataFrame:
-    """Every appended element with its place ``pos`` in the list, from 1; duplicates stay."""
+    """Every appended element with its place ``pos`` in the list, from 1; duplicates stay.
+
+    ``slices`` cut a heavy list along ``seq``; see ``number_rows``.
+    """
     elements = log.where("op = 'append'")
-    return number_rows(elements, keys, ["seq"], slice_by, out="pos", rows_per_task=rows_per_task)
+    return number_rows(elements, keys, ["seq"], slices, out="pos", rows_per_task=rows_per_task)
 
 
 def last_write(log: DataFrame, keys: Sequence[str] = FIELD,

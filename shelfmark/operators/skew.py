@@ -54,28 +54,34 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return salted_join(left, right, keys, how, spread, rows_per_task)
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column,
-                out: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                slices: Sequence[Column], out: str,
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``row_number()`` per key without putting a heavy key into one task.
 
-    ``slice_by`` must never decrease along ``order`` (the hour of a time, say). Heavy keys are
-    numbered slice by slice, each slice starting from the number of rows before it; all other
-    keys are one slice, so that they need the usual single shuffle.
+    Each of ``slices`` must never decrease along ``order`` among rows equal in those before it:
+    the hour of a time, say, then the time with a range of ids. Heavy keys are cut by the first
+    one, heavy pieces by the next, and every piece is numbered from the count of rows before it.
+    All other keys stay whole, so that they need the usual single shuffle.
     """
     # In a struct, NULL keys equal each other, so that they too can be heavy.
-    keyed = df.withColumn("_key", F.struct(*keys))
-    heavy = F.broadcast(heavy_keys(keyed, ["_key"], rows_per_task))
-    is_heavy = F.col("_parts").isNotNull()
-    sliced = keyed.join(heavy, "_key", "left").withColumn(
-        "_slice", F.when(is_heavy, slice_by.cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(
+    rows = df.withColumn("_key", F.struct(*keys))
+    piece = ["_key"]
+    for level, slice_by in enumerate(slices):
+        whole = rows if level == 0 else rows.where(F.col(piece[-1]).isNotNull())
+        heavy = F.broadcast(heavy_keys(whole, piece, rows_per_task))
+        cut = F.when(F.col("_parts").isNotNull(), slice_by).alias(f"_slice{level}")
+        rows = rows.join(heavy, piece, "left").select("*", cut).drop("_parts")
+        piece = [*piece, f"_slice{level}"]
+    first = piece[1]
+    earlier = Window.partitionBy("_key").orderBy(*piece[1:]).rowsBetween(
         Window.unboundedPreceding, -1)
-    before = (sliced.where(is_heavy)
-              .groupBy("_key", "_slice").agg(F.count("*").alias("_n"))
-              .withColumn("_before", F.sum("_n").over(earlier)).drop("_n"))
+    before = (rows.where(F.col(first).isNotNull())
+              .groupBy(*piece).agg(F.count("*").alias("_n"))
+              .select(F.struct(*piece).alias("_piece"), F.sum("_n").over(earlier).alias("_before")))
     # The plain keys are named too, so that filters on them reach the scan.
-    within = Window.partitionBy(*keys, "_key", "_slice").orderBy(*order)
+    within = Window.partitionBy(*keys, "_piece").orderBy(*order)
     number = F.row_number().over(within) + F.coalesce(F.col("_before"), F.lit(0))
-    return (sliced.join(before, ["_key", "_slice"], "left")
+    return (rows.withColumn("_piece", F.struct(*piece)).join(before, "_piece", "left")
             .withColumn(out, number.cast("bigint"))
-            .drop("_key", "_parts", "_slice", "_before"))
+            .drop(*piece, "_piece", "_before"))

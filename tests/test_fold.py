@@ -56,7 +56,7 @@ def test_appended_lists(spark, edits, rows_per_task):
     for s, op, key, payload in edits:
         if op == "append":
             lists[s, key].append(str(payload))
-    elements = fold.appended(log_of(spark, edits), F.floor(F.col("seq") / 4), rows_per_task)
+    elements = fold.appended(log_of(spark, edits), [F.floor(F.col("seq") / 4)], rows_per_task)
     assert result(elements, "submission_id", "key", "pos", "payload") == sorted(
         (s, key, n, p) for (s, key), texts in lists.items() for n, p in enumerate(texts, 1))
     chunks = fold.in_chunks(elements, chunk_size=3).collect()

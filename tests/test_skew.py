@@ -1,5 +1,7 @@
 """Joins and numbering give the same rows whether or not a key counts as heavy."""
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -50,16 +52,34 @@ def test_lookup_join_broadcasts_only_what_is_small(skewed, right, lookup_rows):
     assert marked and salted == (lookup_rows == 5)
 
 
-@pytest.mark.parametrize("rows_per_task", [20, 400, 10**6])
-def test_number_rows(skewed, rows_per_task):
-    got = number_rows(skewed, ["k"], ["t", "id"], F.floor(F.col("t") / 100), "n", rows_per_task)
-    want = skewed.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")))
-    assert got.columns == want.columns
-    assert as_set(got) == as_set(want)
+def slices(levels):
+    """Slices of rows ordered by ``t`` and ``id``: hundreds of t, t itself, ranges of ids."""
+    return [F.floor(F.col("t") / 500), F.col("t"), F.floor(F.col("id") / 200)][:levels]
+
+
+def numbered(df):
+    return df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")))
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+@pytest.mark.parametrize("rows_per_task", [5, 400, 10**6])
+def test_number_rows(skewed, levels, rows_per_task):
+    got = number_rows(skewed, ["k"], ["t", "id"], slices(levels), "n", rows_per_task)
+    assert got.columns == ["id", "k", "t", "n"]
+    assert as_set(got) == as_set(numbered(skewed))
+
+
+def test_equal_times_are_cut_by_ids(skewed):
+    """A key whose rows all have one time."""
+    same = skewed.withColumn("t", F.lit(7).cast("bigint"))
+    got = number_rows(same, ["k"], ["t", "id"], slices(3), "n", 50)
+    assert as_set(got) == as_set(numbered(same))
 
 
-def test_heavy_key_is_sliced(spark, skewed):
-    """No task sorts more of the heavy key than a slice of it."""
-    got = number_rows(skewed, ["k"], ["t", "id"], F.floor(F.col("t") / 100), "n", 400)
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert "row_number() windowspecdefinition(k" in plan and "_slice" in plan
+def test_no_task_sorts_more_than_a_piece(spark, skewed):
+    """The pieces a heavy key is numbered in, read off the plan's window."""
+    got = number_rows(skewed, ["k"], ["t", "id"], slices(1), "n", 400)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    window = [line for line in plan.split("\n") if "row_number()" in line and "Window" in line]
+    assert window and "_piece" in window[0]
+    assert re.search(r"Exchange hashpartitioning\(k#\w+, _piece#", plan)
