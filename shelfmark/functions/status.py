@@ -14,18 +14,16 @@ def status_word(code: Column) -> Column:
     A code has one letter per processing step, so a failed step outranks a running one, and only
     then do the last and first steps count. An empty or missing code is ``Unknown``.
     """
-    rules = [
-        (code.contains("F"), "Failed"),
-        (code.contains("P"), "Processing"),
-        (code.endswith("S"), "Succeeded"),
-        (code.endswith("X"), "Cancelled"),
-        (code.startswith("z"), "Not started"),
-        (code.contains("R"), "Retrying error"),
-    ]
-    word = F.when(*[rules[0][0], F.lit(rules[0][1])])
-    for test, name in rules[1:]:
-        word = word.when(test, F.lit(name))
-    return word.otherwise(F.lit("Unknown"))
+    rules = {
+        "Failed": code.contains("F"),
+        "Processing": code.contains("P"),
+        "Succeeded": code.endswith("S"),
+        "Cancelled": code.endswith("X"),
+        "Not started": code.startswith("z"),
+        "Retrying error": code.contains("R"),
+    }
+    return F.coalesce(*[F.when(holds, F.lit(word)) for word, holds in rules.items()],
+                      F.lit("Unknown"))
 
 
 def active_message(active: Column) -> Column:
