@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import bpe
+from shelfmark.llm import bpe, quality_rules, sharding
 from shelfmark.llm.common import table
 
 
@@ -15,7 +15,19 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), path))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of the quality rules for every document."""
+    return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in eight shards of nearly equal size."""
+    return sharding.report(sharding.assign(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_quality_rules": op3_quality_rules,
+    "op10_sharding": op10_sharding,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {"op3_quality_rules": quality_rules.ORACLE}
