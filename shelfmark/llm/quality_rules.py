@@ -24,7 +24,7 @@ RULES = {
     "few_words": "n_words < 20",
     "repeated_windows": "100 * n_repeat_words > 30 * n_words",
     "many_symbols": "100 * n_symbols > 20 * n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "100 * n_dup_lines > 60 * n_lines",
     "many_capitals": "100 * n_capitals > 30 * word_chars",
     "many_exclamations": "100 * n_exclamations > 20 * n_words",
     "odd_word_length": "word_chars < 2 * n_words OR word_chars > 15 * n_words",
@@ -56,7 +56,7 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "*", F.array_remove(F.split("_text", BLANK_RUN), "").alias("_words"),
         F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
         .alias("_lines"))
-    parts = parts.select("*", F.transform("_words", F.xxhash64).alias("_hashes"))
+    parts = parts.select("*", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
     last = F.size("_hashes") - WINDOW
     windows = F.when(last >= 0, F.transform(
         F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
