@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import bpe, quality_rules, sharding
+from shelfmark.llm import bpe, pii, quality_rules, sharding
 from shelfmark.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), path))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data in every document."""
+    return pii.report(pii.spans(table(spark, sf_dir, "documents")))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of the quality rules for every document."""
     return quality_rules.report(table(spark, sf_dir, "documents"))
@@ -27,6 +32,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_pii": op2_pii,
     "op3_quality_rules": op3_quality_rules,
     "op10_sharding": op10_sharding,
 }
