@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, pii, quality_rules, sharding
+from shelfmark.llm import bpe, decontam, pii, quality_rules, sharding
 from shelfmark.llm.common import table
 
 
@@ -25,6 +26,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items that they hold."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+                          ).withColumn("leaked", F.lit(True))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in eight shards of nearly equal size."""
     return sharding.report(sharding.assign(table(spark, sf_dir, "documents")))
@@ -34,6 +41,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
     "op3_quality_rules": op3_quality_rules,
+    "op5_decontamination": op5_decontamination,
     "op10_sharding": op10_sharding,
 }
 ORACLE = {"op3_quality_rules": quality_rules.ORACLE}
