@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, decontam, pii, quality_rules, sharding
+from shelfmark.llm import bpe, classifier, decontam, pii, quality_rules, sharding
 from shelfmark.llm.common import table
 
 
@@ -32,6 +32,13 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                           ).withColumn("leaked", F.lit(True))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    trees = classifier.train(docs, table(spark, sf_dir, "labels"))
+    return classifier.report(classifier.scores(docs, trees))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in eight shards of nearly equal size."""
     return sharding.report(sharding.assign(table(spark, sf_dir, "documents")))
@@ -42,6 +49,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_quality_rules": op3_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_sharding": op10_sharding,
 }
 ORACLE = {"op3_quality_rules": quality_rules.ORACLE}
