@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.session import work_folder
 
-# White space between words, as in the patterns of the contracts.
-BLANKS = " \t\n\x0b\x0c\r"
 # Rows of a batch handed to Python: bounds its memory also where every text is long.
 BATCH_ROWS = 512
-LOWER_AZ = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -52,3 +51,34 @@ def map_batches(df: DataFrame, columns: list[str], schema: str,
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The texts of a column, null read as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def lower_words(text: bytes) -> list[bytes]:
+    """The words of a UTF-8 text with A-Z in lower case; white space is
+    the blank, tab, line feed, vertical tab, form feed and carriage return."""
+    return text.translate(_LOWER).split()
+
+
+def bytes_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
+    """The texts of a column as UTF-8, null read as empty."""
+    return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
+
+
+def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """The rows of each value of a long column by which the batches are sorted. Never holds more
+    than a batch and one value's rows."""
+    rest = None
+    for batch in batches:
+        table_ = pa.Table.from_batches([batch])
+        if rest is not None:
+            table_ = pa.concat_tables([rest, table_])
+        values = table_.column(column).to_numpy()
+        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+        table_ = table_.combine_chunks()
+        start = 0
+        for cut in cuts.tolist():
+            yield table_.slice(start, cut - start)
+            start = cut
+        rest = table_.slice(start)
+    if rest is not None and rest.num_rows:
+        yield rest

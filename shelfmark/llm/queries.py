@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, classifier, decontam, pii, quality_rules, sharding
+from shelfmark.llm import bpe, classifier, decontam, near_dedup, pii, quality_rules, sharding
 from shelfmark.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                           ).withColumn("leaked", F.lit(True))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document: sets of two-word shingles, Jaccard 0.8."""
+    return near_dedup.groups(table(spark, sf_dir, "documents"), similarity=0.8, length=2)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -49,7 +54,11 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_quality_rules": op3_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op6_near_dedup": op6_near_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_sharding": op10_sharding,
 }
-ORACLE = {"op3_quality_rules": quality_rules.ORACLE}
+ORACLE = {
+    "op3_quality_rules": quality_rules.ORACLE,
+    "op6_near_dedup": near_dedup.ORACLE,
+}
