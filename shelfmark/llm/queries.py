@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, classifier, decontam, near_dedup, pii, quality_rules, sharding
+from shelfmark.llm import (
+    bpe, classifier, decontam, near_dedup, pii, quality_rules, sharding, token_counts)
 from shelfmark.llm.common import table
 
 
@@ -37,6 +38,15 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), similarity=0.8, length=2)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of every line of every document, from one encoding of the whole."""
+    counts = token_counts.count(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN)
+    return counts.select("doc_id", "section", "start", "end",
+                         F.col("tokens").cast("bigint").alias("n_tokens"), "crossing")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -55,6 +65,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op6_near_dedup": op6_near_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_sharding": op10_sharding,
 }
