@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
-    bpe, classifier, decontam, near_dedup, pii, quality_rules, sharding, token_counts)
+    bpe, classifier, decontam, html_extract, near_dedup, pii, quality_rules, sharding,
+    token_counts)
 from shelfmark.llm.common import table
 
 
@@ -27,6 +28,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.report(html_extract.main_texts(table(spark, sf_dir, "pages")))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the benchmark items that they hold."""
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -63,6 +69,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_extraction": op4_html_extraction,
     "op5_decontamination": op5_decontamination,
     "op6_near_dedup": op6_near_dedup,
     "op7_token_counts": op7_token_counts,
