@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
-    bpe, classifier, decontam, html_extract, near_dedup, pii, quality_rules, sharding,
+    bpe, classifier, decontam, html_extract, lm, near_dedup, pii, quality_rules, sharding,
     token_counts)
 from shelfmark.llm.common import table
 
@@ -60,6 +60,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.report(classifier.scores(docs, trees))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language model scores of every document."""
+    return lm.fit_and_score(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in eight shards of nearly equal size."""
     return sharding.report(sharding.assign(table(spark, sf_dir, "documents")))
@@ -74,6 +79,7 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
 }
 ORACLE = {
