@@ -5,7 +5,7 @@ a node draws one or two positions of the minwise signature (``1 / similarity`` o
 and hands every document on to the child named by its token there; similar documents choose the
 same path. Nodes small enough are compared exhaustively: a signature rules out far pairs, and what
 is left is confirmed on the full sets. Pairs at the threshold meet in one tree with a probability
-of about 0.6, so that ``TREES`` of them miss one in some thousands, closer pairs hardly any.
+of about 0.6, so that ``TREES`` of them miss one in ten thousand, closer pairs hardly any.
 
 A first tree joins most groups. The other trees then only compare documents not yet joined, and
 drop nodes in which all are. So a group of thousands costs edges in proportion to its size, not to
@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import bytes_of, lower_words, map_batches, runs, stored
 from shelfmark.llm.components import components
 
-POSITIONS = 64    # of the minwise signature, two bytes each
-TREES = 9         # the first of them alone
+POSITIONS = 96    # of the minwise signature, two bytes each
+TREES = 10        # the first of them alone
 NODE_ROWS = 64    # of a node that is compared exhaustively
-DEPTH = 6
-_LEAST_AGREEMENT = 4.5  # standard deviations below the expectation at the threshold
+FIRST_DEPTH = 3   # levels before nodes are counted: nearly all nodes above are too large
+DEPTH = 7
+_LEAST_AGREEMENT = 4.0  # standard deviations below the expectation at the threshold
 
 _MASK = (1 << 64) - 1
 _DRAW = np.random.default_rng(20_260)
@@ -103,36 +104,40 @@ def _step(rows: DataFrame, similarity: float) -> DataFrame:
 def leaves(sets: DataFrame, trees: range, similarity: float, node_rows: int = NODE_ROWS,
            depth: int = DEPTH) -> DataFrame:
     """Rows of ``sets`` (key, comp, n_shingles, sig) in the nodes that are compared: ``leaf`` names
-    the node. Nodes of one component are left out."""
-    rows = sets.withColumn("path", F.explode(F.array(*[
+    the node. Nodes of one component are left out.
+
+    Only paths and keys are shuffled while nodes are counted; signatures join again those few rows
+    whose nodes go on or are compared.
+    """
+    rows = sets.select("key", "comp", "sig").withColumn("path", F.explode(F.array(*[
         F.xxhash64(F.lit(t), F.lit("tree")) for t in trees])))
-    done = []
-    for level in range(1, depth + 1):
+    for _ in range(FIRST_DEPTH):
         rows = _step(rows, similarity)
+    done = None
+    for level in range(FIRST_DEPTH, depth + 1):
+        rows = rows.select("path", "key", "comp")
         nodes = (rows.groupBy("path")
                  .agg(F.count("*").alias("_n"), F.min("key").alias("_pivot"),
                       F.min("comp").alias("_low"), F.max("comp").alias("_high"))
                  .where("_low <> _high").drop("_low", "_high"))
         rows = stored(rows.join(nodes, "path"), f"tree-level-{level}")
-        done.append(rows.where(F.col("_n") <= node_rows).withColumn("leaf", F.col("path")))
+        part = rows.where(F.col("_n") <= node_rows).select(F.col("path").alias("leaf"), "key")
+        done = part if done is None else done.unionAll(part)
         rows = rows.where(F.col("_n") > node_rows)
+        if not rows.limit(1).count():
+            break
         if level < depth:
-            rows = rows.drop("_n", "_pivot")
-            if not rows.limit(1).count():
-                break
+            rows = _step(rows.drop("comp").join(sets.select("key", "comp", "sig"), "key"),
+                         similarity)
     else:
         # What does not fall apart goes to runs, the pivot to each.
         parts = F.ceil(2 * F.col("_n") / node_rows).cast("bigint")
         places = F.when(F.col("key") == F.col("_pivot"),
                         F.sequence(F.lit(0).cast("bigint"), parts - 1)).otherwise(
             F.array(F.pmod(F.xxhash64("key", "path"), parts)))
-        done.append(rows.withColumn("_run", F.explode(places)).withColumn(
-            "leaf", F.xxhash64("path", "_run")).drop("_run"))
-    out = None
-    for part in done:
-        part = part.select("leaf", "key", "comp", "n_shingles", "doc_id", "sig")
-        out = part if out is None else out.unionAll(part)
-    return out
+        done = done.unionAll(rows.withColumn("_run", F.explode(places)).select(
+            F.xxhash64("path", "_run").alias("leaf"), "key"))
+    return done.join(sets, "key").select("leaf", "key", "comp", "n_shingles", "doc_id", "sig")
 
 
 def _likely(similarity: float):
@@ -212,6 +217,8 @@ def links(docs: DataFrame, sets: DataFrame, trees: range, similarity: float, len
     likely = (leaves(sets, trees, similarity).repartition("leaf").sortWithinPartitions("leaf")
               .mapInArrow(_likely(similarity), f"leaf bigint, key bigint, comp bigint, "
                                                f"rep {kind}, partners array<bigint>"))
+    if len(trees) > 1:
+        likely = _once(likely, sets)
     likely = stored(likely, "likely")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     full = (likely.join(texts, likely.rep.eqNullSafe(texts["_id"]))
@@ -220,6 +227,18 @@ def links(docs: DataFrame, sets: DataFrame, trees: range, similarity: float, len
             .mapInArrow(_linked(similarity, length), "a bigint, b bigint"))
 
 
+def _once(likely: DataFrame, sets: DataFrame) -> DataFrame:
+    """``likely`` with every pair in one leaf only, whichever trees it met in."""
+    pairs = (likely.select("leaf", "key", F.explode("partners").alias("_other"))
+             .groupBy("key", "_other").agg(F.min("leaf").alias("leaf")))
+    members = pairs.select("leaf", "key", "_other").unionAll(
+        pairs.select("leaf", F.col("_other").alias("key"), F.lit(None).cast("bigint")))
+    # A leaf has few members, so lists stay short; a list leaves nulls out.
+    members = members.groupBy("leaf", "key").agg(F.collect_list("_other").alias("partners"))
+    return members.join(sets.select("key", "comp", F.col("doc_id").alias("rep")), "key").select(
+        "leaf", "key", "comp", "rep", "partners")
+
+
 def groups(docs: DataFrame, similarity: float = 0.8, length: int = 5, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """Per document ``doc_id``, ``n_shingles`` and ``component_id``, the least id of the documents
