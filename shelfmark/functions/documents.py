@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# A text that the JSON parser refuses may be valid if it is longer than this.
+PARSER_BYTES = 16 * 1024 * 1024
+
+
 def absent_if_empty(col: Column) -> Column:
     """NULL in place of an empty array or map, so that JSON leaves the field out."""
     return F.when(F.size(col) > 0, col)
@@ -39,20 +43,28 @@ def is_finite_number(number: Column) -> Column:
     return F.coalesce(~F.isnan(number) & (F.abs(number) != float("inf")), F.lit(True))
 
 
-def is_finite_json(text: Column) -> Column:
-    """Whether the text is JSON without NaN or infinite numbers; a missing one passes.
+def json_problem(text: Column) -> Column:
+    """Why a text is no JSON to work with: ``malformed``, ``too large`` or ``not finite``; NULL if
+    it is, or is missing.
 
-    The parser refuses the words ``NaN`` and ``Infinity`` but lets ``1e400`` overflow, and an
-    overflowed number is written back as the text ``"Infinity"``: more such texts out than in
-    give it away. Only a text with a three-digit exponent or very many digits can overflow.
+    The parser refuses the words ``NaN`` and ``Infinity`` itself. Numbers that overflow, such as
+    ``1e400``, are looked for among the number tokens outside of strings. A text beyond the
+    parser's limit is not taken for a malformed one.
     """
-    value = F.try_parse_json(text)
-    words = F.lit(r'"-?Infinity"')
-    overflow = F.regexp_count(F.to_json(value), words) > F.regexp_count(text, words)
-    suspect = text.rlike("[eE][+]?[0-9]{3}|[0-9]{300}")
-    return (F.when(text.isNull(), F.lit(True))
-            .when(suspect, value.isNotNull() & ~overflow)
-            .otherwise(value.isNotNull()))
+    no_escapes = F.regexp_replace(text, r"(?s)\\.", "")
+    bare = F.regexp_replace(no_escapes, '"[^"]*"', "")
+    numbers = F.regexp_extract_all(bare, F.lit(r"-?[0-9][0-9.eE+-]*"), F.lit(0))
+    infinite = F.exists(numbers, lambda n: F.abs(n.try_cast("double")) == float("inf"))
+    unread = F.when(F.octet_length(text) > PARSER_BYTES, F.lit("too large")).otherwise(
+        F.lit("malformed"))
+    return (F.when(text.isNull(), F.lit(None).cast("string"))
+            .when(F.try_parse_json(text).isNull(), unread)
+            .when(F.coalesce(infinite, F.lit(False)), F.lit("not finite")))
+
+
+def is_finite_json(text: Column) -> Column:
+    """Whether the text is JSON without NaN or infinite numbers; a missing one passes."""
+    return json_problem(text).isNull()
 
 
 def parsed_values(col: Column) -> Column:

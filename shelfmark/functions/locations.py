@@ -96,6 +96,6 @@ def source_id_parts(sid: Column) -> Column:
     return F.when(sid.rlike(SOURCE_ID), F.struct(
         (part(1) != "").alias("test"),
         part(2).alias("source_name"),
-        part(3).cast("int").alias("major"),
-        part(4).cast("int").alias("minor"),
+        part(3).try_cast("bigint").alias("major"),
+        part(4).try_cast("bigint").alias("minor"),
     ))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from shelfmark import fixed
 from shelfmark.functions.documents import absent_if_empty
-from shelfmark.operators.skew import ROWS_PER_TASK, lookup_join
 
 
 def base_acl(acl: Column) -> Column:
@@ -25,45 +24,44 @@ def effective_acl(acl: Column, dataset_acl: Column) -> Column:
                          F.coalesce(dataset_acl, F.array().cast("array<string>")))
 
 
-def visible_entries(submissions: DataFrame, principals: DataFrame, key: str,
-                    rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def visible_entries(submissions: DataFrame, principals: DataFrame, key: str) -> DataFrame:
     """Keys of the dataset entries some principal may see."""
     acl = effective_acl(F.col("acl"), F.col("dataset_acl"))
-    return _matching(submissions, acl, principals, key, rows_per_task)
+    return _matching(submissions, acl, principals, key)
 
 
-def visible_records(submissions: DataFrame, principals: DataFrame, key: str,
-                    rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def visible_records(submissions: DataFrame, principals: DataFrame, key: str) -> DataFrame:
     """Keys of the submissions whose records and files some principal may see."""
-    return _matching(submissions, base_acl(F.col("acl")), principals, key, rows_per_task)
+    return _matching(submissions, base_acl(F.col("acl")), principals, key)
 
 
 def curation_identities(memberships: DataFrame, requesters: DataFrame) -> DataFrame:
     """The requesters themselves and the groups they manage or administer."""
     leading = memberships.where(F.col("role").isin("manager", "admin"))
-    groups = (lookup_join(leading, requesters.select("principal"), ["principal"], "left_semi",
-                          ["group"])
+    groups = (leading.join(requesters.select("principal"), "principal", "left_semi")
               .select(F.col("group").alias("principal")))
     return requesters.select("principal").unionByName(groups).distinct()
 
 
-def curatable(tasks: DataFrame, identities: DataFrame, key: str,
-              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def curatable(tasks: DataFrame, identities: DataFrame, key: str) -> DataFrame:
     """Keys of the tasks the identities may decide; anyone may decide a public one."""
-    return _matching(tasks, base_acl(F.col("acl")), identities, key, rows_per_task)
+    return _matching(tasks, base_acl(F.col("acl")), identities, key)
 
 
 def not_public(tasks: DataFrame) -> DataFrame:
     """Tasks as they are listed: public ones are left out, though anyone may curate them."""
-    return tasks.where(~F.array_contains(base_acl(F.col("acl")), fixed.PUBLIC))
-
-
-def _matching(df: DataFrame, acl: Column, principals: DataFrame, key: str,
-              rows_per_task: int) -> DataFrame:
-    entries = df.select(key, F.explode(acl).alias("principal"))
-    spark = df.sparkSession
-    anyone = spark.range(1).select(F.lit(fixed.PUBLIC).alias("principal"))
-    admitted = principals.select("principal").unionByName(anyone).distinct()
-    return (lookup_join(entries, admitted, ["principal"], "left_semi", [key],
-                        rows_per_task=rows_per_task)
-            .select(key).distinct())
+    return tasks.where(~_is_public(base_acl(F.col("acl"))))
+
+
+def _is_public(acl: Column) -> Column:
+    # A list with a NULL in it would make the plain test NULL.
+    return F.coalesce(F.array_contains(acl, fixed.PUBLIC), F.lit(False))
+
+
+def _matching(df: DataFrame, acl: Column, principals: DataFrame, key: str) -> DataFrame:
+    """Public rows by a test of the row; only the others are matched entry by entry."""
+    rows = df.select(key, acl.alias("_acl"))
+    listed = (rows.where(~_is_public(F.col("_acl")))
+              .select(key, F.explode("_acl").alias("principal"))
+              .join(principals.select("principal"), "principal", "left_semi").select(key))
+    return rows.where(_is_public(F.col("_acl"))).select(key).unionAll(listed).distinct()

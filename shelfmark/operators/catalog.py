@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark import fixed
-from shelfmark.functions.locations import source_id
+from shelfmark.functions.locations import SOURCE_ID, source_id
 from shelfmark.functions.status import status_word
 from shelfmark.functions.times import order_slices
-from shelfmark.operators.skew import ROWS_PER_TASK, lookup_join, number_rows, salted_join
-from shelfmark.session import checkpointed
+from shelfmark.operators.skew import ROWS_PER_TASK, number_rows
 
 ORDER = ("submission_time", "source_key")
 
@@ -25,6 +25,20 @@ def with_versions(submissions: DataFrame, rows_per_task: int = ROWS_PER_TASK) ->
     return numbered.withColumn("source_id", source_id(F.col("source_name"), F.col("version")))
 
 
+def by_source_id(submissions: DataFrame, wanted: str) -> DataFrame:
+    """The submission with an id, found among unnumbered ones: only its name is numbered.
+
+    An id with the test prefix means the test submission of that version, as statuses and
+    curation tasks write it; one without names either kind.
+    """
+    parts = re.fullmatch(SOURCE_ID, wanted)
+    if not parts:
+        return with_versions(submissions).limit(0)
+    named = with_versions(submissions.where(F.col("source_name") == parts.group(2)))
+    found = named.where(F.col("source_id") == wanted.removeprefix(parts.group(1) or ""))
+    return found.where("test") if parts.group(1) else found
+
+
 def latest_versions(submissions: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The newest submission of each source name with its version.
 
@@ -37,27 +51,23 @@ def latest_versions(submissions: DataFrame, columns: Sequence[str]) -> DataFrame
             .select("source_name", "version", "_newest.*"))
 
 
-def resubmission_errors(incoming: DataFrame, submissions: DataFrame,
-                        rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def resubmission_errors(incoming: DataFrame, submissions: DataFrame) -> DataFrame:
     """Adds ``error`` to incoming rows whose name exists already and that are no update."""
     known = submissions.select("source_name").distinct().withColumn("_known", F.lit(True))
     refused = F.col("_known").isNotNull() & ~F.coalesce(F.col("update"), F.lit(False))
-    return (salted_join(incoming, known, ["source_name"], "left", incoming.columns,
-                        rows_per_task)
+    return (incoming.join(known, "source_name", "left")
             .withColumn("error", F.when(refused, F.lit(fixed.ALREADY_SUBMITTED)))
             .drop("_known"))
 
 
-def inherit(incoming: DataFrame, submissions: DataFrame, columns: Sequence[str],
-            rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def inherit(incoming: DataFrame, submissions: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fills what an update leaves out from the latest submission of the same name.
 
     Adds ``previous_version``, NULL where the name is new.
     """
     latest = latest_versions(submissions, columns).withColumnsRenamed(
         {"version": "previous_version", **{c: f"_old_{c}" for c in columns}})
-    joined = salted_join(incoming, latest, ["source_name"], "left", incoming.columns,
-                         rows_per_task)
+    joined = incoming.join(latest, "source_name", "left")
     return (joined.withColumns({c: F.coalesce(c, f"_old_{c}") for c in columns})
             .drop(*[f"_old_{c}" for c in columns]))
 
@@ -79,39 +89,36 @@ def last_update(updates: DataFrame, columns: Sequence[str], order: Column) -> Da
     return updates.groupBy("source_id").agg(last).select("source_id", "_last.*")
 
 
-def eligible_updates(updates: DataFrame, catalog: DataFrame,
-                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def eligible_updates(updates: DataFrame, catalog: DataFrame) -> DataFrame:
     """Metadata updates by the owner of a submission that has finished and succeeded."""
     done = ~F.col("active") & (status_word(F.col("status_code")) == "Succeeded")
     open_to = catalog.where(done).select("source_id", F.col("owner").alias("requester"))
-    return salted_join(updates, open_to, ["source_id", "requester"], "left_semi",
-                       updates.columns, rows_per_task)
+    return updates.join(open_to, ["source_id", "requester"], "left_semi")
 
 
-def registered_organizations(submissions: DataFrame, registry: DataFrame,
-                             rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def registered_organizations(submissions: DataFrame, registry: DataFrame) -> DataFrame:
     """Submissions with an organization that is not in the registry set to NULL."""
     known = registry.select("organization").distinct().withColumn("_known", F.lit(True))
-    joined = lookup_join(submissions, known, ["organization"], "left",
-                         submissions.columns, rows_per_task=rows_per_task)
-    return (joined.withColumn("organization",
-                              F.when(F.col("_known").isNotNull(), F.col("organization")))
-            .drop("_known"))
+    registered = F.when(F.col("_known").isNotNull(), F.col("organization"))
+    return (submissions.join(known, "organization", "left")
+            .withColumn("organization", registered).drop("_known"))
 
 
-def organization_ancestors(parents: DataFrame, max_depth: int = 100) -> DataFrame:
+def organization_ancestors(parents: DataFrame) -> DataFrame:
     """Every organization with each of its ancestors and the number of steps between them.
 
-    ``parents`` has one row ``(org, parent)`` per organization. A chain longer than
-    ``max_depth``, such as a cycle, fails the query rather than being cut short.
+    ``parents`` has one row ``(org, parent)`` per organization. Chains may have any length; one
+    that runs into a cycle ends where an ancestor would repeat, so that an organization in a cycle
+    is listed as its own ancestor.
     """
     return parents.sparkSession.sql(
-        f"""
-        WITH RECURSIVE ancestors (org, ancestor, depth) MAX RECURSION LEVEL {int(max_depth)} AS (
-          SELECT org, parent, 1 FROM {{parents}}
+        """
+        WITH RECURSIVE ancestors (org, ancestor, depth, seen) MAX RECURSION LEVEL 1000000 AS (
+          SELECT org, parent, 1, array(parent) FROM {parents} WHERE parent IS NOT NULL
           UNION ALL
-          SELECT a.org, p.parent, a.depth + 1
-          FROM ancestors a JOIN {{parents}} p ON a.ancestor = p.org
+          SELECT a.org, p.parent, a.depth + 1, array_append(a.seen, p.parent)
+          FROM ancestors a JOIN {parents} p ON a.ancestor = p.org
+          WHERE p.parent IS NOT NULL AND NOT array_contains(a.seen, p.parent)
         )
         SELECT org, ancestor, depth FROM ancestors
         """,
@@ -119,14 +126,10 @@ def organization_ancestors(parents: DataFrame, max_depth: int = 100) -> DataFram
     )
 
 
-def with_ancestors(submissions: DataFrame, parents: DataFrame,
-                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def with_ancestors(submissions: DataFrame, parents: DataFrame) -> DataFrame:
     """One row per submission and organization: its own and that one's ancestors."""
     own = submissions.where(F.col("organization").isNotNull()).select("source_key", "organization")
-    # Written once: the recursion would otherwise run for the size check and again for the join.
-    lines = checkpointed(organization_ancestors(parents)).select(
+    lines = organization_ancestors(parents).where("ancestor <> org").select(
         F.col("org").alias("organization"), F.col("ancestor").alias("_ancestor"))
-    above = lookup_join(own, lines, ["organization"], "inner", ["source_key"],
-                        rows_per_task=rows_per_task)
+    above = own.join(lines, "organization")
     return own.unionByName(above.select("source_key", F.col("_ancestor").alias("organization")))
-

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from shelfmark import fixed
 from shelfmark.functions.times import iso_time
-from shelfmark.operators.skew import ROWS_PER_TASK, salted_join
 from shelfmark.operators.validate import verdict, verdict_error
 
 
@@ -24,10 +23,10 @@ def summaries(tasks: DataFrame) -> DataFrame:
 
 
 def reason(action: Column, given: Column) -> Column:
-    """The reason given, else the default one of the verdict."""
+    """The reason given, as it is, else the default one of the verdict."""
     default = F.coalesce(*[F.when(action == a, F.lit(text))
                            for a, text in fixed.DEFAULT_REASONS.items()])
-    return F.coalesce(F.nullif(F.trim(given), F.lit("")), default)
+    return F.coalesce(F.nullif(given, F.lit("")), default)
 
 
 def usable_verdicts(verdicts: DataFrame) -> DataFrame:
@@ -50,10 +49,7 @@ def apply_verdicts(tasks: DataFrame, verdicts: DataFrame, order: str) -> DataFra
     return tasks.join(decided, "source_id").withColumn("outcome", outcome)
 
 
-def unknown_verdicts(verdicts: DataFrame, tasks: DataFrame,
-                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def unknown_verdicts(verdicts: DataFrame, tasks: DataFrame) -> DataFrame:
     """Valid verdicts on tasks that do not exist, with the error text."""
-    usable = usable_verdicts(verdicts)
-    return (salted_join(usable, tasks.select("source_id"), ["source_id"], "left_anti",
-                        usable.columns, rows_per_task)
+    return (usable_verdicts(verdicts).join(tasks.select("source_id"), "source_id", "left_anti")
             .withColumn("error", F.lit(fixed.TASK_NOT_FOUND)))

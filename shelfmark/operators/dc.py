@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark import fixed
-from shelfmark.functions.documents import absent_if_blank, absent_if_empty, as_list
+from shelfmark.functions.documents import (
+    absent_if_blank, absent_if_empty, as_list, merge_blocks)
 from shelfmark.functions.names import creator_name, split_names
+from shelfmark.schema import DC
 
 _TEXTS = T.ArrayType(T.StringType())
 
@@ -28,8 +30,11 @@ def affiliation_lists(data_type: T.DataType, col: Column) -> Column:
     if isinstance(data_type, T.ArrayType) and isinstance(data_type.elementType, T.ArrayType):
         return F.coalesce(F.transform(col, lambda a: F.coalesce(a, _no_texts())),
                           F.array().cast(T.ArrayType(_TEXTS)))
-    texts = F.array_compact(as_list(col, data_type))
-    return F.transform(texts, lambda a: F.array(a))
+    # A blank one stays as an empty list, so that the others keep their places.
+    if isinstance(data_type, T.StringType):
+        col = absent_if_blank(col)
+    return F.transform(as_list(col, data_type),
+                       lambda a: F.filter(F.array(a), lambda t: F.coalesce(t, F.lit("")) != ""))
 
 
 def align_affiliations(authors: Column, affiliations: Column) -> Column:
@@ -99,13 +104,14 @@ def subjects(texts: Column) -> Column:
 
 
 def dc_block(schema: T.StructType, fields: Mapping[str, str], default_publisher: str,
-             as_of_year: int) -> Column:
+             as_of_year: int, extra: str | None = None) -> Column:
     """The whole block as a struct.
 
     ``fields`` names the input column of each argument: ``title`` and ``authors``, optionally
     ``affiliations``, ``publisher``, ``publication_year``, ``resource_type``, ``description``,
     ``dataset_doi``, ``related_dois`` and ``subjects``. Where lists are allowed, a column may
-    hold a list or a single text.
+    hold a list or a single text. ``extra`` may name a struct column of further citation fields:
+    they are added, nested blocks field by field, and never replace what the block has.
     """
     unknown = set(fields) - _ARGUMENTS
     if unknown:
@@ -125,7 +131,7 @@ def dc_block(schema: T.StructType, fields: Mapping[str, str], default_publisher:
             col = absent_if_blank(col)
         return as_list(col, kind(argument))
 
-    return F.struct(
+    block = F.struct(
         titles(listed("title")).alias("titles"),
         creators(listed("authors"),
                  affiliation_lists(kind("affiliations"), given("affiliations"))).alias("creators"),
@@ -138,12 +144,14 @@ def dc_block(schema: T.StructType, fields: Mapping[str, str], default_publisher:
         related_identifiers(listed("related_dois")).alias("relatedIdentifiers"),
         subjects(listed("subjects")).alias("subjects"),
     )
+    return block if extra is None else merge_blocks(block, DC, F.col(extra),
+                                                    schema[extra].dataType)
 
 
 def with_dc_block(df: DataFrame, fields: Mapping[str, str], default_publisher: str,
-                  as_of_year: int, out: str = "dc") -> DataFrame:
+                  as_of_year: int, out: str = "dc", extra: str | None = None) -> DataFrame:
     """Adds the block as a column."""
-    return df.withColumn(out, dc_block(df.schema, fields, default_publisher, as_of_year))
+    return df.withColumn(out, dc_block(df.schema, fields, default_publisher, as_of_year, extra))
 
 
 def tags_and_subjects(dc: Column, tags: Column) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.documents import json_as_list
 from shelfmark.operators import fold, submission
-from shelfmark.operators.skew import ROWS_PER_TASK, heavy_keys
+from shelfmark.operators.skew import ROWS_PER_TASK, number_rows
 from shelfmark.schema import LINK
 from shelfmark.session import checkpointed
 
@@ -38,8 +38,9 @@ VALUE_FIELDS = ["dc", "organization", "links", "acl", "source_name", "mrr", "ext
                 "update_metadata_only"]
 _KEYS = ("submission_id", "field")
 _STATE = ["submission_id", "field", "key", "pos", "payload"]
-# Rows of one submission that may be gathered into a document.
-DOCUMENT_ROWS = 100_000
+FLAGS = ["test", "update"]
+# Elements of a list, or entries of a map, in one part of a submission.
+PART_ROWS = 100_000
 # Edits of one list numbered together when a list is heavy.
 _SLICE = 100_000
 
@@ -52,7 +53,7 @@ def current_state(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFra
     """
     steps = _steps(fold.valid_edits(log))
     # Written once, as each kind of field is folded in its own way from here.
-    live = checkpointed(fold.after_clear(steps, rows_per_task, _KEYS))
+    live = checkpointed(fold.after_clear(steps, _KEYS))
     lists = fold.appended(live, [F.floor(F.col("seq.at") / _SLICE)], rows_per_task, _KEYS)
     entries = fold.last_write(live.where("op = 'upsert'"), [*_KEYS, "key"])
     values = live.where("op = 'set'")
@@ -67,31 +68,42 @@ def current_state(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFra
     return state
 
 
-def documents(state: DataFrame, max_rows: int = DOCUMENT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Assembled submissions, and the state rows of submissions too large for a document.
+def documents(state: DataFrame, part_rows: int = PART_ROWS,
+              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Assembled submissions, one row for each ``part`` of a submission, counted from 0.
 
-    A submission with more than ``max_rows`` elements and entries is not gathered; its rows make
-    up the second table, so that both together hold everything.
+    A part has at most ``part_rows`` elements of each list and entries of each map; longer ones go
+    on in the next part, in order. Single values stand in part 0.
     """
-    state = checkpointed(state)
-    too_large = F.broadcast(heavy_keys(state, ["submission_id"], max_rows).drop("_parts"))
-    small = state.join(too_large, "submission_id", "left_anti")
-    large = state.join(too_large, "submission_id", "left_semi")
-    gathered = small.groupBy("submission_id").agg(
-        F.collect_list(F.struct("field", "key", "pos", "payload")).alias("rows"))
-    blocks = {name: _list_of(name) for name in [*LIST_FIELDS]}
-    blocks |= {name: _map_of(name) for name in MAP_FIELDS}
-    blocks |= {name: _value_of(name) for name in ("dc", "mrr", "extraction_config")}
-    blocks |= {name: _value_of(name) == "true" for name in (
-        "test", "update", "update_metadata_only", "curation", "no_extract")}
-    blocks["external_uri"] = _text_of("external_uri")
-    blocks["dataset_acl"] = json_as_list(_value_of("dataset_acl"))
+    # Entries of maps are numbered by key, as elements of lists are.
+    is_entry = F.col("key").isNotNull()
+    slices = [F.substring("key", 1, 2), F.substring("key", 1, 8), F.col("key")]
+    entries = number_rows(state.where(is_entry).drop("pos"), _KEYS, ["key"], slices, "pos",
+                          rows_per_task)
+    placed = state.where(~is_entry).unionByName(entries).withColumn(
+        "part", F.coalesce(F.floor((F.col("pos") - 1) / part_rows), F.lit(0)).cast("bigint"))
+
+    def of(field: str, *columns: str) -> Column:
+        return F.collect_list(F.when(F.col("field") == field, F.struct(*columns)))
+
+    def value(field: str) -> Column:
+        return F.max(F.when(F.col("field") == field, F.col("payload")))
+    lists = [of(name, "pos", "payload").alias(name) for name in LIST_FIELDS]
+    maps = [of(name, "key", "payload").alias(name) for name in MAP_FIELDS]
+    values = [value(name).alias(name) for name in (*VALUE_FIELDS, *FLAGS)]
+    gathered = placed.groupBy("submission_id", "part").agg(*lists, *maps, *values)
+    blocks = {name: F.transform(F.array_sort(name), lambda r: r["payload"])
+              for name in LIST_FIELDS}
+    blocks |= {name: F.map_from_entries(F.array_sort(name)) for name in MAP_FIELDS}
+    blocks |= {name: F.col(name) == "true" for name in (
+        *FLAGS, "update_metadata_only", "curation", "no_extract")}
+    blocks["external_uri"] = _text("external_uri")
+    blocks["dataset_acl"] = json_as_list(F.col("dataset_acl"))
     blocks["placement"] = F.struct(
-        _text_of("organization").alias("organization"),
-        F.from_json(_value_of("links"), T.ArrayType(LINK)).alias("links"),
-        json_as_list(_value_of("acl")).alias("acl"),
-        _text_of("source_name").alias("source_name"))
-    return submission.assemble(gathered.withColumns(blocks), keep=["submission_id"]), large
+        _text("organization").alias("organization"),
+        F.from_json("links", T.ArrayType(LINK)).alias("links"),
+        json_as_list(F.col("acl")).alias("acl"), _text("source_name").alias("source_name"))
+    return submission.assemble(gathered.withColumns(blocks), keep=["submission_id", "part"])
 
 
 def _steps(log: DataFrame) -> DataFrame:
@@ -121,9 +133,10 @@ def _steps(log: DataFrame) -> DataFrame:
     custom = F.when(describes, entries).otherwise(F.concat(F.array(step("clear")), entries))
     reset = F.array(*[step("clear", field=F.lit(name))
                       for name in [*LIST_FIELDS, *MAP_FIELDS, *VALUE_FIELDS]])
-    default = F.when((F.col("op") == "upsert") & (F.col("field") == "services"), F.lit("true"))
+    is_service = (F.col("op") == "upsert") & (F.col("field") == "services")
+    given = F.when(~(is_service & (F.trim("payload") == "null")), F.col("payload"))
     plain = F.array(step(F.col("op"), key=F.col("key"),
-                         payload=F.coalesce(F.col("payload"), default)))
+                         payload=F.coalesce(given, F.when(is_service, F.lit("true")))))
     steps = (F.when(F.col("op") == "reset", reset).when(is_list, elements)
              .when(is_custom, custom).otherwise(plain))
     return (log.select("submission_id", F.col("seq").alias("at"), F.explode(steps).alias("s"))
@@ -137,23 +150,5 @@ def _columns(part: DataFrame) -> list[Column]:
             for c in _STATE]
 
 
-def _of(field: str) -> Column:
-    return F.filter("rows", lambda r: r["field"] == field)
-
-
-def _list_of(field: str) -> Column:
-    ordered = F.array_sort(F.transform(_of(field), lambda r: F.struct(r["pos"], r["payload"])))
-    return F.transform(ordered, lambda r: r["payload"])
-
-
-def _map_of(field: str) -> Column:
-    return F.map_from_entries(F.array_sort(
-        F.transform(_of(field), lambda r: F.struct(r["key"], r["payload"]))))
-
-
-def _value_of(field: str) -> Column:
-    return F.get(_of(field), F.lit(0))["payload"]
-
-
-def _text_of(field: str) -> Column:
-    return F.try_variant_get(F.try_parse_json(_value_of(field)), "$", "string")
+def _text(field: str) -> Column:
+    return F.try_variant_get(F.try_parse_json(field), "$", "string")

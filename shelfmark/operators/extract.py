@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark import fixed
+from shelfmark.functions.documents import json_problem
 from shelfmark.functions.locations import directory
 
 NaValues = str | Sequence[str] | None
@@ -37,6 +38,30 @@ def json_records(df: DataFrame, document: Column, mapping: Mapping[str, str],
                        types, na_values) for target, source in mapping.items()}, keep)
 
 
+def mapped_records(files: DataFrame, document: str, index: DataFrame, key: str,
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """Records of JSON documents, each through the mapping of its own submission.
+
+    ``index`` has one row per ``key`` with ``mapping`` (target to dotted source) and ``na_values``.
+    As every submission maps to other fields, a ``record`` is a map from target to text; values
+    that are missing are left out, and documents without any are no records.
+    """
+    paths = F.transform_values("mapping", lambda _, source: F.concat(
+        F.lit("$['"), F.array_join(F.split(source, "[.]"), "']['"), F.lit("']")))
+    values = F.transform_values(paths, lambda _, path: F.call_function(
+        "get_json_object", F.col(document), path))
+    missing = F.coalesce("na_values", F.array().cast("array<string>"))
+    record = F.map_filter(values, lambda _, v: v.isNotNull() & ~F.array_contains(missing, v))
+    return (files.join(index.select(key, "mapping", "na_values"), key)
+            .select(*keep, key, record.alias("record")).where(F.size("record") > 0))
+
+
+def json_rejects(df: DataFrame, document: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """The rows whose document gives no record because it cannot be read, with the ``reason``."""
+    found = df.select(*keep, json_problem(document).alias("reason"))
+    return found.where(F.col("reason").isin("malformed", "too large"))
+
+
 def csv_records(df: DataFrame, line: Column, header: Sequence[str], mapping: Mapping[str, str],
                 delimiter: str = ",", types: Mapping[str, str] | None = None,
                 na_values: NaValues = None, keep: Sequence[str] = ()) -> DataFrame:

@@ -100,11 +100,17 @@ def by_source_id(submissions: DataFrame, source_id: str) -> DataFrame:
     """The submission with this id.
 
     The name within the id is tested as well, so that a table laid out by name is read only
-    where that name lies.
+    where that name lies. The test prefix asks for a test submission. For submissions that are
+    not numbered yet see ``catalog.by_source_id``.
     """
-    rows = submissions.where(F.col("source_id") == source_id)
     parts = re.fullmatch(SOURCE_ID, source_id)
-    if parts and "source_name" in submissions.columns:
+    if not parts:
+        return submissions.where(F.col("source_id") == source_id)
+    rows = submissions.where(F.col("source_id").isin(
+        source_id, source_id.removeprefix(parts.group(1) or "")))
+    if parts.group(1) and "test" in submissions.columns:
+        rows = rows.where("test")
+    if "source_name" in submissions.columns:
         rows = rows.where(F.col("source_name") == parts.group(2))
     return rows
 

@@ -3,7 +3,7 @@
 A log has columns ``submission_id``, ``op``, ``key``, ``payload`` and an orderable ``seq``, unique
 within a submission. Results stay in long form, one row per list element or per key, so that a
 submission with any number of edits is never gathered in one place. Aggregations combine partial
-results before the shuffle; the joins and numberings are the skew-proof ones.
+results before the shuffle; joins are split by adaptive execution, numberings by slices.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.documents import is_finite_json
-from shelfmark.operators.skew import ROWS_PER_TASK, number_rows, salted_join
+from shelfmark.functions.documents import is_finite_json, json_problem
+from shelfmark.operators.skew import ROWS_PER_TASK, number_rows
 
 FIELD = ("submission_id", "key")
 
@@ -57,18 +57,16 @@ def without_deleted(log: DataFrame, columns: Sequence[str] = ("payload",)) -> Da
         *FIELD, *columns)
 
 
-def after_clear(log: DataFrame, rows_per_task: int = ROWS_PER_TASK,
-                keys: Sequence[str] = FIELD) -> DataFrame:
+def after_clear(log: DataFrame, keys: Sequence[str] = FIELD) -> DataFrame:
     """The edits that come after the last ``clear`` of their field."""
     cleared = (log.where("op = 'clear'").groupBy(*keys)
                .agg(F.max("seq").alias("_cleared")))
     edits = log.where("op <> 'clear'")
-    joined = salted_join(edits, cleared, keys, "left", ["seq"], rows_per_task)
+    joined = edits.join(cleared, list(keys), "left")
     return joined.where(_is_after("_cleared")).drop("_cleared")
 
 
-def after_reset(log: DataFrame, keep: Sequence[str] = ("test", "update"),
-                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def after_reset(log: DataFrame, keep: Sequence[str] = ("test", "update")) -> DataFrame:
     """The edits that come after the last ``reset`` of their submission.
 
     Fields in ``keep`` are not reset. Clears still stand: apply ``after_clear`` to the result.
@@ -76,14 +74,16 @@ def after_reset(log: DataFrame, keep: Sequence[str] = ("test", "update"),
     reset = (log.where("op = 'reset'").groupBy("submission_id")
              .agg(F.max("seq").alias("_reset")))
     edits = log.where("op <> 'reset'")
-    joined = salted_join(edits, reset, ["submission_id"], "left", ["seq"], rows_per_task)
+    joined = edits.join(reset, "submission_id", "left")
     return joined.where(F.col("key").isin(*keep) | _is_after("_reset")).drop("_reset")
 
 
 def is_falsy(payload: Column) -> Column:
     """Whether a payload is nothing: missing, JSON null, false, zero, empty text, list or object."""
-    bare = F.regexp_replace(payload, r"\s", "")
-    return payload.isNull() | bare.isin("", "null", "false", "0", "0.0", '""', "[]", "{}")
+    bare = F.regexp_replace(payload, r"^\s+|\s+$", "")
+    zero = bare.rlike(r"^-?0(\.0+)?([eE][+-]?[0-9]+)?$")
+    return (payload.isNull() | bare.isin("", "null", "false", '""') | zero
+            | bare.rlike(r"^(\[\s*\]|\{\s*\})$"))
 
 
 def valid_edits(log: DataFrame) -> DataFrame:
@@ -91,6 +91,12 @@ def valid_edits(log: DataFrame) -> DataFrame:
     return log.where(is_finite_json(F.col("payload")))
 
 
+def rejected_edits(log: DataFrame) -> DataFrame:
+    """The edits that ``valid_edits`` leaves out, with the ``reason``."""
+    return (log.withColumn("reason", json_problem(F.col("payload")))
+            .where(F.col("reason").isNotNull()))
+
+
 def in_chunks(elements: DataFrame, chunk_size: int = 10_000) -> DataFrame:
     """Numbered list elements as arrays of at most ``chunk_size``, in order.
 

@@ -1,57 +1,26 @@
-"""Joins and row numbers that hold when one key has a large share of all rows.
+"""Row numbers that hold when one key has a large share of all rows.
 
 A key is *heavy* when it has more than ``rows_per_task`` rows. There are fewer heavy keys than
 rows / ``rows_per_task``, which is what bounds the tables of heavy keys broadcast here: at a
-trillion rows they have at most 250,000 entries.
+trillion rows they have at most 250,000 entries. Joins on skewed keys need nothing of the kind:
+adaptive execution splits them, see ``session.SETTINGS``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 4_000_000
-LOOKUP_ROWS = 100_000
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str],
                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The heavy keys with ``_parts``, the number of tasks each should be spread over."""
+    """The keys with more than ``rows_per_task`` rows."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return (counts.where(F.col("_n") > rows_per_task)
-            .select(*keys, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_parts")))
-
-
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
-                spread: Sequence[Column | str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Join on ``keys`` with the heavy keys of ``left`` split over several tasks.
-
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. ``spread`` tells the rows of
-    one key apart. Rows of ``right`` are repeated for heavy keys only, once per split; rows of
-    ``left`` without a key match nothing and are spread freely.
-    """
-    heavy = F.broadcast(heavy_keys(left.dropna(subset=list(keys)), keys, rows_per_task))
-    code = F.xxhash64(*spread)
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salt = (F.when(no_key, code)
-            .otherwise(F.coalesce(F.pmod(code, F.col("_parts")), F.lit(0).cast("bigint"))))
-    salts = F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                 F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint") - 1))
-    salted_left = left.join(heavy, list(keys), "left").withColumn("_salt", salt).drop("_parts")
-    salted_right = right.join(heavy, list(keys), "left").withColumn("_salt", salts).drop("_parts")
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
-
-
-def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
-                spread: Sequence[Column | str], lookup_rows: int = LOOKUP_ROWS,
-                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Join with a lookup table: broadcast when a count shows it small, salted otherwise."""
-    if right.limit(lookup_rows + 1).count() <= lookup_rows:
-        return left.join(F.broadcast(right), list(keys), how)
-    return salted_join(left, right, keys, how, spread, rows_per_task)
+    return counts.where(F.col("_n") > rows_per_task).select(*keys)
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -59,25 +28,27 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``row_number()`` per key without putting a heavy key into one task.
 
-    Each of ``slices`` must never decrease along ``order`` among rows equal in those before it:
-    the hour of a time, say, then the time with a range of ids. Heavy keys are cut by the first
+    Each of ``slices`` must never decrease along ``order`` (nulls first) among rows equal in those
+    before it: the hour of a time, say, then the minute, and so on. Heavy keys are cut by the first
     one, heavy pieces by the next, and every piece is numbered from the count of rows before it.
-    All other keys stay whole, so that they need the usual single shuffle.
+    All other keys stay whole, so that they need the usual single shuffle. Beyond the count per
+    key, the passes join the heavy keys, and adaptive execution leaves them out if there are none.
     """
-    # In a struct, NULL keys equal each other, so that they too can be heavy.
+    # In a struct, NULL keys and slices equal each other, so that they too can be heavy.
     rows = df.withColumn("_key", F.struct(*keys))
-    piece = ["_key"]
+    piece, inside = ["_key"], rows
     for level, slice_by in enumerate(slices):
-        whole = rows if level == 0 else rows.where(F.col(piece[-1]).isNotNull())
-        heavy = F.broadcast(heavy_keys(whole, piece, rows_per_task))
-        cut = F.when(F.col("_parts").isNotNull(), slice_by).alias(f"_slice{level}")
-        rows = rows.join(heavy, piece, "left").select("*", cut).drop("_parts")
-        piece = [*piece, f"_slice{level}"]
-    first = piece[1]
+        heavy = F.broadcast(heavy_keys(inside, piece, rows_per_task))
+        name = f"_slice{level}"
+        inside = inside.join(heavy, piece).withColumn(name, F.struct(slice_by))
+        rows = (rows.join(heavy.withColumn("_cut", F.lit(True)), piece, "left")
+                .withColumn(name, F.when(F.col("_cut"), F.struct(slice_by))).drop("_cut"))
+        if level == 0:
+            first = heavy
+        piece = [*piece, name]
     earlier = Window.partitionBy("_key").orderBy(*piece[1:]).rowsBetween(
         Window.unboundedPreceding, -1)
-    before = (rows.where(F.col(first).isNotNull())
-              .groupBy(*piece).agg(F.count("*").alias("_n"))
+    before = (rows.join(first, "_key").groupBy(*piece).agg(F.count("*").alias("_n"))
               .select(F.struct(*piece).alias("_piece"), F.sum("_n").over(earlier).alias("_before")))
     # The plain keys are named too, so that filters on them reach the scan.
     within = Window.partitionBy(*keys, "_piece").orderBy(*order)

@@ -132,5 +132,5 @@ def _block(df: DataFrame, name: str, kind: T.DataType) -> Column:
     if isinstance(kind, (T.ArrayType, T.MapType)):
         return absent_if_empty(col)
     if name in _JSON_TEXTS:
-        return F.when(~F.regexp_replace(col, r"\s", "").isin("", "{}", "null"), col)
+        return F.when(~F.regexp_replace(col, r"\s", "").isin("", "{}", "[]", "null"), col)
     return absent_if_blank(col)

@@ -68,7 +68,7 @@ def destinations(data_destinations: Column) -> Column:
 
 def verdict(action: Column) -> Column:
     """A verdict is ``accept`` or ``reject`` once trimmed and in lower case."""
-    return F.lower(F.trim(action))
+    return F.lower(F.regexp_replace(action, r"^\s+|\s+$", ""))
 
 
 def verdict_error(action: Column) -> Column:

@@ -122,7 +122,8 @@ VIEWS = {
           as source_id,
         case source_key % 4 when 0 then 'accept' when 1 then 'reject' when 2 then 'accept'
           else 'maybe' end as action,
-        case when source_key % 3 = 1 then 'because' end as reason, source_key from tasks""",
+        case source_key % 3 when 0 then ' ' when 1 then 'because' end as reason, source_key
+      from tasks""",
     "updates": """
       select source_id, owner + source_key % 2 as requester, case when source_key % 3 <> 0
         then 'new title ' || cast(source_key as varchar) end as title from catalog""",
@@ -233,6 +234,9 @@ ORACLE: dict[str, str] = {
       union all select 'active', source_key from subs where active"""),
     "f_point_lookup": _with("catalog", """
       select source_id, source_key, status_code from catalog where source_id = 'ds_1_v2.1'"""),
+    "f_lookup_test": _with("catalog", """
+      select source_id, source_key, status_code from catalog
+      where test and source_id = 'ds_3_v3.1'"""),
     # --- status
     "status_report": _with("worded", """
       select source_id, source_id || ': ' || case when active then 'Processing'
@@ -265,8 +269,8 @@ ORACLE: dict[str, str] = {
       select source_key, routed_id, case when test then 'catalog-test' else 'catalog' end
         as search_index, not test as public from routed"""),
     "source_id_parts": _with("routed", """
-      select source_key, test as is_test, source_name, cast(version as integer) as major,
-        1 as minor from routed"""),
+      select source_key, test as is_test, source_name, version as major,
+        cast(1 as bigint) as minor from routed"""),
     "resubmit_guard": _with("subs incoming", f"""
       select incoming_key, source_name, case when not "update"
         and source_name in (select source_name from subs)
@@ -285,6 +289,11 @@ ORACLE: dict[str, str] = {
       select u.source_id, u.requester from updates u join worded c
         on u.source_id = c.source_id and u.requester = c.owner
       where not active and word = 'Succeeded'"""),
+    "metadata_update_flow": _with("worded updates", """
+      select c.source_id, coalesce(u.title || case when length(c.source_id) % 2 = 0
+        then ' again' else '' end, 'title of ' || source_name) as title
+      from worded c left join updates u on u.source_id = c.source_id
+        and u.requester = c.owner and not active and word = 'Succeeded'"""),
     "org_registry": _with("subs", """
       select source_key, case when organization <> '5-LOW' then organization end as organization
       from subs"""),
@@ -456,6 +465,24 @@ ORACLE: dict[str, str] = {
         select *, row_number() over (partition by submission_id, field, key order by seq desc)
           as rn from live_calls where op <> 'append')
       where rn = 1 and payload <> 'null'"""),
+    "draft_documents": _with("live_calls", """
+      select submission_id, part,
+        string_agg(case when field = 'tags' then payload end, '|' order by pos) as tags,
+        string_agg(case when field = 'services' then key end, '|' order by key) as services,
+        string_agg(case when field = 'projects' then key end, '|' order by key) as projects,
+        max(case when field = 'organization' then trim(payload, '"') end) as organization
+      from (select submission_id, field, key, payload, case when field = 'organization'
+          then 0 else (coalesce(pos, row_number() over (partition by submission_id, field,
+            pos is null order by key)) - 1) // 3 end as part, pos from (
+          select submission_id, field, cast(null as varchar) as key,
+        row_number() over (partition by submission_id order by seq) as pos, payload
+      from live_calls where op = 'append'
+      union all
+      select submission_id, field, key, null, payload from (
+        select *, row_number() over (partition by submission_id, field, key order by seq desc)
+          as rn from live_calls where op <> 'append')
+      where rn = 1 and payload <> 'null') state) placed
+      group by submission_id, part"""),
     "custom_desc": _with("dc_input", """
       select submission_id, 'type' as field, subject1 as value from dc_input
       union all select submission_id, 'brand', tag1 from dc_input
@@ -482,6 +509,11 @@ ORACLE: dict[str, str] = {
       select source_id, submitter, waiting_since, extraction_summary,
         source_id || ' by ' || cast(submitter as varchar) || chr(10) || 'Waiting since '
           || waiting_since || chr(10) || extraction_summary || chr(10) as summary from tasks"""),
+    "curation_list": _with("tasks", """
+      select source_id, submitter, waiting_since, extraction_summary,
+        source_id || ' by ' || cast(submitter as varchar) || chr(10) || 'Waiting since '
+          || waiting_since || chr(10) || extraction_summary || chr(10) as summary from tasks
+      where organization in ('1-URGENT', '2-HIGH')"""),
     "canonical_json": _with("tasks", """
       select source_id, '{"curation_start_date":"' || waiting_since || '","extraction_summary":"'
         || extraction_summary || '","source_id":"' || source_id
@@ -499,9 +531,14 @@ ORACLE: dict[str, str] = {
       select event_id, cast(regexp_extract(props, '"k": ([0-9]+)', 1) as bigint) as k,
         cast(null as varchar) as y from events""",
     "index_nested": """
-      select p_partkey, p_type as composition, p_size as number_of_atoms,
-        case when p_partkey % 3 <> 0 then p_partkey end as space_group_number,
-        cast(null as boolean) as converged from part""",
+      select p_partkey, p_type as kind, p_size as length,
+        case when p_partkey % 3 <> 0 then p_partkey end as shelf,
+        cast(null as boolean) as checked from part""",
+    "index_by_submission": """
+      select p_partkey, case when p_partkey % 3 < 2 then p_type end as kind,
+        cast(null as varchar) as shelf, case p_partkey % 3
+          when 1 then case when p_size not in (7, 8) then cast(p_size as varchar) end
+          when 2 then cast(p_partkey as varchar) end as b from part""",
     "index_csv": _with("lines", """
       select l_orderkey, l_linenumber, number, flag, status, cast(null as varchar) as comment
       from lines"""),
@@ -511,10 +548,10 @@ ORACLE: dict[str, str] = {
         case when l_linestatus = 'F' then ' ' when l_linestatus not in ('A', 'N')
           then l_linestatus end as status from lineitem""",
     "index_xml": """
-      select p_partkey, p_type as composition, p_size as size, cast(null as varchar) as gone
+      select p_partkey, p_type as kind, p_size as size, cast(null as varchar) as gone
       from part""",
     "index_yaml": """
-      select p_partkey, p_type as composition, p_size as size, cast(null as varchar) as gone
+      select p_partkey, p_type as kind, p_size as size, cast(null as varchar) as gone
       from part""",
     "index_filename": _with("page_fields", """
       select page_id, number, kind, "view" from page_fields
@@ -527,8 +564,8 @@ ORACLE: dict[str, str] = {
       from page_fields
       where number is not null or kind is not null or "view" is not null group by 1"""),
     "index_union": _with("lines", """
-      select p_partkey, p_type as composition, case when p_partkey % 3 <> 0 then p_partkey end
-        as space_group_number, cast(null as varchar) as status from part
+      select p_partkey, p_type as kind, case when p_partkey % 3 <> 0 then p_partkey end
+        as shelf, cast(null as varchar) as status from part
       union all select l_partkey, flag, null, status from lines"""),
     "passthrough_filter": _with("locations", """
       select page_id, url from locations where page_id % 3 = 0 or page_id % 2 <> 0"""),

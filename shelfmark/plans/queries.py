@@ -89,7 +89,14 @@ def f_scope(spark, folder):
 
 @query
 def f_point_lookup(spark, folder):
-    found = filters.by_source_id(views.catalog(spark, folder), "ds_1_v2.1")
+    found = catalog.by_source_id(views.submissions(spark, folder), "ds_1_v2.1")
+    return found.select("source_id", "source_key", "status_code")
+
+
+@query
+def f_lookup_test(spark, folder):
+    """An id as statuses of tests carry it."""
+    found = catalog.by_source_id(views.submissions(spark, folder), "_test_ds_3_v3.1")
     return found.select("source_id", "source_key", "status_code")
 
 
@@ -218,6 +225,19 @@ def update_eligible(spark, folder):
     ).select("source_id", "requester")
 
 
+@query
+def metadata_update_flow(spark, folder):
+    """Eligible updates only, of several to one submission the last, laid over the catalog."""
+    entries = views.catalog(spark, folder)
+    once = views.metadata_updates(spark, folder).withColumn("seq", F.lit(1))
+    again = once.where("length(source_id) % 2 = 0").withColumns(
+        {"seq": F.lit(2), "title": F.concat("title", F.lit(" again"))})
+    eligible = catalog.eligible_updates(once.unionByName(again), entries)
+    last = catalog.last_update(eligible.where("title is not null"), ["title"], F.col("seq"))
+    old = entries.select("source_id", F.concat(F.lit("title of "), "source_name").alias("title"))
+    return catalog.overlay_metadata(old, last, ["title"])
+
+
 @query
 def org_registry(spark, folder):
     return catalog.registered_organizations(
@@ -618,6 +638,18 @@ def stream_fold(spark, folder):
     return runs.read_fold(spark, out).select("submission_id", "key", "payload")
 
 
+@query
+def draft_documents(spark, folder):
+    """Submissions in parts of three elements, put together from all builder calls."""
+    state = draft.current_state(views.builder_log(spark, folder))
+    parts = draft.documents(state, part_rows=3)
+    return parts.select(
+        "submission_id", "part", F.array_join("tags", "|").alias("tags"),
+        F.array_join(F.map_keys("services"), "|").alias("services"),
+        F.array_join(F.map_keys("projects"), "|").alias("projects"),
+        F.col("placement.organization").alias("organization"))
+
+
 @query
 def draft_state(spark, folder):
     """What submissions hold after all builder calls."""
@@ -672,6 +704,15 @@ def curation_summary(spark, folder):
     return curation.summaries(views.curation_tasks(spark, folder))
 
 
+@query
+def curation_list(spark, folder):
+    """What one of a priority's curators sees: the tasks of that list, with their summaries."""
+    tasks = views.curation_tasks(spark, folder)
+    identities = spark.createDataFrame([("1-URGENT",), ("2-HIGH",)], "principal string")
+    mine = access.curatable(tasks, identities, "source_id")
+    return curation.summaries(access.not_public(tasks).join(mine, "source_id", "left_semi"))
+
+
 @query
 def canonical_json(spark, folder):
     tasks = views.curation_tasks(spark, folder).withColumn(
@@ -698,14 +739,12 @@ def curation_unknown(spark, folder):
 # --- records ----------------------------------------------------------------
 
 DOCUMENT_MAPPING = {
-    "material.composition": "my_data.mat.comp",
-    "crystal_structure.number_of_atoms": "my_data.atom_num",
-    "crystal_structure.space_group_number": "space_grp",
-    "dft.converged": "dft_info.conv",
+    "goods.kind": "item.spec.kind",
+    "goods.length": "item.length",
+    "place.shelf": "shelf",
+    "place.checked": "audit.passed",
 }
-DOCUMENT_TYPES = {"crystal_structure.number_of_atoms": "int",
-                  "crystal_structure.space_group_number": "bigint",
-                  "dft.converged": "boolean"}
+DOCUMENT_TYPES = {"goods.length": "int", "place.shelf": "bigint", "place.checked": "boolean"}
 
 
 @query
@@ -724,8 +763,22 @@ def _document_records(spark, folder):
 @query
 def index_nested(spark, folder):
     return _document_records(spark, folder).select(
-        "p_partkey", "material.composition", "crystal_structure.number_of_atoms",
-        "crystal_structure.space_group_number", "dft.converged")
+        "p_partkey", "goods.kind", "goods.length", "place.shelf", "place.checked")
+
+
+@query
+def index_by_submission(spark, folder):
+    """Documents of three submissions, each read through its own mapping."""
+    docs = views.part_documents(spark, folder).withColumn(
+        "submission_id", F.col("p_partkey") % 3)
+    index = spark.createDataFrame([
+        (0, {"a.kind": "item.spec.kind", "a.shelf": "shelf"}, None),
+        (1, {"a.kind": "item.spec.kind", "b": "item.length"}, ["7", "8"]),
+        (2, {"b": "shelf"}, None)],
+        "submission_id bigint, mapping map<string,string>, na_values array<string>")
+    found = extract.mapped_records(docs, "document", index, "submission_id", keep=["p_partkey"])
+    return found.select("p_partkey", F.col("record")["a.kind"].alias("kind"),
+                        F.col("record")["a.shelf"].alias("shelf"), F.col("record")["b"].alias("b"))
 
 
 LINE_HEADER = ["number", "flag", "status"]
@@ -756,8 +809,8 @@ def index_xml(spark, folder):
         F.lit("<entry><mat><comp>"), "p_type", F.lit("</comp></mat><size>"),
         F.col("p_size").cast("string"), F.lit("</size></entry>")).alias("document"))
     return extract.xml_records(df, F.col("document"), {
-        "material.composition": "mat.comp", "material.size": "size", "material.gone": "mat.gone",
-    }, {"material.size": "int"}, keep=["p_partkey"]).select("p_partkey", "material.*")
+        "goods.kind": "mat.comp", "goods.size": "size", "goods.gone": "mat.gone",
+    }, {"goods.size": "int"}, keep=["p_partkey"]).select("p_partkey", "goods.*")
 
 
 @query
@@ -766,9 +819,9 @@ def index_yaml(spark, folder):
         F.lit("mat:\n  comp: '"), "p_type", F.lit("'\n  size: "),
         F.col("p_size").cast("string"), F.lit("\n")).alias("document"))
     return yaml_records(df, "document", {
-        "material.composition": "mat.comp", "material.size": "mat.size",
-        "material.gone": "mat.gone"}, {"material.size": "int"}, keep=["p_partkey"],
-    ).select("p_partkey", "material.*")
+        "goods.kind": "mat.comp", "goods.size": "mat.size",
+        "goods.gone": "mat.gone"}, {"goods.size": "int"}, keep=["p_partkey"],
+    ).select("p_partkey", "goods.*")
 
 
 NAME_PATTERNS = {"page.number": r"^(\d+)", "page.kind": r"\.([a-z]+)", "page.view": r"page=\d+"}
@@ -794,9 +847,9 @@ def group_by_dir(spark, folder):
 @query
 def index_union(spark, folder):
     from_json = _document_records(spark, folder).select(
-        "p_partkey", "material.composition", "crystal_structure.space_group_number")
+        "p_partkey", "goods.kind", "place.shelf")
     from_csv = _line_records(spark, folder).select(
-        F.col("l_partkey").alias("p_partkey"), F.col("line.flag").alias("composition"),
+        F.col("l_partkey").alias("p_partkey"), F.col("line.flag").alias("kind"),
         "line.status")
     return extract.union_records(from_json, from_csv)
 

@@ -163,7 +163,7 @@ def verdicts(spark: SparkSession, folder: str) -> DataFrame:
     return catalog(spark, folder).where("active").select(
         F.when(key % 11 == 0, F.concat("source_id", F.lit("_gone")))
         .otherwise(F.col("source_id")).alias("source_id"),
-        F.when(key % 4 == 0, " Accept ").when(key % 4 == 1, "REJECT").when(key % 4 == 2, "accept")
+        F.when(key % 4 == 0, " Accept\n").when(key % 4 == 1, "REJECT").when(key % 4 == 2, "accept")
         .otherwise("maybe").alias("action"),
         F.when(key % 3 == 0, " ").when(key % 3 == 1, "because").alias("reason"),
         "source_key",
@@ -232,7 +232,7 @@ def delimited(spark: SparkSession, folder: str) -> DataFrame:
 def part_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Nested JSON documents, one per part."""
     doc = F.struct(
-        F.struct(F.struct(F.col("p_type").alias("comp")).alias("mat"),
-                 F.col("p_size").alias("atom_num")).alias("my_data"),
-        F.when(F.col("p_partkey") % 3 != 0, F.col("p_partkey")).alias("space_grp"))
+        F.struct(F.struct(F.col("p_type").alias("kind")).alias("spec"),
+                 F.col("p_size").alias("length")).alias("item"),
+        F.when(F.col("p_partkey") % 3 != 0, F.col("p_partkey")).alias("shelf"))
     return table(spark, folder, "part").select("p_partkey", F.to_json(doc).alias("document"))

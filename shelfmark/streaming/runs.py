@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators.skew import ROWS_PER_TASK, salted_join
 
 # Keeps the state of a stream on disk, so that it may outgrow an executor's memory.
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
@@ -44,7 +43,7 @@ def read_current_status(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_fold(log: DataFrame, fold: Callable[[DataFrame], DataFrame], folder: str,
-             buckets: int = 64, rows_per_task: int = ROWS_PER_TASK) -> None:
+             buckets: int = 64) -> None:
     """Keeps the fold of an edit log up to date, batch by batch.
 
     Each micro-batch is added to the stored log; then the submissions it touches, and no others,
@@ -62,8 +61,8 @@ def run_fold(log: DataFrame, fold: Callable[[DataFrame], DataFrame], folder: str
         # At most `buckets` numbers, to prune folders by.
         numbers = [r["bucket"] for r in touched.select("bucket").distinct().collect()]
         history = stored.where(F.col("bucket").isin(numbers) & (F.col("batch") <= batch_id))
-        whole = salted_join(history.drop("bucket", "batch"), touched.select("submission_id"),
-                            ["submission_id"], "left_semi", ["seq"], rows_per_task)
+        whole = history.drop("bucket", "batch").join(
+            touched.select("submission_id"), "submission_id", "left_semi")
         fold(whole).write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
         # Written last: only now does the batch count for these submissions.
         (touched.select("submission_id")
@@ -72,12 +71,11 @@ def run_fold(log: DataFrame, fold: Callable[[DataFrame], DataFrame], folder: str
     _run(log.writeStream.outputMode("append"), write, folder)
 
 
-def read_fold(spark: SparkSession, folder: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def read_fold(spark: SparkSession, folder: str) -> DataFrame:
     """The state of every submission as the last micro-batch that touched it left it."""
     touched, state = (spark.read.parquet(f"{folder}/{part}") for part in ("touched", "state"))
     last = touched.groupBy("submission_id").agg(F.max("batch").alias("batch"))
-    return salted_join(state, last, ["submission_id", "batch"], "left_semi", state.columns,
-                       rows_per_task).drop("batch")
+    return state.join(last, ["submission_id", "batch"], "left_semi").drop("batch")
 
 
 def _run(writer, write: Callable[[DataFrame, int], None], folder: str) -> None:

@@ -31,16 +31,15 @@ def test_latest(subs):
     assert sorted(map(tuple, got)) == [("a", 3, 3), ("b", 1, 4)]
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 10**6])
-def test_inherit_and_guard(spark, subs, rows_per_task):
+def test_inherit_and_guard(spark, subs):
     new = spark.sql("""select * from values (1, 'a', 'own', cast(null as int), true),
         (2, 'a', null, 3, false), (3, 'c', null, null, null), (4, 'b', null, null, null)
         as t(k, source_name, organization, size, update)""")
-    got = catalog.inherit(new, subs, ["organization", "size"], rows_per_task).select(
+    got = catalog.inherit(new, subs, ["organization", "size"]).select(
         "k", "previous_version", "organization", "size")
     assert sorted(map(tuple, got.collect())) == [
         (1, 3, "own", None), (2, 3, "z", 3), (3, None, None, None), (4, 1, "y", 8)]
-    guarded = catalog.resubmission_errors(new, subs, rows_per_task).collect()
+    guarded = catalog.resubmission_errors(new, subs).collect()
     assert sorted(r["k"] for r in guarded if r["error"]) == [2, 4] and len(guarded) == 4
 
 
@@ -59,22 +58,40 @@ def test_metadata_updates(spark):
         ("a_v1.1", "last"), ("b_v1.1", "old"), ("c_v1.1", "old")]
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 10**6])
-def test_organizations(spark, subs, rows_per_task):
+def test_organizations(spark, subs):
     registry = spark.sql("select explode(array('x', 'y', 'y')) as organization")
-    got = catalog.registered_organizations(subs, registry, rows_per_task)
+    got = catalog.registered_organizations(subs, registry)
     assert sorted((r["source_key"], r["organization"]) for r in got.collect()) == [
         (1, "x"), (2, None), (3, None), (4, "y")]
     parents = spark.sql("select * from values ('x', 'p'), ('p', 'q'), ('y', 'q') as t(org, parent)")
-    got = catalog.with_ancestors(subs, parents, rows_per_task)
+    got = catalog.with_ancestors(subs, parents)
     assert sorted(map(tuple, got.collect())) == [
         (1, "p"), (1, "q"), (1, "x"), (3, "z"), (4, "q"), (4, "y")]
 
 
-def test_cycle_of_parents_fails(spark):
-    parents = spark.sql("select * from values ('x', 'y'), ('y', 'x') as t(org, parent)")
-    with pytest.raises(Exception, match="RECURSION"):
-        catalog.organization_ancestors(parents, max_depth=8).collect()
+def test_cycles_and_long_chains_of_parents(spark):
+    parents = spark.sql("""select * from values ('x', 'y'), ('y', 'x'), ('a', 'x') as t(org, parent)
+        union all select concat('c', id), concat('c', id + 1) from range(150)""")
+    got = sorted(map(tuple, catalog.organization_ancestors(parents).collect()))
+    assert [r for r in got if not r[0].startswith("c")] == [
+        ("a", "x", 1), ("a", "y", 2), ("x", "x", 2), ("x", "y", 1), ("y", "x", 1), ("y", "y", 2)]
+    assert len([r for r in got if r[0] == "c0"]) == 150
+
+
+def test_lookup_numbers_one_name(spark, subs):
+    rows = subs.withColumn("test", F.col("source_key") == 2)
+    key = lambda sid: [r["source_key"] for r in catalog.by_source_id(rows, sid).collect()]
+    assert key("a_v3.1") == [3] and key("_test_a_v1.1") == [2] and key("_test_a_v2.1") == []
+    assert key("a_v9.1") == [] and key("no id") == []
+
+
+def test_map_columns_pass_joins(spark, subs):
+    new = spark.sql("select 1 as k, 'a' as source_name, map('s', 'p') as services, false as update, "
+                    "cast(null as string) as organization, cast(null as int) as size")
+    assert catalog.resubmission_errors(new, subs).count() == 1
+    assert catalog.inherit(new, subs, ["organization", "size"]).first()["services"] == {"s": "p"}
+    registry = spark.sql("select 'x' as organization")
+    assert catalog.registered_organizations(new, registry).count() == 1
 
 
 @pytest.fixture(scope="module")
@@ -84,13 +101,15 @@ def entries(spark):
         as t(id, acl, dataset_acl)""")
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 10**6])
-def test_visibility(spark, entries, rows_per_task):
+def test_visibility(spark, entries):
     who = spark.sql("select explode(array('u1', 'g9')) as principal")
     ids = lambda df: sorted(r["id"] for r in df.collect())
-    assert ids(access.visible_entries(entries, who, "id", rows_per_task)) == [1, 2, 3, 4, 5]
-    assert ids(access.visible_records(entries, who, "id", rows_per_task)) == [1, 2, 5]
+    assert ids(access.visible_entries(entries, who, "id")) == [1, 2, 3, 4, 5]
+    assert ids(access.visible_records(entries, who, "id")) == [1, 2, 5]
     assert ids(access.not_public(entries)) == [2, 3, 4]
+    holes = spark.sql("select 1 as id, array('u1', null) as acl, null as dataset_acl")
+    assert ids(access.not_public(holes)) == [1]
+    assert ids(access.visible_records(holes, who, "id")) == [1]
 
 
 def test_curators(spark, entries):
@@ -105,7 +124,7 @@ def test_curators(spark, entries):
 
 def test_verdicts(spark):
     tasks = spark.sql("select explode(array('a', 'b', 'c')) as source_id")
-    verdicts = spark.sql("""select * from values ('a', ' Accept', ' ', 1), ('a', 'reject', 'no', 2),
+    verdicts = spark.sql("""select * from values ('a', ' Accept\\n', '', 1), ('a', 'reject', 'no', 2),
         ('b', 'maybe', null, 1), ('c', 'REJECT', ' late ', 1), ('gone', 'accept', null, 1)
         as t(source_id, action, reason, n)""")
     got = curation.apply_verdicts(tasks, verdicts, "n").select("source_id", "action", "reason",
@@ -113,7 +132,7 @@ def test_verdicts(spark):
     assert sorted(map(tuple, got.collect())) == [
         ("a", "accept", "This submission has been accepted because it meets the appropriate "
                         "standards", "continues"),
-        ("c", "reject", "late", "failed")]
+        ("c", "reject", " late ", "failed")]
     unknown = curation.unknown_verdicts(verdicts, tasks).collect()
     assert [(r["source_id"], r["error"]) for r in unknown] == [("gone", "Curation task not found")]
 

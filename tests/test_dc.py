@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from shelfmark.functions.documents import merge_blocks, merge_maps
 from shelfmark.functions.names import creator_name, split_names
+from shelfmark.operators import dc
 from shelfmark.operators.dc import dc_block, publication_year, tags_and_subjects
 
 ALL = ("title authors affiliations publisher publication_year resource_type description "
@@ -152,3 +153,25 @@ def test_tags_and_subjects_without_either(spark):
     df = spark.sql("select cast(null as struct<subjects:array<struct<subject:string>>>) dc, "
                    "cast(null as array<string>) tags")
     assert df.select(tags_and_subjects(F.col("dc"), F.col("tags"))).first()[0] == []
+
+
+def test_extra_fields(spark):
+    """They are added, nested ones too, and replace nothing."""
+    df = spark.sql("""select 'T' as title, 'Doe, Jo' as authors, array('', 'Lab') as places,
+        named_struct('publisher', 'other', 'language', 'en', 'resourceType',
+            named_struct('resourceType', 'x', 'level', 2)) as more""")
+    got = dc.with_dc_block(df, {"title": "title", "authors": "authors", "affiliations": "places"},
+                           "Our Lab", 2020, extra="more").first()["dc"]
+    assert got["publisher"] == "Our Lab" and got["language"] == "en"
+    assert got["resourceType"]["level"] == 2 and got["resourceType"]["resourceType"] == "Dataset"
+    assert got["creators"][0]["affiliations"] == ["Lab"]
+
+
+def test_blank_affiliations_keep_places(spark):
+    df = spark.sql("select 'T' as title, array('A B', 'C D') as authors, array('', 'Lab') as places, "
+                   "'' as none")
+    args = {"title": "title", "authors": "authors"}
+    got = dc.with_dc_block(df, {**args, "affiliations": "places"}, "p", 2020).first()["dc"]
+    assert [c["affiliations"] for c in got["creators"]] == [None, ["Lab"]]
+    got = dc.with_dc_block(df, {**args, "affiliations": "none"}, "p", 2020).first()["dc"]
+    assert [c["affiliations"] for c in got["creators"]] == [None, None]

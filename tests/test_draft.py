@@ -89,19 +89,24 @@ def log(spark):
 @pytest.mark.parametrize("rows_per_task", [1, 10**6])
 def test_documents(log, rows_per_task):
     state = draft.current_state(log, rows_per_task)
-    whole, rest = draft.documents(state)
+    whole = draft.documents(state, rows_per_task=rows_per_task)
     text = whole.select("submission_id", submission_json(whole).alias("json")).collect()
     got = {r["submission_id"]: json.loads(r["json"]) for r in text}
     for n, (name, (_, want)) in enumerate(CALLS.items()):
         assert got.get(n, EMPTY) == {**EMPTY, **want}, name
-    assert rest.isEmpty()
+    assert whole.where("part > 0").isEmpty()
 
 
-def test_large_submissions_stay_rows(spark):
-    rows = [(s, n, "append", "tags", None, f'"t{n}"') for s, size in ((1, 3), (2, 50))
+def test_large_submissions_take_several_parts(spark):
+    rows = [(s, n, "append", "tags", None, f'"t{n}"') for s, size in ((1, 3), (2, 25))
             for n in range(size)]
+    rows += [(2, 100 + n, "upsert", "services", f"s{n:02}", "null") for n in range(12)]
     state = draft.current_state(spark.createDataFrame(rows, SCHEMA))
-    whole, rest = draft.documents(state, max_rows=10)
-    assert [(r["submission_id"], r["tags"]) for r in whole.collect()] == [(1, ["t0", "t1", "t2"])]
-    tags = rest.where(F.col("submission_id") == 2).orderBy("pos").collect()
-    assert rest.count() == 50 and [r["payload"] for r in tags] == [f"t{n}" for n in range(50)]
+    parts = {(r["submission_id"], r["part"]): r
+             for r in draft.documents(state, part_rows=10).collect()}
+    assert sorted(parts) == [(1, 0), (2, 0), (2, 1), (2, 2)]
+    assert parts[1, 0]["tags"] == ["t0", "t1", "t2"]
+    assert [t for p in range(3) for t in parts[2, p]["tags"]] == [f"t{n}" for n in range(25)]
+    assert sorted(parts[2, 0]["services"]) + sorted(parts[2, 1]["services"]) == [
+        f"s{n:02}" for n in range(12)]
+    assert set(parts[2, 0]["services"].values()) == {"true"}

@@ -27,12 +27,11 @@ def result(df, *columns):
 
 
 @quick
-@given(edits, st.sampled_from([2, 10**6]))
-def test_clear_and_reset(spark, edits, rows_per_task):
+@given(edits)
+def test_clear_and_reset(spark, edits):
     # A reset clears all fields but "test"; a clear one field.
     log = log_of(spark, edits)
-    got = fold.after_clear(fold.after_reset(log, keep=["test"], rows_per_task=rows_per_task),
-                           rows_per_task=rows_per_task)
+    got = fold.after_clear(fold.after_reset(log, keep=["test"]))
     assert result(got, "submission_id", "seq", "key", "op", "payload") == sorted(replay(edits))
 
 
@@ -110,3 +109,29 @@ def test_second_mapping_replaces_the_first_whole(spark):
                                  (1, 3, "upsert", "csv", second)], SCHEMA)
     got = dict(result(fold.upserted(log), "key", "payload"))
     assert got["csv"] == second and set(got) == {"csv", "json"}
+
+
+@pytest.mark.parametrize("payload, falsy", [
+    (None, True), ("", True), (" null ", True), ("false", True), ("0", True), ("-0", True),
+    ("0.00", True), ("0e5", True), ('""', True), ("[ ]", True), ("{\n}", True), ('" "', False),
+    ("[0]", False), ("1", False), ("0.01", False), ('"0"', False), ("true", False)])
+def test_falsy(rows, payload, falsy):
+    assert rows([(payload,)], "p string", f=fold.is_falsy(F.col("p"))) == [(falsy,)]
+
+
+def test_rejected_edits_have_a_reason(spark):
+    payloads = ['{"a": 1}', '{"a"', '{"a": 1e400}', None, "1" + "0" * 220 + "e99",
+                '{"a":"Infinity","a":1e400}', '{"a":"\\u0049nfinity","b":"e100"}', '"1e999 \\" 1e999"']
+    log = spark.createDataFrame([(1, n, "set", "k", p) for n, p in enumerate(payloads)],
+                                "submission_id int, seq int, op string, key string, payload string")
+    got = {r["seq"]: r["reason"] for r in fold.rejected_edits(log).collect()}
+    assert got == {1: "malformed", 2: "not finite", 4: "not finite", 5: "not finite"}
+    assert sorted(r["seq"] for r in fold.valid_edits(log).collect()) == [0, 3, 6, 7]
+
+
+def test_very_large_documents_are_not_called_malformed(spark):
+    large = spark.range(1).select(F.lit(1).alias("submission_id"), F.concat(
+        F.lit('"'), F.repeat(F.lit("x"), 20 * 1024 * 1024), F.lit('"')).alias("payload"))
+    kept, refused = fold.valid_edits(large).count(), fold.rejected_edits(large).select(
+        "reason").collect()
+    assert kept == 1 or [r["reason"] for r in refused] == ["too large"]

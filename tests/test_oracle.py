@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import connect, oracle_rows, rows_of
+from shelfmark.plans.oracle import ORACLE
+from shelfmark.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,13 +16,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, con, name):
-    df = queries()[name](spark, FOLDER)
-    names, want = oracle_rows(con, oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    names, want = oracle_rows(con, ORACLE[name])
     assert sorted(df.columns) == names
     assert rows_of(df.columns, df.collect()) == want
 

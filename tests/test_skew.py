@@ -1,4 +1,4 @@
-"""Joins and numbering give the same rows whether or not a key counts as heavy."""
+"""Numbering gives the same rows whether or not a key counts as heavy."""
 
 import re
 
@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelfmark.operators.skew import heavy_keys, lookup_join, number_rows, salted_join
+from shelfmark.functions.times import order_slices
+from shelfmark.operators.skew import heavy_keys, number_rows
 
 
 @pytest.fixture(scope="module")
@@ -18,38 +19,13 @@ def skewed(spark):
                                     (F.xxhash64("id") % 1000).alias("t")).cache()
 
 
-@pytest.fixture(scope="module")
-def right(spark):
-    return spark.range(0, 12).select(F.col("id").cast("int").alias("k"),
-                                     (F.col("id") * 10).alias("v"))
-
-
 def as_set(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
 def test_heavy_keys(skewed):
     got = heavy_keys(skewed, ["k"], 400).collect()
-    assert [(r["k"], r["_parts"]) for r in got] == [(0, 3)]
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("rows_per_task", [50, 400, 10**6])
-def test_salted_join(skewed, right, how, rows_per_task):
-    got = salted_join(skewed, right, ["k"], how, ["id"], rows_per_task)
-    want = skewed.join(right, "k", how)
-    assert got.columns == want.columns
-    assert as_set(got) == as_set(want)
-
-
-@pytest.mark.parametrize("lookup_rows", [5, 100])
-def test_lookup_join_broadcasts_only_what_is_small(skewed, right, lookup_rows):
-    got = lookup_join(skewed, right, ["k"], "left", ["id"], lookup_rows, rows_per_task=100)
-    assert as_set(got) == as_set(skewed.join(right, "k", "left"))
-    marked = "rightHint=(strategy=broadcast" in got._jdf.queryExecution().analyzed().toString() \
-        or "ResolvedHint (strategy=broadcast)" in got._jdf.queryExecution().analyzed().toString()
-    salted = "_salt" in got._jdf.queryExecution().analyzed().toString()
-    assert marked and salted == (lookup_rows == 5)
+    assert [r["k"] for r in got] == [0]
 
 
 def slices(levels):
@@ -83,3 +59,30 @@ def test_no_task_sorts_more_than_a_piece(spark, skewed):
     window = [line for line in plan.split("\n") if "row_number()" in line and "Window" in line]
     assert window and "_piece" in window[0]
     assert re.search(r"Exchange hashpartitioning\(k#\w+, _piece#", plan)
+
+
+@pytest.mark.parametrize("rows_per_task", [5, 100, 10**6])
+def test_null_order_values_of_heavy_keys(skewed, rows_per_task):
+    holes = skewed.withColumn("t", F.when(F.col("id") % 6 != 0, F.col("t")))
+    got = number_rows(holes, ["k"], ["t", "id"], slices(3), "n", rows_per_task)
+    assert as_set(got) == as_set(numbered(holes))
+
+
+def test_exact_times_make_few_pieces(spark):
+    """A heavy hour of microsecond times is cut by minutes and seconds, not by row."""
+    times = spark.range(4000).select("id", F.lit(1).alias("k"), F.timestamp_micros(
+        F.col("id") * 800_001).alias("t"))
+    cuts = order_slices(F.col("t"), F.col("id"))
+    got = number_rows(times, ["k"], ["t", "id"], cuts, "n", 500)
+    assert sorted(r["n"] for r in got.collect()) == list(range(1, 4001))
+    assert got.where("n <> id + 1").count() == 0
+    plan = got._jdf.queryExecution().toString()
+    assert "_slice3" in plan
+
+
+def test_map_columns_pass(spark):
+    rows = spark.createDataFrame([(1, {"a": "b"}), (1, {"c": "d"}), (2, {})],
+                                 "k int, m map<string,string>")
+    rows = rows.withColumn("t", F.monotonically_increasing_id()).withColumn("id", F.col("t"))
+    got = number_rows(rows, ["k"], ["t", "id"], slices(2), "n", 1)
+    assert sorted((r["k"], r["n"]) for r in got.collect()) == [(1, 1), (1, 2), (2, 1)]

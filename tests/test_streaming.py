@@ -45,16 +45,15 @@ def test_current_status(spark, event_folder, tmp_path):
     assert as_set(runs.read_current_status(spark, str(tmp_path))) == as_set(want)
 
 
-@pytest.mark.parametrize("rows_per_task", [20, 10**6])
-def test_fold(spark, event_folder, tmp_path, rows_per_task):
+def test_fold(spark, event_folder, tmp_path):
     def state(log):
-        return fold.without_deleted(fold.after_clear(log, rows_per_task))
+        return fold.without_deleted(fold.after_clear(log))
 
     log = edits(stream(spark, event_folder))
-    runs.run_fold(log, state, str(tmp_path), buckets=4, rows_per_task=rows_per_task)
+    runs.run_fold(log, state, str(tmp_path), buckets=4)
     want = as_set(state(edits(spark.read.parquet(event_folder))))
-    got = runs.read_fold(spark, str(tmp_path), rows_per_task)
+    got = runs.read_fold(spark, str(tmp_path))
     assert as_set(got) == want
     # Nothing is new, so a second run changes nothing.
-    runs.run_fold(log, state, str(tmp_path), buckets=4, rows_per_task=rows_per_task)
-    assert as_set(runs.read_fold(spark, str(tmp_path), rows_per_task)) == want
+    runs.run_fold(log, state, str(tmp_path), buckets=4)
+    assert as_set(runs.read_fold(spark, str(tmp_path))) == want
