@@ -57,6 +57,31 @@ def without_deleted(log: DataFrame, columns: Sequence[str] = ("payload",)) -> Da
         *FIELD, *columns)
 
 
+def partial_state(log: DataFrame) -> DataFrame:
+    """What some edits say about each key: its last ``edit`` and when it was last ``cleared``.
+
+    Such states of parts of a log merge in any order, see ``merged_state``.
+    """
+    written = F.when(F.col("op").isin("upsert", "delete"), F.col("seq"))
+    return log.groupBy(*FIELD).agg(
+        F.max(F.when(F.col("op") == "clear", F.col("seq"))).alias("cleared"),
+        F.max_by(F.struct("seq", "op", "payload"), written).alias("edit"))
+
+
+def merged_state(states: DataFrame) -> DataFrame:
+    """One state per key from those of several parts of the log."""
+    return states.groupBy(*FIELD).agg(F.max("cleared").alias("cleared"),
+                                      F.max_by("edit", "edit.seq").alias("edit"))
+
+
+def current_values(state: DataFrame) -> DataFrame:
+    """The values that hold, as ``without_deleted(after_clear(log))`` has them for a whole log."""
+    stands = F.col("cleared").isNull() | (F.col("edit.seq") > F.col("cleared"))
+    return (state.where(stands & (F.col("edit.op") == "upsert"))
+            .select(*FIELD, F.col("edit.payload").alias("payload"))
+            .where(~is_falsy(F.col("payload"))))
+
+
 def after_clear(log: DataFrame, keys: Sequence[str] = FIELD) -> DataFrame:
     """The edits that come after the last ``clear`` of their field."""
     cleared = (log.where("op = 'clear'").groupBy(*keys)

@@ -626,15 +626,11 @@ def fold_skips_invalid(spark, folder):
                            columns=["payload", "event_id"])
 
 
-def _fold_state(log):
-    return fold.without_deleted(fold.after_clear(log))
-
-
 @query
 def stream_fold(spark, folder):
     out = work_folder(spark, "fold")
     events = _event_stream(spark, folder)
-    runs.run_fold(views.edits(events), _fold_state, out)
+    runs.run_fold(views.edits(events), out)
     return runs.read_fold(spark, out).select("submission_id", "key", "payload")
 
 

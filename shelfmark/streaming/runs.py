@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.operators import fold
 
 # Keeps the state of a stream on disk, so that it may outgrow an executor's memory.
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
@@ -42,40 +44,37 @@ def read_current_status(spark: SparkSession, folder: str) -> DataFrame:
     return current_status(spark.read.parquet(f"{folder}/status"))
 
 
-def run_fold(log: DataFrame, fold: Callable[[DataFrame], DataFrame], folder: str,
-             buckets: int = 64) -> None:
-    """Keeps the fold of an edit log up to date, batch by batch.
+def run_fold(log: DataFrame, folder: str, merge_every: int = 32) -> None:
+    """Keeps the state of an edit log up to date, batch by batch.
 
-    Each micro-batch is added to the stored log; then the submissions it touches, and no others,
-    are folded again from their whole history. The log lies in buckets of submissions, of which
-    only those touched are read.
+    Each micro-batch writes the state of its own edits, so that its work grows with the batch and
+    not with the history; states merge in any order. After ``merge_every`` batches theirs are
+    merged into one, which keeps the number of files low. A batch run again replaces its files.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64("submission_id"), F.lit(buckets)).cast("int")
-        (batch.withColumn("bucket", bucket).hint("rebalance", "bucket")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/log/batch={batch_id}"))
-        stored = spark.read.parquet(f"{folder}/log")
-        touched = (stored.where(F.col("batch") == batch_id)
-                   .select("bucket", "submission_id").distinct())
-        # At most `buckets` numbers, to prune folders by.
-        numbers = [r["bucket"] for r in touched.select("bucket").distinct().collect()]
-        history = stored.where(F.col("bucket").isin(numbers) & (F.col("batch") <= batch_id))
-        whole = history.drop("bucket", "batch").join(
-            touched.select("submission_id"), "submission_id", "left_semi")
-        fold(whole).write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
-        # Written last: only now does the batch count for these submissions.
-        (touched.select("submission_id")
-         .write.mode("overwrite").parquet(f"{folder}/touched/batch={batch_id}"))
+        fold.partial_state(batch).write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+        if (batch_id + 1) % merge_every == 0:
+            last = spark.read.parquet(f"{folder}/state").where(
+                F.col("batch").between(batch_id + 1 - merge_every, batch_id))
+            (fold.merged_state(last).write.mode("overwrite")
+             .parquet(f"{folder}/merged/upto={batch_id}"))
 
     _run(log.writeStream.outputMode("append"), write, folder)
 
 
 def read_fold(spark: SparkSession, folder: str) -> DataFrame:
-    """The state of every submission as the last micro-batch that touched it left it."""
-    touched, state = (spark.read.parquet(f"{folder}/{part}") for part in ("touched", "state"))
-    last = touched.groupBy("submission_id").agg(F.max("batch").alias("batch"))
-    return state.join(last, ["submission_id", "batch"], "left_semi").drop("batch")
+    """The values that hold after all micro-batches."""
+    states = spark.read.parquet(f"{folder}/state")
+    columns = ["submission_id", "key", "cleared", "edit"]
+    try:
+        merged = spark.read.parquet(f"{folder}/merged")
+    except AnalysisException:  # not one merge yet
+        return fold.current_values(fold.merged_state(states.select(*columns)))
+    upto = merged.agg(F.max("upto")).first()[0]
+    later = states.where(F.col("batch") > upto)
+    return fold.current_values(fold.merged_state(
+        merged.select(*columns).unionByName(later.select(*columns))))
 
 
 def _run(writer, write: Callable[[DataFrame, int], None], folder: str) -> None:

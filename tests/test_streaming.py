@@ -45,15 +45,17 @@ def test_current_status(spark, event_folder, tmp_path):
     assert as_set(runs.read_current_status(spark, str(tmp_path))) == as_set(want)
 
 
-def test_fold(spark, event_folder, tmp_path):
-    def state(log):
-        return fold.without_deleted(fold.after_clear(log))
-
+@pytest.mark.parametrize("merge_every", [2, 4, 100])
+def test_fold(spark, event_folder, tmp_path, merge_every):
     log = edits(stream(spark, event_folder))
-    runs.run_fold(log, state, str(tmp_path), buckets=4)
-    want = as_set(state(edits(spark.read.parquet(event_folder))))
-    got = runs.read_fold(spark, str(tmp_path))
-    assert as_set(got) == want
+    runs.run_fold(log, str(tmp_path), merge_every)
+    whole = edits(spark.read.parquet(event_folder))
+    want = as_set(fold.without_deleted(fold.after_clear(whole)))
+    assert as_set(runs.read_fold(spark, str(tmp_path))) == want
     # Nothing is new, so a second run changes nothing.
-    runs.run_fold(log, state, str(tmp_path), buckets=4)
+    runs.run_fold(log, str(tmp_path), merge_every)
     assert as_set(runs.read_fold(spark, str(tmp_path))) == want
+    # A batch writes about its own keys only.
+    sizes = [r["n"] for r in spark.read.parquet(f"{tmp_path}/state").groupBy("batch").agg(
+        F.count("*").alias("n")).collect()]
+    assert len(sizes) == 6 and max(sizes) <= 100
