@@ -80,10 +80,12 @@ _SPELLED = re.compile(
     rf"(?<![^\W_])(?:plus[ -]+)?(?:{_DIGIT_WORD}|[0-9])(?:(?:[ -]{{1,2}}(?:{_DIGIT_WORD}|[0-9]))"
     r"){2,}(?![^\W_])", re.IGNORECASE)
 # Between dots the digits of an address may be few.
-_DOT = rf"[ ]*(?:[\[({{<][ ]*(?:{'|'.join(DOT_WORDS)}|\.)[ ]*[\])}}>])[ ]*"
-_AT = rf"[ ]*(?:[\[({{<][ ]*(?:{'|'.join(AT_WORDS)}|@)[ ]*[\])}}>])[ ]*"
-_BARE_DOT = rf"[ ]+(?:{'|'.join(DOT_WORDS)})[ ]+"
-_BARE_AT = rf"[ ]+(?:{'|'.join(AT_WORDS)})[ ]+"
+_DOT = (rf"[ ]*(?:[\[({{<][ ]*(?:{'|'.join(DOT_WORDS)}|\.)[ ]*[\])}}>]"
+        r"|&#46;|&#x2e;|&period;)[ ]*")
+_AT = (rf"[ ]*(?:[\[({{<][ ]*(?:{'|'.join(AT_WORDS)}|@)[ ]*[\])}}>]"
+       r"|&#64;|&#x40;|&commat;)[ ]*")
+_BARE_DOT = rf"(?:[ ]+(?:{'|'.join(DOT_WORDS)}|\.)[ ]+|[-_*]dot[-_*])"
+_BARE_AT = rf"(?:[ ]+(?:{'|'.join(AT_WORDS)}|@)[ ]+|[-_*]at[-_*])"
 _IN_BRACKETS_DOT, _IN_BRACKETS_AT = re.compile(_DOT, re.I), re.compile(_AT, re.I)
 _OCTET = rf"(?:[0-9]{{1,3}}|(?:{_DIGIT_WORD})(?:[ -](?:{_DIGIT_WORD})){{0,2}})"
 _SPELLED_IP = re.compile(rf"(?<![^\W_]){_OCTET}(?:(?:{_BARE_DOT}|{_DOT}|\.){_OCTET}){{3}}(?![^\W_])",
@@ -97,8 +99,11 @@ _BARE_MAIL = re.compile(
     rf"{{0,2}}(?:{_BARE_AT}|@){_NAME}(?:\.{_NAME}){{0,8}}(?:{_BARE_DOT}{_NAME}){{0,3}}"
     rf"{_BARE_DOT}{_LAST}"
     rf"|[A-Za-z0-9_%+-]{{1,64}}[0-9._%+-][A-Za-z0-9_%+-]{{1,64}}{_BARE_AT}{_NAME}"
-    rf"(?:\.{_NAME}){{1,8}})(?![A-Za-z0-9-])", re.IGNORECASE)
+    rf"(?:\.{_NAME}){{1,8}}"
+    rf"|[A-Za-z0-9._%+-]{{1,64}}(?:[ ]+@[ ]*|@[ ]+){_NAME}(?:\.{_NAME}){{1,8}})(?![A-Za-z0-9-])",
+    re.IGNORECASE)
 _BARE_DOT_RE, _BARE_AT_RE = re.compile(_BARE_DOT, re.I), re.compile(_BARE_AT, re.I)
+_SPACED_AT = re.compile(r"[ ]+@[ ]*|@[ ]+")
 _WORD_OR_DIGIT = re.compile(rf"{_DIGIT_WORD}|plus|[0-9]", re.IGNORECASE)
 
 Span = tuple[int, int, int]
@@ -218,6 +223,7 @@ def _at_and_dot(text: str) -> list[tuple[int, int, str]]:
              *_inside(_IN_BRACKETS_DOT, text, (0, len(text)), ".")]
     for mail in _BARE_MAIL.finditer(text):
         edits += _inside(_BARE_AT_RE, text, mail.span(), "@")
+        edits += _inside(_SPACED_AT, text, mail.span(), "@")
         edits += _inside(_BARE_DOT_RE, text, mail.span(), ".")
     kept, end = [], 0
     for edit in sorted(edits):
@@ -227,7 +233,7 @@ def _at_and_dot(text: str) -> list[tuple[int, int, str]]:
     return kept
 
 
-_BRACKETS = re.compile(r"[\[({<][ ]*(?:at|@|\.)[ ]*[\])}>]")
+_BRACKETS = re.compile(r"[\[({<][ ]*(?:at|@|\.)[ ]*[\])}>]|&(?:#64|#x40|commat|#46|#x2e|period);")
 _AT_HOST = re.compile(r" at +[a-z0-9-]+\.[a-z0-9]")
 
 
@@ -249,7 +255,7 @@ def rewrite(text: str) -> Rewritten | None:
         out.replace(_plain_characters(text))
         low = out.text.lower()
     dots = any(w in low for w in DOT_WORDS)
-    marks = dots or "arroba" in low or "arobase" in low or bool(
+    marks = dots or " @" in low or "@ " in low or "arroba" in low or "arobase" in low or bool(
         _BRACKETS.search(low) or _AT_HOST.search(low))
     digits = _neighbours(low)
     if not (odd or marks or digits):

@@ -52,6 +52,12 @@ def test_plain_spans(letters):
      "ｊｏｈｎ＠ｍａｉｌ．ｃｏｍ"),
     ("a​b@c​.de", "email", "a​b@c​.de"),
     ("j.d2 at mail.example.com ok", "email", "j.d2 at mail.example.com"),
+    ("x john AT example DOT com y", "email", "john AT example DOT com"),
+    ("x john @ example.com y", "email", "john @ example.com"),
+    ("x john @ example . com y", "email", "john @ example . com"),
+    ("x john-at-example-dot-com y", "email", "john-at-example-dot-com"),
+    ("x john&#64;example&#46;com y", "email", "john&#64;example&#46;com"),
+    ("10(dot)0(dot)0(dot)7", "ip", "10(dot)0(dot)0(dot)7"),
     ("four one five zero 9406 1614 3001", "card", "four one five zero 9406 1614 3001"),
 ])
 def test_disguises_map_back(text, kind, found):
@@ -61,7 +67,7 @@ def test_disguises_map_back(text, kind, found):
 
 @pytest.mark.parametrize("text", [
     "look at the dot there", "met at noon. there", "one two three", "un deux trois", "(at) home",
-    "he is at 5.5 points", "the point is at hand"])
+    "he is at 5.5 points", "look-at-me. Then", "5 @ 3 each. So", "the point is at hand"])
 def test_ordinary_texts_stay(text):
     assert pii.find(text) == ([], [])
 
