@@ -35,12 +35,12 @@ def hour_number(time: Column) -> Column:
 
 
 def order_slices(time: Column, number: Column, ids_per_slice: int = 1_000_000) -> list[Column]:
-    """Slices, coarse to fine, of rows ordered by a time and then a number: hours, minutes, seconds,
-    and within a second equal times by ranges of the number.
+    """Slices, coarse to fine, of rows ordered by a time and then a number: hours, seconds, and
+    within a second equal times by ranges of the number.
 
     Each level is cut only where the one before is still too large, so that there are few pieces
     however exact the times are.
     """
     id_range = F.floor(number / ids_per_slice)
-    return [hour_number(time), F.minute(time), F.floor(F.second(time)),
+    return [hour_number(time), F.minute(time) * 60 + F.floor(F.second(time)),
             F.struct(time.alias("time"), id_range.alias("range"))]
