@@ -270,12 +270,16 @@ def groups(docs: DataFrame, similarity: float = 0.8, length: int = 5, id_col: st
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, length: int = 5,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, with all its columns. Of rows that repeat an id within a group
-    one stays; the id must not be null for that."""
+    """One document of each group, the one of the least id, with all its columns.
+
+    Of rows that share this id one stays, too; documents are told apart by their ids here.
+    """
     kept = (groups(docs, similarity, length, id_col, text_col).where("kept")
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept")), "left_semi").select(
-        *docs.columns)
+            .groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")))
+    found = docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept")))
+    once = found.where(F.col("_rows") == 1).select(*docs.columns)
+    again = found.where(F.col("_rows") > 1).select(*docs.columns).dropDuplicates([id_col])
+    return once.unionAll(again)
 
 
 ORACLE = r"""

@@ -77,3 +77,12 @@ def test_components_of_chains_and_hubs(spark):
     assert all(got[k] == 100 for k in range(100, 161))
     assert all(got[k] == 5 for k in range(200, 300))
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_one_of_each_group_also_of_repeated_rows(spark):
+    texts = corpus(3, 60)
+    rows = [(i, t, k) for i, t in enumerate(texts) for k in range(1 + (i % 5 == 0))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, key int")
+    got = near_dedup.one_of_each(docs, length=2)
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(brute(texts, 2)))
