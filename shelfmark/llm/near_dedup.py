@@ -35,7 +35,7 @@ POSITIONS = 96    # of the minwise signature, two bytes each
 TREES = 10        # the first of them alone
 NODE_ROWS = 64    # of a node that is compared exhaustively
 FIRST_DEPTH = 3   # levels before nodes are counted: nearly all nodes above are too large
-DEPTH = 7
+DEPTH = 5
 _LEAST_AGREEMENT = 4.0  # standard deviations below the expectation at the threshold
 
 _MASK = (1 << 64) - 1
@@ -221,7 +221,8 @@ def links(docs: DataFrame, sets: DataFrame, trees: range, similarity: float, len
         likely = _once(likely, sets)
     likely = stored(likely, "likely")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    full = (likely.join(texts, likely.rep.eqNullSafe(texts["_id"]))
+    # Shuffled at every size: the documents involved grow with the input.
+    full = (likely.hint("merge").join(texts, likely.rep.eqNullSafe(texts["_id"]))
             .select("leaf", "key", "comp", "partners", "_text"))
     return (full.repartition("leaf").sortWithinPartitions("leaf")
             .mapInArrow(_linked(similarity, length), "a bigint, b bigint"))
@@ -276,7 +277,7 @@ def one_of_each(docs: DataFrame, similarity: float = 0.8, length: int = 5,
     """
     kept = (groups(docs, similarity, length, id_col, text_col).where("kept")
             .groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")))
-    found = docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept")))
+    found = docs.join(kept.hint("merge"), docs[id_col].eqNullSafe(F.col("_kept")))
     once = found.where(F.col("_rows") == 1).select(*docs.columns)
     again = found.where(F.col("_rows") > 1).select(*docs.columns).dropDuplicates([id_col])
     return once.unionAll(again)
