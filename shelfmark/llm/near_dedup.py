@@ -9,8 +9,11 @@ of about 0.6, so that ``TREES`` of them miss one in ten thousand, closer pairs h
 
 A first tree joins most groups. The other trees then only compare documents not yet joined, and
 drop nodes in which all are. So a group of thousands costs edges in proportion to its size, not to
-its square. A node that does not fall apart down to ``DEPTH`` is cut into runs by a hash, each with
-the node's pivot: its documents agree on that many tokens, and every tree cuts it otherwise.
+its square. A node that does not fall apart down to ``DEPTH`` is first cut into runs by a hash, each
+with the node's pivot, which joins groups of copies. Nodes that still hold several components after
+all trees are then compared whole: every pair of their blocks in a task of its own, on full sets.
+So ``DEPTH`` decides on the cost alone. That cost grows with the square of a family of documents
+that share a template but are no copies of each other.
 
 Null and empty texts, and such of blanks only, have empty sets and are linked with nothing. Copies
 belong together whatever their ids; ids may be null or repeated (a group's id is its least id, null
@@ -29,13 +32,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import bytes_of, lower_words, map_batches, runs, stored
-from shelfmark.llm.components import components
+from shelfmark.llm.components import components, forest
 
 POSITIONS = 96    # of the minwise signature, two bytes each
 TREES = 10        # the first of them alone
 NODE_ROWS = 64    # of a node that is compared exhaustively
 FIRST_DEPTH = 3   # levels before nodes are counted: nearly all nodes above are too large
 DEPTH = 5
+BLOCK_ROWS = 1024         # documents in a block of a node that is compared whole
+BLOCK_SHINGLES = 1 << 20  # about as many shingles in a block at most
+_COLUMNS = 1024           # shingles that are counted at once
 _LEAST_AGREEMENT = 4.0  # standard deviations below the expectation at the threshold
 
 _MASK = (1 << 64) - 1
@@ -102,9 +108,10 @@ def _step(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def leaves(sets: DataFrame, trees: range, similarity: float, node_rows: int = NODE_ROWS,
-           depth: int = DEPTH) -> DataFrame:
+           depth: int = DEPTH) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ``sets`` (key, comp, n_shingles, sig) in the nodes that are compared: ``leaf`` names
-    the node. Nodes of one component are left out.
+    the node. Nodes of one component are left out. Then ``path`` and ``key`` of the nodes that
+    were cut into runs, if there are any.
 
     Only paths and keys are shuffled while nodes are counted; signatures join again those few rows
     whose nodes go on or are compared.
@@ -113,7 +120,7 @@ def leaves(sets: DataFrame, trees: range, similarity: float, node_rows: int = NO
         F.xxhash64(F.lit(t), F.lit("tree")) for t in trees])))
     for _ in range(FIRST_DEPTH):
         rows = _step(rows, similarity)
-    done = None
+    done = large = None
     for level in range(FIRST_DEPTH, depth + 1):
         rows = rows.select("path", "key", "comp")
         nodes = (rows.groupBy("path")
@@ -130,14 +137,16 @@ def leaves(sets: DataFrame, trees: range, similarity: float, node_rows: int = NO
             rows = _step(rows.drop("comp").join(sets.select("key", "comp", "sig"), "key"),
                          similarity)
     else:
-        # What does not fall apart goes to runs, the pivot to each.
+        # What does not fall apart goes to runs, the pivot to each, and is compared whole later.
+        large = rows.select("path", "key")
         parts = F.ceil(2 * F.col("_n") / node_rows).cast("bigint")
         places = F.when(F.col("key") == F.col("_pivot"),
                         F.sequence(F.lit(0).cast("bigint"), parts - 1)).otherwise(
             F.array(F.pmod(F.xxhash64("key", "path"), parts)))
         done = done.unionAll(rows.withColumn("_run", F.explode(places)).select(
             F.xxhash64("path", "_run").alias("leaf"), "key"))
-    return done.join(sets, "key").select("leaf", "key", "comp", "n_shingles", "doc_id", "sig")
+    near = done.join(sets, "key").select("leaf", "key", "comp", "n_shingles", "doc_id", "sig")
+    return near, large
 
 
 def _likely(similarity: float):
@@ -210,11 +219,114 @@ def _linked(similarity: float, length: int):
     return work
 
 
+def shared(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``one`` has in common with each of ``other``."""
+    both = np.zeros((len(one), len(other)), np.float32)
+    if not one or not other:
+        return both
+    first, second = np.concatenate(one), np.concatenate(other)
+    known = np.intersect1d(first, second)
+    row = np.repeat(np.arange(len(one)), [len(s) for s in one])
+    column = np.repeat(np.arange(len(other)), [len(s) for s in other])
+
+    def places(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(known, values)
+        at[at == len(known)] = 0
+        held = np.flatnonzero(known[at] == values) if len(known) else np.zeros(0, np.int64)
+        held = held[np.argsort(at[held], kind="stable")]
+        return at[held], owner[held]
+    (at_a, row), (at_b, column) = places(first, row), places(second, column)
+    for start in range(0, len(known), _COLUMNS):
+        width = min(_COLUMNS, len(known) - start)
+        parts = []
+        for at, owner, n in ((at_a, row, len(one)), (at_b, column, len(other))):
+            low, high = np.searchsorted(at, [start, start + width])
+            part = np.zeros((n, width), np.float32)
+            part[owner[low:high], at[low:high] - start] = 1
+            parts.append(part)
+        both += parts[0] @ parts[1].T
+    return both
+
+
+def _whole(similarity: float):
+    """Per pair of blocks enough links between components to join all that belong together."""
+    percent = round(similarity * 100)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, "leaf"):
+            comp, side = (group.column(c).to_numpy() for c in ("comp", "side"))
+            if (comp == comp[0]).all():
+                continue
+            found = [np.frombuffer(s, np.uint64) for s in group.column("found").to_pylist()]
+            size = np.array([len(s) for s in found], np.float64)
+            # One side alone is a block against itself.
+            sides = [np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())]
+            met = set()
+            for start in range(0, len(sides[0]), 256):
+                a, b = sides[0][start:start + 256], sides[1]
+                both = shared([found[i] for i in a], [found[i] for i in b]).astype(np.float64)
+                close = 100 * both >= percent * (size[a][:, None] + size[b][None, :] - both)
+                close &= comp[a][:, None] != comp[b][None, :]
+                x, y = np.nonzero(close)
+                if len(x):
+                    met.update(map(tuple, np.unique(
+                        np.stack([comp[a[x]], comp[b[y]]], axis=1), axis=0).tolist()))
+            pairs = forest([x for x, _ in met], [y for _, y in met])
+            if pairs:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+    return work
+
+
+def whole_links(docs: DataFrame, sets: DataFrame, large: DataFrame, similarity: float, length: int,
+                id_col: str, text_col: str) -> DataFrame | None:
+    """Confirmed links (a, b) between all documents of the nodes ``large`` (path, key) that hold
+    several components, or None if no node does."""
+    rows = large.join(sets.select("key", "comp", "n_shingles"), "key")
+    nodes = (rows.groupBy("path").agg(
+        F.count("*").alias("_n"), F.sum("n_shingles").alias("_all"),
+        F.min("comp").alias("_low"), F.max("comp").alias("_high"))
+        .where("_low <> _high")
+        .select("path", F.ceil(F.greatest(F.col("_n") / BLOCK_ROWS, F.col("_all") / BLOCK_SHINGLES))
+                .cast("bigint").alias("_blocks")))
+    rows = stored(rows.join(nodes, "path").select("path", "key", "comp", "_blocks"), "large-nodes")
+    if not rows.limit(1).count():
+        return None
+
+    def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingles(lower_words(t), length) for t in bytes_of(batch, "_text")]
+        # Another text of the same id has another key.
+        good = [set_key(s) == k for s, k in zip(found, batch.column("key").to_pylist(),
+                                                strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("key"), pa.array([s.tobytes() if g else None
+                                            for s, g in zip(found, good, strict=True)],
+                                           pa.binary())], ["key", "found"])
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    reps = rows.select("key").distinct().join(
+        sets.select("key", F.col("doc_id").alias("rep")), "key")
+    found = map_batches(reps.hint("merge").join(texts, reps.rep.eqNullSafe(texts["_id"])),
+                        ["key", "_text"], "key bigint, found binary", sets_of)
+    found = stored(found.where("found is not null").groupBy("key").agg(
+        F.first("found").alias("found")), "large-sets")
+    own = F.pmod(F.xxhash64("key", F.lit("block")), F.col("_blocks"))
+    low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
+    dealt = (rows.withColumn("_own", own)
+             .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                        F.col("_blocks") - 1)))
+             .select(F.xxhash64("path", low, high).alias("leaf"), "key", "comp",
+                     F.col("_own").alias("side")))
+    return (dealt.join(found, "key").repartition("leaf").sortWithinPartitions("leaf")
+            .mapInArrow(_whole(similarity), "a bigint, b bigint"))
+
+
 def links(docs: DataFrame, sets: DataFrame, trees: range, similarity: float, length: int,
-          id_col: str, text_col: str) -> DataFrame:
-    """Confirmed links (a, b) between keys, found in some trees."""
+          id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """Confirmed links (a, b) between keys, found in some trees, and nodes as of ``leaves`` of
+    which not all pairs were compared."""
     kind = docs.schema[id_col].dataType.simpleString()
-    likely = (leaves(sets, trees, similarity).repartition("leaf").sortWithinPartitions("leaf")
+    near, large = leaves(sets, trees, similarity, NODE_ROWS, DEPTH)
+    likely = (near.repartition("leaf").sortWithinPartitions("leaf")
               .mapInArrow(_likely(similarity), f"leaf bigint, key bigint, comp bigint, "
                                                f"rep {kind}, partners array<bigint>"))
     if len(trees) > 1:
@@ -225,7 +337,7 @@ def links(docs: DataFrame, sets: DataFrame, trees: range, similarity: float, len
     full = (likely.hint("merge").join(texts, likely.rep.eqNullSafe(texts["_id"]))
             .select("leaf", "key", "comp", "partners", "_text"))
     return (full.repartition("leaf").sortWithinPartitions("leaf")
-            .mapInArrow(_linked(similarity, length), "a bigint, b bigint"))
+            .mapInArrow(_linked(similarity, length), "a bigint, b bigint")), large
 
 
 def _once(likely: DataFrame, sets: DataFrame) -> DataFrame:
@@ -248,16 +360,24 @@ def groups(docs: DataFrame, similarity: float = 0.8, length: int = 5, id_col: st
     sets = stored(signed.where("key is not null").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"),
         F.max("sig").alias("sig")), "sets")
-    found = stored(links(docs, sets.withColumn("comp", F.col("key")), range(1), similarity, length,
-                         id_col, text_col), "links")
+    first, large = links(docs, sets.withColumn("comp", F.col("key")), range(1), similarity, length,
+                         id_col, text_col)
+    found = stored(first, "links")
     labels = components(found)
 
     def with_component(labels: DataFrame) -> DataFrame:
         return sets.join(labels, sets.key == labels.node, "left").select(
             "key", "doc_id", "n_shingles", "sig", F.coalesce("root", "key").alias("comp"))
-    more = links(docs, with_component(labels), range(1, TREES), similarity, length, id_col,
-                 text_col)
-    labels = components(found.unionAll(stored(more, "links")))
+    more, others = links(docs, with_component(labels), range(1, TREES), similarity, length, id_col,
+                         text_col)
+    found = found.unionAll(stored(more, "links"))
+    labels = components(found)
+    large = others if large is None else large if others is None else large.unionAll(others)
+    if large is not None:
+        rest = whole_links(docs, with_component(labels), large, similarity, length, id_col,
+                           text_col)
+        if rest is not None:
+            labels = components(found.unionAll(stored(rest, "links")))
     members = with_component(labels).select("key", "comp", "doc_id")
     least = members.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     by_key = members.join(least, "comp").select("key", "component_id")

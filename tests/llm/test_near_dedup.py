@@ -70,6 +70,33 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert len(got) == len(set(brute(texts, 2))) == 1
 
 
+@pytest.mark.parametrize("depth, block_rows", [(5, 1024), (3, 100)])
+def test_template_family(spark, monkeypatch, depth, block_rows):
+    """Texts of one template, 0.71 to each other, with few pairs just above 0.8 among them."""
+    monkeypatch.setattr(near_dedup, "DEPTH", depth)
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", block_rows)
+    n, pairs = 1500, 25
+    template = " ".join(f"t{k}" for k in range(100))
+    texts = [template + "".join(f" own{i}x{k}" for k in range(20)) for i in range(n)]
+    for p in range(pairs):
+        for i in (p, n - 1 - p):
+            texts[i] = (template + "".join(f" pair{p}x{k}" for k in range(10))
+                        + "".join(f" own{i}x{k}" for k in range(13)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.groups(docs, length=1).collect()}
+    assert got == {i: n - 1 - i if i >= n - pairs else i for i in range(n)}
+
+
+def test_shared_counts():
+    draw = random.Random(8)
+    sets = [near_dedup.shingles([b"%d" % draw.randrange(3000) for _ in range(k * 40)], 1)
+            for k in range(60)]
+    both = near_dedup.shared(sets[:20], sets[20:])
+    assert both.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[20:]]
+                             for a in sets[:20]]
+    assert near_dedup.shared(sets[:3], []).shape == (3, 0)
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, k) for k in range(200, 300)] + [(7, 7)]
     got = {r.node: r.root for r in components(
