@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfmark.llm.common import bytes_of, lower_words, map_batches, runs, stored
 from shelfmark.llm.components import components, forest
@@ -356,6 +357,14 @@ def groups(docs: DataFrame, similarity: float = 0.8, length: int = 5, id_col: st
            text_col: str = "text") -> DataFrame:
     """Per document ``doc_id``, ``n_shingles`` and ``component_id``, the least id of the documents
     that links lead to, itself included; ``kept`` tells whether it has that id itself."""
+    return _grouped(docs, similarity, length, id_col, text_col).drop("key", "one")
+
+
+def _grouped(docs: DataFrame, similarity: float, length: int, id_col: str,
+             text_col: str) -> DataFrame:
+    """``groups`` with the ``key`` of each document's set; ``one`` tells whether the document
+    stands for its component: it has the least id and the one set chosen of those with that id.
+    Without words every document does."""
     signed = stored(signatures(docs, length, id_col, text_col), "signatures")
     sets = stored(signed.where("key is not null").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"),
@@ -379,28 +388,51 @@ def groups(docs: DataFrame, similarity: float = 0.8, length: int = 5, id_col: st
         if rest is not None:
             labels = components(found.unionAll(stored(rest, "links")))
     members = with_component(labels).select("key", "comp", "doc_id")
-    least = members.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    by_key = members.join(least, "comp").select("key", "component_id")
+    # Null comes last: it is the id of a component only if no document has one.
+    least = members.groupBy("comp").agg(F.min(F.struct(
+        F.isnull("doc_id").alias("none"), "doc_id", "key")).alias("least"))
+    by_key = members.join(least, "comp").select(
+        "key", F.col("least.doc_id").alias("component_id"),
+        (F.col("key") == F.col("least.key")).alias("_chosen"))
+    same = F.col("doc_id").eqNullSafe(F.col("component_id"))
     with_words = signed.where("key is not null").join(by_key, "key").select(
-        "doc_id", "n_shingles", "component_id")
+        "doc_id", "n_shingles", "component_id", same.alias("kept"), "key",
+        (F.col("_chosen") & same).alias("one"))
     without = signed.where("key is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return with_words.unionAll(without).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"),
+        "key", F.lit(True).alias("one"))
+    return with_words.unionAll(without)
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, length: int = 5,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, the one of the least id, with all its columns.
 
-    Of rows that share this id one stays, too; documents are told apart by their ids here.
+    Documents of null or repeated ids are told apart by their sets; of rows that share the id and
+    the set one stays. Documents without words belong to no group and all stay.
     """
-    kept = (groups(docs, similarity, length, id_col, text_col).where("kept")
-            .groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")))
-    found = docs.join(kept.hint("merge"), docs[id_col].eqNullSafe(F.col("_kept")))
-    once = found.where(F.col("_rows") == 1).select(*docs.columns)
-    again = found.where(F.col("_rows") > 1).select(*docs.columns).dropDuplicates([id_col])
-    return once.unionAll(again)
+    found = stored(_grouped(docs, similarity, length, id_col, text_col).select(
+        "doc_id", "key", "one"), "grouped")
+    rows = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_kept"))
+            .agg(F.count("*").alias("_rows"), F.max("one").alias("_one")).where("_one"))
+    met = docs.join(rows.hint("merge"), docs[id_col] == F.col("_kept"))
+    once = met.where(F.col("_rows") == 1).select(*docs.columns)
+    again = met.where(F.col("_rows") > 1).select(*docs.columns).unionAll(
+        docs.where(docs[id_col].isNull()))
+
+    def keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingles(lower_words(t), length) for t in bytes_of(batch, text_col)]
+        keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+        return pa.RecordBatch.from_arrays([*batch.columns, keys],
+                                          [*batch.schema.names, "_set_key"])
+    again = map_batches(again, docs.columns, StructType(
+        [*docs.schema.fields, StructField("_set_key", LongType())]), keyed)
+    chosen = found.where("one and key is not null").select(
+        F.col("key").alias("_chosen"), F.col("doc_id").alias("_kept")).distinct()
+    told = again.join(chosen.hint("merge"), (F.col("_set_key") == F.col("_chosen"))
+                      & F.col(id_col).eqNullSafe(F.col("_kept"))).select(
+        *docs.columns, "_set_key").dropDuplicates(["_set_key"]).select(*docs.columns)
+    return once.unionAll(told).unionAll(again.where("_set_key is null").select(*docs.columns))
 
 
 ORACLE = r"""

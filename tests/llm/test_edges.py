@@ -129,3 +129,16 @@ def test_nulls_count_as_empty(docs):
         "doc_id is not null").collect()}
     assert (near[1].n_shingles, near[1].component_id, near[1].kept) == (0, 1, True)
     assert near[5].component_id == 4 and not near[5].kept and near[4].kept
+
+
+def test_one_of_each_of_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{name}{k}" for k in range(30)) for name in "abcdefg"]
+    rows = [(None, texts[0], 0), (None, texts[1], 1), (None, texts[1], 2),   # null, copies
+            (1, texts[2], 3), (1, texts[3], 4), (1, texts[3], 5),           # other texts of an id
+            (2, texts[4], 6), (None, texts[4], 7),                          # a copy without an id
+            (3, texts[5], 8), (4, texts[5], 9), (4, texts[6], 10),          # a copy of a shared id
+            (None, None, 11), (None, "", 12), (5, "", 13), (5, " ", 14)]
+    got = near_dedup.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string, n int"))
+    kept = sorted(r.n for r in got.collect())
+    assert sum(n in (1, 2) for n in kept) == sum(n in (4, 5) for n in kept) == 1
+    assert [n for n in kept if n not in (1, 2, 4, 5)] == [0, 3, 6, 8, 10, 11, 12, 13, 14]
