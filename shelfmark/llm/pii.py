@@ -80,10 +80,9 @@ _SPELLED = re.compile(
     rf"(?<![^\W_])(?:plus[ -]+)?(?:{_DIGIT_WORD}|[0-9])(?:(?:[ -]{{1,2}}(?:{_DIGIT_WORD}|[0-9]))"
     r"){2,}(?![^\W_])", re.IGNORECASE)
 # Between dots the digits of an address may be few.
-_DOT = (rf"[ ]*(?:[\[({{<][ ]*(?:{'|'.join(DOT_WORDS)}|\.)[ ]*[\])}}>]"
-        r"|&#46;|&#x2e;|&period;)[ ]*")
-_AT = (rf"[ ]*(?:[\[({{<][ ]*(?:{'|'.join(AT_WORDS)}|@)[ ]*[\])}}>]"
-       r"|&#64;|&#x40;|&commat;)[ ]*")
+_DOT_MARK = rf"[\[({{<][ ]*(?:{'|'.join(DOT_WORDS)}|\.)[ ]*[\])}}>]|&#46;|&#x2e;|&period;"
+_AT_MARK = rf"[\[({{<][ ]*(?:{'|'.join(AT_WORDS)}|@)[ ]*[\])}}>]|&#64;|&#x40;|&commat;"
+_DOT, _AT = rf"[ ]*(?:{_DOT_MARK})[ ]*", rf"[ ]*(?:{_AT_MARK})[ ]*"
 _BARE_DOT = rf"(?:[ ]+(?:{'|'.join(DOT_WORDS)}|\.)[ ]+|[-_*]dot[-_*])"
 _BARE_AT = rf"(?:[ ]+(?:{'|'.join(AT_WORDS)}|@)[ ]+|[-_*]at[-_*])"
 _IN_BRACKETS_DOT, _IN_BRACKETS_AT = re.compile(_DOT, re.I), re.compile(_AT, re.I)
@@ -92,12 +91,20 @@ _SPELLED_IP = re.compile(rf"(?<![^\W_]){_OCTET}(?:(?:{_BARE_DOT}|{_DOT}|\.){_OCT
                          re.IGNORECASE)
 _NAME = r"[A-Za-z0-9-]{1,63}"
 _LAST = r"(?:[A-Za-z]{2,4}|online|example)"
+_LONG_LAST = r"[A-Za-z]{5,63}"
 # name at host dot net, with a short last part: bare words count only where both stand in their places; before a host
-# with plain dots, bare "at" counts if the name has a digit or a mark inside.
+# with plain dots, bare "at" counts if the name has a digit or a mark inside. A long last part
+# takes such a name, one of several parts, a host of several parts, or signs instead of blanks.
 _BARE_MAIL = re.compile(
     rf"(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9._%+-]{{1,64}}(?:{_BARE_DOT}[A-Za-z0-9._%+-]{{1,64}})"
     rf"{{0,2}}(?:{_BARE_AT}|@){_NAME}(?:\.{_NAME}){{0,8}}(?:{_BARE_DOT}{_NAME}){{0,3}}"
     rf"{_BARE_DOT}{_LAST}"
+    rf"|(?:[A-Za-z0-9_%+-]{{1,64}}[0-9._%+-][A-Za-z0-9_%+-]{{1,64}}|[A-Za-z0-9._%+-]{{1,64}}"
+    rf"(?:{_BARE_DOT}[A-Za-z0-9._%+-]{{1,64}}){{1,2}}){_BARE_AT}{_NAME}(?:\.{_NAME}){{0,8}}"
+    rf"(?:{_BARE_DOT}{_NAME}){{0,3}}{_BARE_DOT}{_LONG_LAST}"
+    rf"|[A-Za-z0-9._%+-]{{1,64}}{_BARE_AT}{_NAME}(?:{_BARE_DOT}{_NAME}){{1,3}}{_BARE_DOT}{_LONG_LAST}"
+    rf"|[A-Za-z0-9._%+-]{{1,64}}(?:[ ]*@[ ]*{_NAME}(?:{_BARE_DOT}{_NAME}){{0,3}}{_BARE_DOT}"
+    rf"|[-_*]at[-_*]{_NAME}[-_*]dot[-_*]){_LONG_LAST}"
     rf"|[A-Za-z0-9_%+-]{{1,64}}[0-9._%+-][A-Za-z0-9_%+-]{{1,64}}{_BARE_AT}{_NAME}"
     rf"(?:\.{_NAME}){{1,8}}"
     rf"|[A-Za-z0-9._%+-]{{1,64}}(?:[ ]+@[ ]*|@[ ]+){_NAME}(?:\.{_NAME}){{1,8}})(?![A-Za-z0-9-])",
@@ -195,7 +202,7 @@ def _spelled_address(text: str) -> list[tuple[int, int, str]]:
     edits = []
     for found in _SPELLED_IP.finditer(text):
         written = _IN_BRACKETS_DOT.sub(".", _BARE_DOT_RE.sub(".", found.group()))
-        digits = re.sub(rf"(?:{_DIGIT_WORD})", lambda m: DIGIT_WORDS[m.group().lower()], written,
+        digits = re.sub(rf"(?:{_DIGIT_WORD})", lambda m: DIGIT_WORDS.get(m.group().lower(), ""), written,
                         flags=re.I)
         digits = digits.replace(" ", "").replace("-", "")
         if digits != found.group():
@@ -233,36 +240,30 @@ def _at_and_dot(text: str) -> list[tuple[int, int, str]]:
     return kept
 
 
-_BRACKETS = re.compile(r"[\[({<][ ]*(?:at|@|\.)[ ]*[\])}>]|&(?:#64|#x40|commat|#46|#x2e|period);")
-_AT_HOST = re.compile(r" at +[a-z0-9-]+\.[a-z0-9]")
+# The quick look: what every match that changes a text holds, from the same alternatives.
+_ANY_DOT = re.compile(rf"[ ](?:{'|'.join(DOT_WORDS)}|\.)[ ]|[-_*]dot[-_*]|{_DOT_MARK}", re.I)
+_ANY_AT = re.compile(rf"(?:[ ](?:{'|'.join(AT_WORDS)}|@)[ ]+|[-_*]at[-_*]){_NAME}\.[A-Z0-9-]"
+                     rf"|[ ]@|@[ ]|{_AT_MARK}", re.I)
+_WORD_BY_DOT = re.compile(rf"(?:{_DIGIT_WORD})\.|\.(?:{_DIGIT_WORD})", re.I)
+_WORD_BY_DIGIT = re.compile(rf"(?:{_DIGIT_WORD})[ -]{{1,2}}(?:{_DIGIT_WORD}|[0-9])"
+                            rf"|[0-9][ -]{{1,2}}(?:{_DIGIT_WORD})", re.I)
 
 
-def _neighbours(low: str) -> bool:
-    """Whether two digits in words stand side by side."""
-    words = low.replace("-", " ").split()
-    if DIGIT_WORDS.keys().isdisjoint(words):
-        return False
-    at = [i for i, w in enumerate(words) if w.strip(",.;:!?()") in DIGIT_WORDS]
-    return any(b - a == 1 for a, b in zip(at, at[1:], strict=False))
+def _quick(text: str) -> tuple[bool, bool, bool]:
+    """Whether there may be spelled addresses, spelled digits, and at or dot in disguise."""
+    dots = bool(_ANY_DOT.search(text))
+    return (dots or bool(_WORD_BY_DOT.search(text)), bool(_WORD_BY_DIGIT.search(text)),
+            dots or bool(_ANY_AT.search(text)))
 
 
-def rewrite(text: str) -> Rewritten | None:
-    """The text without disguises, or None if it has none."""
-    odd = not text.isascii() and _RARE.search(text) and _ODD.search(text)
-    low = text.lower()
-    if odd:
-        out = Rewritten(text)
+def rewrite(text: str, quick: bool = True) -> Rewritten | None:
+    """The text without disguises, or None if it has none; ``quick`` leaves out the patterns that
+    cannot match."""
+    out = Rewritten(text)
+    if not text.isascii() and _RARE.search(text):
         out.replace(_plain_characters(text))
-        low = out.text.lower()
-    dots = any(w in low for w in DOT_WORDS)
-    marks = dots or " @" in low or "@ " in low or "arroba" in low or "arobase" in low or bool(
-        _BRACKETS.search(low) or _AT_HOST.search(low))
-    digits = _neighbours(low)
-    if not (odd or marks or digits):
-        return None
-    if not odd:
-        out = Rewritten(text)
-    if dots:
+    octets, digits, marks = _quick(out.text) if quick else (True, True, True)
+    if octets:
         out.replace(_spelled_address(out.text))
     if digits:
         out.replace(_spelled_digits(out.text))

@@ -84,3 +84,25 @@ def test_time_is_in_proportion_to_the_text(text):
     start = time.process_time()
     pii.find(text)
     assert time.process_time() - start < 10
+
+
+@pytest.mark.parametrize("text, kind", [
+    ("jane_doe_at_mail.example.com", "email"), ("j.d2-at-mail.example.com", "email"),
+    ("jane at mail . com", "email"), ("10 . 0 . 0 . 7", "ip"),
+    ("+1 five 5 five 0 one 2 three 4", "phone"), ("one.two.three.four", "ip"),
+    ("john dot doe at example dot museum", "email"), ("jane at mail dot example dot travel", "email"),
+    ("jane @ example dot photography", "email")])
+def test_disguises_pass_the_quick_look(text, kind):
+    for around in ("%s", "so %s, and"):
+        plain, added = pii.find(around % text)
+        assert kind in {pii.KINDS[k] for k, _, _ in [*plain, *added]}
+
+
+def test_quick_look_changes_nothing():
+    draw = random.Random(4)
+    parts = ["at", "dot", "point", " ", " ", " ", ".", "@", "-", "_", "*", "[", "]", "one", "five",
+             "5", "10", "jane", "mail", "com", "plus", "&#46;", "&commat;", "arroba", "museum", "+"]
+    for _ in range(6000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(3, 24)))
+        some, every = pii.rewrite(text), pii.rewrite(text, quick=False)
+        assert (some and some.text) == (every and every.text), text
