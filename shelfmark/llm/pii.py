@@ -240,20 +240,27 @@ def _at_and_dot(text: str) -> list[tuple[int, int, str]]:
     return kept
 
 
-# The quick look: what every match that changes a text holds, from the same alternatives.
-_ANY_DOT = re.compile(rf"[ ](?:{'|'.join(DOT_WORDS)}|\.)[ ]|[-_*]dot[-_*]|{_DOT_MARK}", re.I)
-_ANY_AT = re.compile(rf"(?:[ ](?:{'|'.join(AT_WORDS)}|@)[ ]+|[-_*]at[-_*]){_NAME}\.[A-Z0-9-]"
-                     rf"|[ ]@|@[ ]|{_AT_MARK}", re.I)
-_WORD_BY_DOT = re.compile(rf"(?:{_DIGIT_WORD})\.|\.(?:{_DIGIT_WORD})", re.I)
-_WORD_BY_DIGIT = re.compile(rf"(?:{_DIGIT_WORD})[ -]{{1,2}}(?:{_DIGIT_WORD}|[0-9])"
-                            rf"|[0-9][ -]{{1,2}}(?:{_DIGIT_WORD})", re.I)
+# The quick look: what every match that changes a text holds, in lower case, from the same
+# alternatives; each pattern starts with a sign, which is faster than with a word.
+_ANY_DOT = re.compile(rf"[ ](?:{'|'.join(DOT_WORDS)}|\.)[ ]|[-_*]dot[-_*]|{_DOT_MARK}")
+_ANY_AT = re.compile(rf"(?:[ ](?:{'|'.join(AT_WORDS)}|@)[ ]+|[-_*]at[-_*])[a-z0-9-]{{1,63}}\.[a-z0-9-]"
+                     rf"|[ ]@|@[ ]|{_AT_MARK}")
+_AFTER_WORD = "|".join(rf"(?<={w}[ -])|(?<={w}[ -][ -])" for w in DIGIT_WORDS)
+_WORD_BY_DOT = re.compile(
+    rf"\.(?:{_DIGIT_WORD}|{'|'.join(rf'(?<={w}[.])' for w in DIGIT_WORDS)})")
+_WORD_BY_DIGIT = re.compile(
+    rf"[ -](?:(?=[0-9])(?:{_AFTER_WORD})"
+    rf"|(?={_DIGIT_WORD})(?:(?<=[0-9][ -])|(?<=[0-9][ -][ -])|{_AFTER_WORD}))")
+# What counts as an ASCII letter where case is ignored, but has another lower case.
+_CASES = str.maketrans({"ſ": "s", "ı": "i", "İ": "i"})
 
 
 def _quick(text: str) -> tuple[bool, bool, bool]:
     """Whether there may be spelled addresses, spelled digits, and at or dot in disguise."""
-    dots = bool(_ANY_DOT.search(text))
-    return (dots or bool(_WORD_BY_DOT.search(text)), bool(_WORD_BY_DIGIT.search(text)),
-            dots or bool(_ANY_AT.search(text)))
+    low = (text if text.isascii() else text.translate(_CASES)).lower()
+    dots = bool(_ANY_DOT.search(low))
+    return (dots or bool(_WORD_BY_DOT.search(low)), bool(_WORD_BY_DIGIT.search(low)),
+            dots or bool(_ANY_AT.search(low)))
 
 
 def rewrite(text: str, quick: bool = True) -> Rewritten | None:
