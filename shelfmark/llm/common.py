@@ -67,18 +67,26 @@ def bytes_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
 def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
     """The rows of each value of a long column by which the batches are sorted. Never holds more
     than a batch and one value's rows."""
-    rest = None
+    parts: list[pa.Table] = []  # of the value that the last batch ended with
+
+    def whole() -> pa.Table:
+        return pa.concat_tables(parts).combine_chunks()
+    last = None
     for batch in batches:
-        table_ = pa.Table.from_batches([batch])
-        if rest is not None:
-            table_ = pa.concat_tables([rest, table_])
-        values = table_.column(column).to_numpy()
-        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
-        table_ = table_.combine_chunks()
+        if not batch.num_rows:
+            continue
+        values = batch.column(column).to_numpy()
+        cuts = [*(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        if parts and values[0] != last:
+            yield whole()
+            parts = []
         start = 0
-        for cut in cuts.tolist():
-            yield table_.slice(start, cut - start)
+        for cut in cuts:
+            if start:
+                yield whole()
+                parts = []
+            parts.append(pa.Table.from_batches([batch.slice(start, cut - start)]))
             start = cut
-        rest = table_.slice(start)
-    if rest is not None and rest.num_rows:
-        yield rest
+        last = values[-1]
+    if parts:
+        yield whole()

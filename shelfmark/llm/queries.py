@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
-    bpe, classifier, decontam, html_extract, lm, near_dedup, pii, quality_rules, sharding,
+    bpe, classifier, decontam, html_extract, lm, merkle, near_dedup, pii, quality_rules, sharding,
     token_counts)
-from shelfmark.llm.common import table
+from shelfmark.llm.common import stored, table
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +70,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(sharding.assign(table(spark, sf_dir, "documents")))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof of every document in the manifest of all, held against a tampered copy."""
+    docs = table(spark, sf_dir, "documents")
+    rows = stored(merkle.leaves(docs, now={"text": merkle.without_line_ends()}), "hashed")
+    return merkle.report(merkle.proofs(rows))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -81,8 +88,10 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
+    "op12_merkle": op12_merkle,
 }
 ORACLE = {
     "op3_quality_rules": quality_rules.ORACLE,
     "op6_near_dedup": near_dedup.ORACLE,
+    "op12_merkle": merkle.ORACLE,
 }
