@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
-    bpe, classifier, decontam, html_extract, lm, merkle, near_dedup, pii, quality_rules, sharding,
-    token_counts)
+    alignment, bpe, classifier, decontam, html_extract, lm, merkle, near_dedup, pii,
+    quality_rules, sharding, token_counts, warc)
 from shelfmark.llm.common import stored, table
+from shelfmark.session import work_folder
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +71,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(sharding.assign(table(spark, sf_dir, "documents")))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers align in every document, and how common the pairs are."""
+    return alignment.report(alignment.measures(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), with_groups=False))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A proof of every document in the manifest of all, held against a tampered copy."""
     docs = table(spark, sf_dir, "documents")
@@ -77,6 +85,14 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(merkle.proofs(rows))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back as a capture."""
+    folder = work_folder(spark, "archives")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    records = stored(warc.read(spark, folder, with_payload=False), "records")
+    return warc.report(warc.captures(records))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -88,10 +104,13 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
+    "op11_alignment": op11_alignment,
     "op12_merkle": op12_merkle,
+    "op13_warc": op13_warc,
 }
 ORACLE = {
     "op3_quality_rules": quality_rules.ORACLE,
     "op6_near_dedup": near_dedup.ORACLE,
     "op12_merkle": merkle.ORACLE,
+    "op13_warc": warc.ORACLE,
 }
