@@ -69,7 +69,8 @@ def capture(page_id: str | None, url: str | None, payload: bytes, first_url: str
     ids = [str(uuid.uuid4()) for _ in range(3)]
     uri = _safe(url) if url is not None else None
     parts = urlsplit(uri) if uri and "[" not in uri else None
-    path = (parts.path or "/") + (f"?{parts.query}" if parts.query else "") if parts else "/"
+    path = f"/{parts.path.lstrip('/')}" if parts else "/"
+    path += f"?{parts.query}" if parts and parts.query else ""
     concurrent = {"WARC-Target-URI": uri, "WARC-Concurrent-To": f"<urn:uuid:{ids[0]}>"}
     head = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
             f"Content-Length: {len(payload)}").encode() + END
