@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,19 @@ def json_as_list(text: Column) -> Column:
             .when(value.isNotNull(), F.array(F.try_variant_get(value, "$", "string"))))
 
 
+def variant_path(source: Column) -> Column:
+    """The path of a dotted name in a parsed document. Names may hold any character, but for a
+    bracket together with both kinds of quotes: such a path is NULL."""
+    def step(name: Column) -> Column:
+        plain = (name != "") & ~F.contains(name, F.lit("["))
+        return (F.when(plain, F.concat(F.lit("."), name))
+                .when(~F.contains(name, F.lit("'")), F.concat(F.lit("['"), name, F.lit("']")))
+                .when(~F.contains(name, F.lit('"')), F.concat(F.lit('["'), name, F.lit('"]'))))
+    steps = F.transform(F.split(source, "[.]"), step)
+    return F.when(~F.exists(steps, lambda s: s.isNull()),
+                  F.concat(F.lit("$"), F.array_join(steps, "")))
+
+
 def is_finite_number(number: Column) -> Column:
     """Whether a number is neither NaN nor infinite; a missing one passes."""
     return F.coalesce(~F.isnan(number) & (F.abs(number) != float("inf")), F.lit(True))
@@ -95,10 +110,23 @@ def _has_keys(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StructType, T.MapType))
 
 
-def canonical_json(schema: T.StructType, columns: list[str]) -> Column:
-    """JSON of the given columns with all keys sorted."""
-    fields = [sorted_keys(F.col(name), schema[name].dataType).alias(name)
-              for name in sorted(columns)]
+def canonical_json(schema: T.StructType, columns: list[str],
+                   open_columns: Sequence[str] = ()) -> Column:
+    """JSON of the given columns with all keys sorted.
+
+    ``open_columns`` hold JSON text, or maps or lists of it; parsed documents keep their keys in
+    order, so that these are sorted at every depth, too. A text that is no JSON is left out.
+    """
+    def value(name: str) -> Column:
+        kind = schema[name].dataType
+        if name not in open_columns:
+            return sorted_keys(F.col(name), kind)
+        if isinstance(kind, T.MapType):
+            return parsed_values(sorted_keys(F.col(name), kind))
+        if isinstance(kind, T.ArrayType):
+            return F.transform(name, lambda text: F.try_parse_json(text))
+        return F.try_parse_json(name)
+    fields = [value(name).alias(name) for name in sorted(columns)]
     return F.to_json(F.struct(*fields))
 
 

@@ -13,6 +13,7 @@ from shelfmark.functions.locations import SOURCE_ID, source_id
 from shelfmark.functions.status import status_word
 from shelfmark.functions.times import order_slices
 from shelfmark.operators.skew import ROWS_PER_TASK, number_rows
+from shelfmark.session import checkpointed
 
 ORDER = ("submission_time", "source_key")
 
@@ -110,20 +111,32 @@ def organization_ancestors(parents: DataFrame) -> DataFrame:
     ``parents`` has one row ``(org, parent)`` per organization. Chains may have any length; one
     that runs into a cycle ends where an ancestor would repeat, so that an organization in a cycle
     is listed as its own ancestor.
+
+    Each round doubles the steps: the ancestors known of the farthest known ancestor are appended,
+    by one join on it. A chain of ``n`` takes ``log2(n)`` rounds.
     """
-    return parents.sparkSession.sql(
-        """
-        WITH RECURSIVE ancestors (org, ancestor, depth, seen) MAX RECURSION LEVEL 1000000 AS (
-          SELECT org, parent, 1, array(parent) FROM {parents} WHERE parent IS NOT NULL
-          UNION ALL
-          SELECT a.org, p.parent, a.depth + 1, array_append(a.seen, p.parent)
-          FROM ancestors a JOIN {parents} p ON a.ancestor = p.org
-          WHERE p.parent IS NOT NULL AND NOT array_contains(a.seen, p.parent)
-        )
-        SELECT org, ancestor, depth FROM ancestors
-        """,
-        parents=parents,
-    )
+    reach = 1
+    known = checkpointed(parents.where("parent IS NOT NULL").select(
+        "org", F.col("parent").alias("ancestor"), F.lit(1).cast("bigint").alias("depth")))
+    newest, cyclic = known, False
+    while True:
+        # A path repeats itself only once those in the cycle have reached themselves.
+        cyclic = cyclic or not newest.where("org = ancestor").isEmpty()
+        far = newest.where(F.col("depth") == reach)
+        if cyclic:
+            met = known.groupBy("org", "ancestor").agg(F.min("depth").alias("depth"))
+            known = checkpointed(met)
+            # Whoever has met an ancestor twice has met them all.
+            full = known.groupBy("org").agg(F.max("depth").alias("_all")).where(
+                F.col("_all") == reach)
+            far = far.join(full, "org", "left_semi")
+        far = far.select("org", F.col("ancestor").alias("_far"))
+        if far.isEmpty():
+            return known.select("org", "ancestor", F.col("depth").cast("int").alias("depth"))
+        above = known.select(F.col("org").alias("_far"), "ancestor", "depth")
+        newest = checkpointed(far.join(above, "_far").select(
+            "org", "ancestor", (F.col("depth") + reach).alias("depth")))
+        known, reach = known.unionAll(newest), 2 * reach
 
 
 def with_ancestors(submissions: DataFrame, parents: DataFrame) -> DataFrame:

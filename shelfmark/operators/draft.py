@@ -38,6 +38,7 @@ VALUE_FIELDS = ["dc", "organization", "links", "acl", "source_name", "mrr", "ext
                 "update_metadata_only"]
 _KEYS = ("submission_id", "field")
 _STATE = ["submission_id", "field", "key", "pos", "payload"]
+_STEP = ["submission_id", "field", "key", "seq", "op", "payload"]
 FLAGS = ["test", "update"]
 # Elements of a list, or entries of a map, in one part of a submission.
 PART_ROWS = 100_000
@@ -53,7 +54,45 @@ def current_state(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFra
     """
     steps = _steps(fold.valid_edits(log))
     # Written once, as each kind of field is folded in its own way from here.
-    live = checkpointed(fold.after_clear(steps, _KEYS))
+    return _held(checkpointed(fold.after_clear(steps, _KEYS)), rows_per_task)
+
+
+def partial_state(log: DataFrame) -> DataFrame:
+    """The steps of some calls that can still count. Such states of parts of a log merge in any
+    order, see ``merged_state``; ``standing`` gives what holds after all of them."""
+    return merged_state(_steps(fold.valid_edits(log)))
+
+
+def merged_state(states: DataFrame) -> DataFrame:
+    """One state from those of several parts of the log.
+
+    Of each field the last clear stays, with all list elements and links after it, the last step
+    on each entry, and the last value. Elements before a clear go; an entry deleted stays as such,
+    as an earlier value may arrive yet.
+    """
+    clears = states.where("op = 'clear'").groupBy(*_KEYS).agg(F.max("seq").alias("seq"))
+    cleared = clears.select(*_KEYS, F.col("seq").alias("_cleared"))
+    live = states.where("op <> 'clear'").join(cleared, list(_KEYS), "left").where(
+        F.col("_cleared").isNull() | (F.col("seq") > F.col("_cleared"))).drop("_cleared")
+    listed = (F.col("op") == "append") | (F.col("field") == "links")
+    links = (F.col("field") != "links") | ~fold.is_falsy(F.col("payload"))
+    last = live.where(~listed).groupBy(*_KEYS, "key").agg(
+        F.max_by(F.struct("seq", "op", "payload"), "seq").alias("_last")).select(
+        *_KEYS, "key", "_last.*")
+    none = F.lit(None).cast("string")
+    return (live.where(listed & links).select(*_STEP)
+            .unionByName(last.select(*_STEP))
+            .unionByName(clears.select(*_KEYS, none.alias("key"), "seq", F.lit("clear").alias("op"),
+                                       none.alias("payload"))))
+
+
+def standing(state: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """What holds by a merged state, as ``current_state`` has it."""
+    return _held(checkpointed(state.where("op <> 'clear'")), rows_per_task)
+
+
+def _held(live: DataFrame, rows_per_task: int) -> DataFrame:
+    """What the steps that no clear has undone leave, in the columns of ``current_state``."""
     lists = fold.appended(live, [F.floor(F.col("seq.at") / _SLICE)], rows_per_task, _KEYS)
     entries = fold.last_write(live.where("op = 'upsert'"), [*_KEYS, "key"])
     values = live.where("op = 'set'")

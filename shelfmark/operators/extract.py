@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import math
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark import fixed
-from shelfmark.functions.documents import json_problem
+from shelfmark.functions.documents import json_problem, variant_path
 from shelfmark.functions.locations import directory
 
 NaValues = str | Sequence[str] | None
@@ -34,28 +36,10 @@ def json_records(df: DataFrame, document: Column, mapping: Mapping[str, str],
     """Records from dotted paths in JSON text."""
     parsed = _parsed_once(df, F.try_parse_json(document), keep)
     return records(parsed, {
-        target: _value(F.try_variant_get("_parsed", _variant_path(source), "string"), target,
+        target: _value(F.try_variant_get("_parsed", variant_path(F.lit(source)), "string"), target,
                        types, na_values) for target, source in mapping.items()}, keep)
 
 
-def mapped_records(files: DataFrame, document: str, index: DataFrame, key: str,
-                   keep: Sequence[str] = ()) -> DataFrame:
-    """Records of JSON documents, each through the mapping of its own submission.
-
-    ``index`` has one row per ``key`` with ``mapping`` (target to dotted source) and ``na_values``.
-    As every submission maps to other fields, a ``record`` is a map from target to text; values
-    that are missing are left out, and documents without any are no records.
-    """
-    paths = F.transform_values("mapping", lambda _, source: F.concat(
-        F.lit("$['"), F.array_join(F.split(source, "[.]"), "']['"), F.lit("']")))
-    values = F.transform_values(paths, lambda _, path: F.call_function(
-        "get_json_object", F.col(document), path))
-    missing = F.coalesce("na_values", F.array().cast("array<string>"))
-    record = F.map_filter(values, lambda _, v: v.isNotNull() & ~F.array_contains(missing, v))
-    return (files.join(index.select(key, "mapping", "na_values"), key)
-            .select(*keep, key, record.alias("record")).where(F.size("record") > 0))
-
-
 def json_rejects(df: DataFrame, document: Column, keep: Sequence[str] = ()) -> DataFrame:
     """The rows whose document gives no record because it cannot be read, with the ``reason``."""
     found = df.select(*keep, json_problem(document).alias("reason"))
@@ -67,7 +51,7 @@ def csv_records(df: DataFrame, line: Column, header: Sequence[str], mapping: Map
                 na_values: NaValues = None, keep: Sequence[str] = ()) -> DataFrame:
     """Records from named cells of delimited text."""
     cells = ", ".join(f"`{name}` string" for name in header)
-    parsed = _parsed_once(df, F.from_csv(line, cells, {"sep": delimiter}), keep)
+    parsed = _parsed_once(df, F.from_csv(line, cells, {"sep": delimiter, "escape": '"'}), keep)
     return _struct_records(parsed, mapping, types, tabular_na(na_values), keep)
 
 
@@ -149,6 +133,28 @@ def group_by_directory(files: DataFrame, location: str, fields: Sequence[str]) -
                  F.max(location).alias("last_file"), *merged))
 
 
+def yaml_documents(text: str) -> Iterator[tuple[str | None, str | None]]:
+    """Each document of a YAML text as JSON, or the error that keeps the rest from being read."""
+    import yaml
+
+    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+
+    def plain(value):
+        """Keys as texts and numbers that JSON lacks as null, so that the rest is kept."""
+        if isinstance(value, dict):
+            return {k if isinstance(k, str) else str(k): plain(v) for k, v in value.items()}
+        if isinstance(value, (list, tuple, set)):
+            return [plain(v) for v in value]
+        if isinstance(value, float) and not math.isfinite(value):
+            return None
+        return value
+    try:
+        for document in yaml.load_all(text, loader):
+            yield json.dumps(plain(document), default=str), None
+    except (yaml.YAMLError, ValueError, RecursionError) as error:
+        yield None, f"{type(error).__name__}: {error}"[:500]
+
+
 def _parsed_once(df: DataFrame, value: Column, keep: Sequence[str]) -> DataFrame:
     """The value as column ``_parsed``, computed once per row.
 
@@ -163,10 +169,6 @@ def _struct_records(parsed: DataFrame, mapping, types, na_values, keep) -> DataF
     return records(parsed, struct_fields(parsed.schema, paths, types, na_values), keep)
 
 
-def _variant_path(source: str) -> str:
-    return "$" + "".join(f"['{name}']" for name in source.split("."))
-
-
 def _value(col: Column, target: str, types: Mapping[str, str] | None,
            na_values: NaValues) -> Column:
     col = without_na(col, na_values)

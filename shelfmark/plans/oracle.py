@@ -519,6 +519,10 @@ ORACLE: dict[str, str] = {
         || extraction_summary || '","source_id":"' || source_id
         || '","submission_info":{"submitter":' || cast(submitter as varchar) || '}}' as json
       from tasks"""),
+    "canonical_open": """
+      select event_id, '{"mrr":{"a":{"m":true,"n":null},"props":' || replace(props, ' ', '')
+        || ',"z":[{"b":"' || event_type || '","y":' || event_id || '}]},"projects":{"one":'
+        || replace(props, ' ', '') || ',"two":{"c":"x","d":1}}}' as json from events""",
     "curation_apply": _with("tasks verdicts", f"""
       select source_id, action, {_REASON} as reason,
         case action when 'accept' then 'continues' else 'failed' end as outcome
@@ -531,14 +535,49 @@ ORACLE: dict[str, str] = {
       select event_id, cast(regexp_extract(props, '"k": ([0-9]+)', 1) as bigint) as k,
         cast(null as varchar) as y from events""",
     "index_nested": """
-      select p_partkey, p_type as kind, p_size as length,
-        case when p_partkey % 3 <> 0 then p_partkey end as shelf,
-        cast(null as boolean) as checked from part""",
-    "index_by_submission": """
-      select p_partkey, case when p_partkey % 3 < 2 then p_type end as kind,
-        cast(null as varchar) as shelf, case p_partkey % 3
-          when 1 then case when p_size not in (7, 8) then cast(p_size as varchar) end
-          when 2 then cast(p_partkey as varchar) end as b from part""",
+      select p_partkey, p_brand as mark, '["' || replace(p_name, ' ', '","') || '"]' as words,
+        p_size as units, case when p_partkey % 4 <> 1 then p_retailprice end as price,
+        cast(null as date) as ends from part""",
+    "index_by_submission": r"""
+      with files as (select p_partkey as k, p_partkey % 15 as submission_id, p_type as t,
+          p_size as size, p_name, substring(p_brand, 7) as brand,
+          p_brand || '-' || p_partkey || '_' || p_name || '.dat' as name from part),
+      found as (
+        select submission_id, 'json' as data_type, name, 0 as at, case submission_id
+            when 0 then '{"a":{"grade":"' || t || '","id":"' || k || '"}}'
+            when 5 then '{' || case when t <> 'PROMO' then '"a":{"grade":"' || t || '"},' else '' end
+              || '"b":"[' || size || ',' || (size + 1) || ']"}'
+            else '{"c":{"id":"' || k || '"}}' end as record
+          from files where submission_id in (0, 5, 10)
+        union all select submission_id, 'json', name, 1, case submission_id
+            when 0 then '{"a":{"id":"-1"}}' else '{"c":{"id":"-1"}}' end
+          from files where submission_id in (0, 10) and k % 2 = 0
+        union all select submission_id, 'csv', name, 0, case submission_id
+            when 1 then '{"a":{"code":"' || k || '","grade":"' || t || ' \"x\",\n"}}'
+            when 6 then '{"a":{"code":"' || k || '"},"note":" "}'
+            else '{"note":"5\" wide"}' end
+          from files where submission_id in (1, 6, 11)
+        union all select submission_id, 'csv', name, 1, case submission_id
+            when 1 then '{"a":{"code":"end","grade":"' || t || '"},"note":"ok"}'
+            else '{"a":{"code":"end"}}' end
+          from files where submission_id in (1, 6)
+        union all select submission_id, 'xml', name, 0, case submission_id
+            when 2 then '{"a":{"grade":"' || t || '","kind":"k' || k || '"}}'
+            when 7 then '{"b":"0' || size || '"}'
+            else '{"c":{"x":"{\"grade\":\"' || t || '\"}"}}' end
+          from files where submission_id in (2, 7, 12)
+        union all select submission_id, 'yaml', name, 0, case submission_id
+            when 3 then '{"a":{"grade":"' || t || '","id":"' || k || '"}}'
+            when 8 then '{"b":"' || k || '"}' else '{"a":{"grade":"' || t || '"}}' end
+          from files where submission_id in (3, 8, 13)
+        union all select submission_id, 'yaml', name, 1, case submission_id
+            when 3 then '{"a":{"id":"' || k || '"}}' else '{"b":"' || k || '"}' end
+          from files where submission_id in (3, 8)
+        union all select submission_id, 'filename', name, 0, case submission_id
+            when 4 then '{"a":{"brand":"' || brand || '","id":"' || k || '"}}'
+            else '{"b":"' || regexp_extract(name, '[a-z]+\.dat$') || '"}' end
+          from files where submission_id in (4, 9))
+      select * from found""",
     "index_csv": _with("lines", """
       select l_orderkey, l_linenumber, number, flag, status, cast(null as varchar) as comment
       from lines"""),
@@ -564,9 +603,10 @@ ORACLE: dict[str, str] = {
       from page_fields
       where number is not null or kind is not null or "view" is not null group by 1"""),
     "index_union": _with("lines", """
-      select p_partkey, p_type as kind, case when p_partkey % 3 <> 0 then p_partkey end
-        as shelf, cast(null as varchar) as status from part
+      select p_partkey, p_brand as kind, p_size as units, cast(null as varchar) as status
+      from part
       union all select l_partkey, flag, null, status from lines"""),
     "passthrough_filter": _with("locations", """
       select page_id, url from locations where page_id % 3 = 0 or page_id % 2 <> 0"""),
 }
+ORACLE["stream_draft"] = ORACLE["draft_state"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import documents, locations, status
 from shelfmark.functions.times import iso_time, order_slices
 from shelfmark.operators import (
-    access, catalog, curation, dc, draft, extract, filters, fold, submission, validate,
+    access, catalog, curation, dc, draft, extract, filters, fold, indexed, submission, validate,
 )
 from shelfmark.plans import views
 from shelfmark.schema import EVENTS
@@ -634,6 +634,14 @@ def stream_fold(spark, folder):
     return runs.read_fold(spark, out).select("submission_id", "key", "payload")
 
 
+@query
+def stream_draft(spark, folder):
+    """What submissions hold after all builder calls, kept up to date by a stream of them."""
+    out = work_folder(spark, "draft")
+    runs.run_draft(views.builder_calls(_event_stream(spark, folder)), out)
+    return runs.read_draft(spark, out)
+
+
 @query
 def draft_documents(spark, folder):
     """Submissions in parts of three elements, put together from all builder calls."""
@@ -718,6 +726,18 @@ def canonical_json(spark, folder):
     return tasks.select("source_id", text.alias("json"))
 
 
+@query
+def canonical_open(spark, folder):
+    """Open blocks as they were given, in any order, with keys sorted at every depth."""
+    events = views.table(spark, folder, "events")
+    block = F.format_string('{"z": [{"y": %s, "b": "%s"}], "props": %s, "a": {"n": null, "m": true}}',
+                            F.col("event_id").cast("string"), F.col("event_type"), F.col("props"))
+    blocks = events.select("event_id", block.alias("mrr"), F.create_map(
+        F.lit("two"), F.lit('{"d": 1, "c": "x"}'), F.lit("one"), F.col("props")).alias("projects"))
+    text = documents.canonical_json(blocks.schema, ["projects", "mrr"], ["projects", "mrr"])
+    return blocks.select("event_id", text.alias("json"))
+
+
 @query
 def curation_apply(spark, folder):
     decided = curation.apply_verdicts(views.curation_tasks(spark, folder).select("source_id"),
@@ -735,12 +755,13 @@ def curation_unknown(spark, folder):
 # --- records ----------------------------------------------------------------
 
 DOCUMENT_MAPPING = {
-    "goods.kind": "item.spec.kind",
-    "goods.length": "item.length",
-    "place.shelf": "shelf",
-    "place.checked": "audit.passed",
+    "label.mark": "stock.entry.maker's mark",
+    "label.words": "stock.entry.words",
+    "packing.outer.units": "stock.entry.box [outer].units",
+    "offer.price": "price",
+    "offer.ends": "terms.until",
 }
-DOCUMENT_TYPES = {"goods.length": "int", "place.shelf": "bigint", "place.checked": "boolean"}
+DOCUMENT_TYPES = {"packing.outer.units": "int", "offer.price": "double", "offer.ends": "date"}
 
 
 @query
@@ -753,28 +774,20 @@ def index_json(spark, folder):
 
 def _document_records(spark, folder):
     return extract.json_records(views.part_documents(spark, folder), F.col("document"),
-                                DOCUMENT_MAPPING, DOCUMENT_TYPES, keep=["p_partkey"])
+                                DOCUMENT_MAPPING, DOCUMENT_TYPES, "n/a", keep=["p_partkey"])
 
 
 @query
 def index_nested(spark, folder):
     return _document_records(spark, folder).select(
-        "p_partkey", "goods.kind", "goods.length", "place.shelf", "place.checked")
+        "p_partkey", "label.mark", "label.words", "packing.outer.units", "offer.price",
+        "offer.ends")
 
 
 @query
 def index_by_submission(spark, folder):
-    """Documents of three submissions, each read through its own mapping."""
-    docs = views.part_documents(spark, folder).withColumn(
-        "submission_id", F.col("p_partkey") % 3)
-    index = spark.createDataFrame([
-        (0, {"a.kind": "item.spec.kind", "a.shelf": "shelf"}, None),
-        (1, {"a.kind": "item.spec.kind", "b": "item.length"}, ["7", "8"]),
-        (2, {"b": "shelf"}, None)],
-        "submission_id bigint, mapping map<string,string>, na_values array<string>")
-    found = extract.mapped_records(docs, "document", index, "submission_id", keep=["p_partkey"])
-    return found.select("p_partkey", F.col("record")["a.kind"].alias("kind"),
-                        F.col("record")["a.shelf"].alias("shelf"), F.col("record")["b"].alias("b"))
+    """Files of five types from 15 submissions, each read through its own mapping."""
+    return indexed.mapped_records(views.indexed_files(spark, folder), views.file_index(spark))
 
 
 LINE_HEADER = ["number", "flag", "status"]
@@ -843,7 +856,7 @@ def group_by_dir(spark, folder):
 @query
 def index_union(spark, folder):
     from_json = _document_records(spark, folder).select(
-        "p_partkey", "goods.kind", "place.shelf")
+        "p_partkey", F.col("label.mark").alias("kind"), "packing.outer.units")
     from_csv = _line_records(spark, folder).select(
         F.col("l_partkey").alias("p_partkey"), F.col("line.flag").alias("kind"),
         "line.status")

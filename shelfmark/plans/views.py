@@ -58,7 +58,11 @@ def edits(events: DataFrame) -> DataFrame:
 
 
 def builder_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Builder calls, one per event: tags, services, projects, organizations, clears, resets."""
+    """Builder calls, one per event, on every kind of field."""
+    return builder_calls(table(spark, folder, "events"))
+
+
+def builder_calls(events: DataFrame) -> DataFrame:
     kind, n = F.col("event_type"), F.col("event_id")
     by_kind = lambda view, click, purchase, signup, error: (
         F.when(kind == "view", view).when(kind == "click", click)
@@ -66,7 +70,7 @@ def builder_log(spark: SparkSession, folder: str) -> DataFrame:
     none, value, props = F.lit(None).cast("string"), F.col("value"), F.col("props")
     key = F.concat(F.lit("k"), (n % 5).cast("string"))
     text = lambda prefix, number: F.concat(F.lit(f'"{prefix}'), number.cast("string"), F.lit('"'))
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("user_id").alias("submission_id"),
         n.alias("seq"),
         by_kind(F.lit("append"), F.lit("upsert"), F.lit("upsert"), F.lit("set"),
@@ -230,9 +234,66 @@ def delimited(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def part_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested JSON documents, one per part."""
-    doc = F.struct(
-        F.struct(F.struct(F.col("p_type").alias("kind")).alias("spec"),
-                 F.col("p_size").alias("length")).alias("item"),
-        F.when(F.col("p_partkey") % 3 != 0, F.col("p_partkey")).alias("shelf"))
+    """Nested JSON documents, one per part: names with quotes and brackets, lists, a price that is
+    sometimes written as not available."""
+    priced = F.when(F.col("p_partkey") % 4 == 1, "n/a").otherwise(
+        F.col("p_retailprice").cast("string"))
+    box = F.struct(F.col("p_size").alias("units"))
+    entry = F.struct(F.col("p_brand").alias("maker's mark"), F.split("p_name", " ").alias("words"),
+                     box.alias("box [outer]"))
+    doc = F.struct(F.struct(entry.alias("entry")).alias("stock"), priced.alias("price"))
     return table(spark, folder, "part").select("p_partkey", F.to_json(doc).alias("document"))
+
+
+def indexed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of five data types from 15 submissions, one per part."""
+    key, text = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    kind, form = key % 5, F.floor(key % 15 / 5)
+    entry = F.to_json(F.struct(
+        F.struct(F.struct(F.col("p_type").alias("grade")).alias("it's")).alias("lot"),
+        F.array(F.col("p_size"), F.col("p_size") + 1).alias("sizes"), key.alias("id")))
+    document = F.when(key % 2 == 0, F.format_string("[%s, {\"id\": -1}]", entry)).otherwise(entry)
+    sep = F.when(form == 0, ",").when(form == 1, ";").otherwise("##")
+    quoted = F.format_string('"%s ""x"",\n"', F.col("p_type"))
+    line = lambda *cells: F.array_join(F.array(*cells), "\x00")
+    lines = F.when(form < 2, F.concat(
+        line(F.lit("code"), F.lit("grade"), F.lit("remark")), F.lit("\r\n"),
+        line(text, quoted, F.lit(" ")), F.lit("\r\n\n"),
+        line(F.lit("end"), F.col("p_type"), F.lit("ok")))).otherwise(F.concat(
+            line(F.lit("remark"), F.lit("code")), F.lit("\n"),
+            line(F.lit('5" wide'), text), F.lit("\n")))
+    lines = F.replace(lines, F.lit("\x00"), sep)
+    markup = F.format_string(
+        '<lot kind="k%s"><part><grade>%s</grade></part><size>0%s</size></lot>', text,
+        F.col("p_type"), F.col("p_size").cast("string"))
+    listed = F.format_string("part:\n  grade: '%s'\n  id: %s\n---\npart: {id: %s}\n",
+                             F.col("p_type"), text, text)
+    return table(spark, folder, "part").select(
+        key.alias("file_key"), (key % 15).alias("submission_id"),
+        F.when(kind == 0, "json").when(kind == 1, "csv").when(kind == 2, "xml")
+        .when(kind == 3, "yaml").otherwise("filename").alias("data_type"),
+        F.format_string("%s-%s_%s.dat", F.col("p_brand"), text, F.col("p_name")).alias("name"),
+        F.when(kind == 0, document).when(kind == 1, lines).when(kind == 2, markup)
+        .when(kind == 3, listed).alias("text"))
+
+
+def file_index(spark: SparkSession) -> DataFrame:
+    """The mapping of each of the 15 submissions."""
+    grade = {"a.grade": "lot.it's.grade"}
+    rows = [
+        (0, "json", {**grade, "a.id": "id"}, None, None),
+        (5, "json", {**grade, "b": "sizes"}, None, ["PROMO"]),
+        (10, "json", {"c.d.e": "lot.none", "c.id": "id"}, None, None),
+        (1, "csv", {"a.grade": "grade", "a.code": "code", "note": "remark"}, None, None),
+        (6, "csv", {"a.code": "code", "note": "remark"}, ";", ["ok"]),
+        (11, "csv", {"note": "remark", "a.gone": "grade"}, "##", None),
+        (2, "xml", {"a.grade": "part.grade", "a.kind": "_kind"}, None, None),
+        (7, "xml", {"b": "size"}, None, None), (12, "xml", {"c.x": "part"}, None, None),
+        (3, "yaml", {"a.grade": "part.grade", "a.id": "part.id"}, None, None),
+        (8, "yaml", {"b": "part.id"}, None, None), (13, "yaml", {"a.grade": "part.grade"}, None, None),
+        (4, "filename", {"a.brand": r"^Brand#(\d+)", "a.id": r"-(\d+)_"}, None, None),
+        (9, "filename", {"b": r"[a-z]+\.dat$"}, None, None),
+        (14, "filename", {"c.none": "xyz"}, None, None)]
+    return spark.createDataFrame(rows, "submission_id bigint, data_type string, "
+                                       "mapping map<string,string>, delimiter string, "
+                                       "na_values array<string>")

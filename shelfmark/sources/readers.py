@@ -6,8 +6,6 @@ which no mapped field has a value.
 
 from __future__ import annotations
 
-import json
-import math
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
@@ -16,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.extract import (
     NaValues, json_records, name_records, nested_schema, records, struct_fields, tabular_na,
-    union_records,
+    union_records, yaml_documents,
 )
 
 Mapped = Mapping[str, str]
@@ -34,7 +32,7 @@ def read_csv(spark: SparkSession, path: str, mapping: Mapped, delimiter: str = "
              types: Mapped | None = None, na_values: NaValues = None) -> DataFrame:
     """Delimited files with a header line. Files of one read share their header: one with other
     names, or the same in another order, fails the query."""
-    df = spark.read.csv(path, sep=delimiter, header=True, quote='"', emptyValue="",
+    df = spark.read.csv(path, sep=delimiter, header=True, quote='"', escape='"', emptyValue="",
                         enforceSchema=False)
     return _records(df, mapping, types, tabular_na(na_values))
 
@@ -114,28 +112,8 @@ def yaml_rejects(df: DataFrame, text: str, keep: list[str] | None = None) -> Dat
 
 def _yaml_to_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One row per document as JSON, or per text that cannot be read further with the error."""
-    import yaml
-
-    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
-
-    def plain(value):
-        """Keys as texts and numbers that JSON lacks as null, so that the rest is kept."""
-        if isinstance(value, dict):
-            return {k if isinstance(k, str) else str(k): plain(v) for k, v in value.items()}
-        if isinstance(value, (list, tuple, set)):
-            return [plain(v) for v in value]
-        if isinstance(value, float) and not math.isfinite(value):
-            return None
-        return value
-
-    def rows(text):
-        try:
-            for document in yaml.load_all(text, loader):
-                yield json.dumps(plain(document), default=str), None
-        except (yaml.YAMLError, ValueError, RecursionError) as error:
-            yield None, f"{type(error).__name__}: {error}"[:500]
     for batch in batches:
-        found = batch.pop("_yaml").map(lambda text: list(rows(text)), na_action="ignore")
+        found = batch.pop("_yaml").map(lambda text: list(yaml_documents(text)), na_action="ignore")
         out = batch.assign(_found=found).explode("_found", ignore_index=True)
         pairs = [f if isinstance(f, tuple) else (None, None) for f in out.pop("_found")]
         yield out.assign(_json=[p[0] for p in pairs], _error=[p[1] for p in pairs])

@@ -1,14 +1,17 @@
-"""Streams run over what is available now, with results kept as files per micro-batch."""
+"""Streams run over what is available now, with results kept as files in tiers.
+
+A batch that runs again after a failure replaces its own files.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators import fold
+from shelfmark.operators import draft, fold
+from shelfmark.streaming import tiers
 
 # Keeps the state of a stream on disk, so that it may outgrow an executor's memory.
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
@@ -27,56 +30,49 @@ def current_status(events: DataFrame) -> DataFrame:
 
 
 def run_current_status(events: DataFrame, folder: str) -> None:
-    """Processes the available events; every micro-batch writes the submissions it changed.
-
-    A batch run again after a failure replaces its own files.
-    """
+    """Processes the available events; every micro-batch writes the submissions it changed."""
     events.sparkSession.conf.set(*STATE_STORE)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/status/batch={batch_id}")
-
-    _run(current_status(events).writeStream.outputMode("update"), write, folder)
+    _run(current_status(events).writeStream.outputMode("update"), folder, lambda batch: batch,
+         current_status)
 
 
 def read_current_status(spark: SparkSession, folder: str) -> DataFrame:
     """The newest status per submission over all micro-batches."""
-    return current_status(spark.read.parquet(f"{folder}/status"))
+    return current_status(tiers.read(spark, folder))
 
 
-def run_fold(log: DataFrame, folder: str, merge_every: int = 32) -> None:
+def run_fold(log: DataFrame, folder: str) -> None:
     """Keeps the state of an edit log up to date, batch by batch.
 
     Each micro-batch writes the state of its own edits, so that its work grows with the batch and
-    not with the history; states merge in any order. After ``merge_every`` batches theirs are
-    merged into one, which keeps the number of files low. A batch run again replaces its files.
+    not with the history; states merge in any order.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fold.partial_state(batch).write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
-        if (batch_id + 1) % merge_every == 0:
-            last = spark.read.parquet(f"{folder}/state").where(
-                F.col("batch").between(batch_id + 1 - merge_every, batch_id))
-            (fold.merged_state(last).write.mode("overwrite")
-             .parquet(f"{folder}/merged/upto={batch_id}"))
-
-    _run(log.writeStream.outputMode("append"), write, folder)
+    _run(log.writeStream.outputMode("append"), folder, fold.partial_state, fold.merged_state)
 
 
 def read_fold(spark: SparkSession, folder: str) -> DataFrame:
     """The values that hold after all micro-batches."""
-    states = spark.read.parquet(f"{folder}/state")
-    columns = ["submission_id", "key", "cleared", "edit"]
-    try:
-        merged = spark.read.parquet(f"{folder}/merged")
-    except AnalysisException:  # not one merge yet
-        return fold.current_values(fold.merged_state(states.select(*columns)))
-    upto = merged.agg(F.max("upto")).first()[0]
-    later = states.where(F.col("batch") > upto)
-    return fold.current_values(fold.merged_state(
-        merged.select(*columns).unionByName(later.select(*columns))))
-
-
-def _run(writer, write: Callable[[DataFrame, int], None], folder: str) -> None:
+    return fold.current_values(fold.merged_state(tiers.read(spark, folder)))
+
+
+def run_draft(log: DataFrame, folder: str) -> None:
+    """Keeps submissions up to date with a log of builder calls, all kinds of them.
+
+    A batch writes the steps of its own calls that still count. An edit may arrive late, a clear
+    or reset as well: what it changes shows when states merge, and the list elements after it
+    move when they are numbered, without going back to the log.
+    """
+    _run(log.writeStream.outputMode("append"), folder, draft.partial_state, draft.merged_state)
+
+
+def read_draft(spark: SparkSession, folder: str) -> DataFrame:
+    """What submissions hold after all micro-batches, as ``draft.current_state`` has it."""
+    return draft.standing(draft.merged_state(tiers.read(spark, folder)))
+
+
+def _run(writer, folder: str, of_batch: Callable[[DataFrame], DataFrame],
+         merge: Callable[[DataFrame], DataFrame]) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tiers.add(of_batch(batch), folder, batch_id, merge)
     (writer.foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())

@@ -1,99 +1,60 @@
-"""Submissions built call by call, from a log of edits."""
+"""Submissions built call by call against a plain model of them."""
 
 import json
+import random
 
 import pytest
-from pyspark.sql import functions as F
 
+from drafts import random_log
 from shelfmark.operators import draft
 from shelfmark.operators.submission import submission_json
 
 SCHEMA = "submission_id int, seq bigint, op string, field string, key string, payload string"
-EMPTY = {"dc": {}, "data_sources": [], "test": False, "update": False, "placement": {},
-         "update_metadata_only": False}
-
-
-def call(op, field=None, value=None, key=None, raw=None):
-    return op, field, key, raw if raw is not None else (
-        None if value is None else json.dumps(value))
-
-
-CALLS = {
-    "lists": ([call("append", "data_sources", "globus://e/a"), call("append", "tags", "x"),
-               call("append", "data_sources", ["https://h/b", "globus://e/a"])],
-              {"data_sources": ["globus://e/a", "https://h/b", "globus://e/a"], "tags": ["x"]}),
-    "cleared list": ([call("append", "tags", ["a", "b"]), call("clear", "tags"),
-                      call("append", "tags", "c")], {"tags": ["c"]}),
-    "index": ([call("upsert", "index", {"mapping": {"m.c": "h1"}, "delimiter": "#",
-                                        "na_values": ["zero"]}, "csv"),
-               call("upsert", "index", {"mapping": {"m.c": "p.q"}}, "json"),
-               call("upsert", "index", {"mapping": {"s.g": "h2"}}, "csv"),
-               call("upsert", "index", key="json", raw='{"mapping": {"m.c": NaN}}')],
-              {"index": {"csv": {"mapping": {"s.g": "h2"}}, "json": {"mapping": {"m.c": "p.q"}}}}),
-    "services": ([call("upsert", "services", None, "partner"),
-                  call("upsert", "services", {"collection_id": 5555}, "publish"),
-                  call("upsert", "services", False, "partner")],
-                 {"services": {"partner": False, "publish": {"collection_id": 5555}}}),
-    "default service": ([call("upsert", "services", None, "mrr")], {"services": {"mrr": True}}),
-    "projects": ([call("upsert", "projects", {"foo": "bar"}, "one"),
-                  call("upsert", "projects", key="two", raw='{"foo": NaN}'),
-                  call("upsert", "projects", {"a": 1}, "three"),
-                  call("upsert", "projects", None, "one")], {"projects": {"three": {"a": 1}}}),
-    "custom": ([call("set", "custom", {"foo": "bar"}), call("describe", "custom", {"foo": "A foo"}),
-                call("set", "custom", raw='{"foo": NaN}')],
-               {"custom": {"foo": "bar", "foo_desc": "A foo"}}),
-    "custom replaced": ([call("set", "custom", {"foo": "bar"}),
-                         call("describe", "custom", {"foo": "A foo"}),
-                         call("set", "custom", {"n": 5, "l": [1, "2"]})],
-                        {"custom": {"l": [1, "2"], "n": 5}}),
-    "custom cleared": ([call("set", "custom", {"foo": "bar"}), call("set", "custom", {})], {}),
-    "placement": ([call("set", "organization", "O1"), call("set", "acl", "u1"),
-                   call("set", "acl", ["u1", "u2"]), call("set", "source_name", "foo"),
-                   call("clear", "source_name")],
-                  {"placement": {"organization": "O1", "acl": ["u1", "u2"]}}),
-    "one link": ([call("set", "links", []), call("set", "links", {"url": "u1"})],
-                 {"placement": {"links": [{"url": "u1"}]}}),
-    "links": ([call("set", "links", [{"type": "t", "url": "u1"}]),
-               call("set", "links", [{"type": "t", "url": "u2"}])],
-              {"placement": {"links": [{"type": "t", "url": "u1"}]}}),
-    "links cleared": ([call("set", "links", [{"url": "u1"}]), call("clear", "links"),
-                       call("set", "links", [{"url": "u2"}])],
-                      {"placement": {"links": [{"url": "u2"}]}}),
-    "blocks": ([call("set", "dc", {"titles": [{"title": "T"}], "other": 5}),
-                call("set", "mrr", {"a": "b"}), call("set", "extraction_config", {"dirs": 1}),
-                call("set", "extraction_config", raw='{"dirs": NaN}'),
-                call("set", "external_uri", "https://e.org"), call("set", "dataset_acl", "u")],
-               {"dc": {"titles": [{"title": "T"}], "other": 5}, "mrr": {"a": "b"},
-                "extraction_config": {"dirs": 1}, "external_uri": "https://e.org",
-                "dataset_acl": ["u"]}),
-    "emptied block": ([call("set", "mrr", {"a": 1}), call("set", "mrr", {})], {}),
-    "flags": ([call("set", "test", True), call("set", "curation", True),
-               call("set", "curation", False), call("set", "no_extract", True),
-               call("set", "update_metadata_only", True)],
-              {"test": True, "no_extract": True, "update_metadata_only": True}),
-    "reset": ([call("set", "test", True), call("set", "update", True), call("append", "tags", "x"),
-               call("set", "dc", {"a": 1}), call("set", "acl", "u"), call("set", "custom", {"a": 1}),
-               call("upsert", "services", None, "s"), call("set", "update_metadata_only", True),
-               call("reset"), call("append", "data_sources", "d")],
-              {"test": True, "update": True, "data_sources": ["d"]}),
-}
+LISTS = ("data_sources", "data_destinations", "tags")
 
 
 @pytest.fixture(scope="module")
-def log(spark):
-    rows = [(n, seq, *edit) for n, (edits, _) in enumerate(CALLS.values())
-            for seq, edit in enumerate(edits)]
-    return spark.createDataFrame(rows, SCHEMA)
+def built(spark):
+    rows, drafts = random_log(random.Random(11), 120, 25)
+    return spark.createDataFrame(rows, SCHEMA).checkpoint(), drafts
+
+
+def stated(rows):
+    """State rows with their payloads as values; list elements are plain texts."""
+    return sorted(str((r["submission_id"], r["field"], r["key"], r["pos"], r["payload"]
+                       if r["field"] in LISTS else json.loads(r["payload"]))) for r in rows)
+
+
+def expected(drafts):
+    return sorted(str((n, *row)) for n, d in drafts.items() for row in d.state()
+                  if row[0] != "links" or row[3])
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 10**6])
+def test_state(built, rows_per_task):
+    log, drafts = built
+    assert stated(draft.current_state(log, rows_per_task).collect()) == expected(drafts)
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_states_of_parts_merge_in_any_order(built, parts):
+    log, drafts = built
+    state = None
+    for n in random.Random(parts).sample(range(parts), parts):
+        part = draft.partial_state(log.where(f"(seq * 7 + submission_id) % {parts} = {n}"))
+        state = part if state is None else draft.merged_state(state.unionByName(part)).checkpoint()
+    assert stated(draft.standing(state).collect()) == expected(drafts)
 
 
 @pytest.mark.parametrize("rows_per_task", [1, 10**6])
-def test_documents(log, rows_per_task):
-    state = draft.current_state(log, rows_per_task)
-    whole = draft.documents(state, rows_per_task=rows_per_task)
+def test_documents(built, rows_per_task):
+    log, drafts = built
+    whole = draft.documents(draft.current_state(log, rows_per_task), rows_per_task=rows_per_task)
     text = whole.select("submission_id", submission_json(whole).alias("json")).collect()
     got = {r["submission_id"]: json.loads(r["json"]) for r in text}
-    for n, (name, (_, want)) in enumerate(CALLS.items()):
-        assert got.get(n, EMPTY) == {**EMPTY, **want}, name
+    for n, model in drafts.items():
+        if any(True for _ in model.state()):
+            assert got[n] == model.document(), n
     assert whole.where("part > 0").isEmpty()
 
 

@@ -102,13 +102,14 @@ def test_invalid_edit_leaves_the_earlier_value(spark):
     assert result(got, "key", "payload") == [("p", '{"a": 1}')]
 
 
-def test_second_mapping_replaces_the_first_whole(spark):
-    first = '{"mapping": {"m.c": "h1"}, "delimiter": "#", "na_values": ["zero"]}'
-    second = '{"mapping": {"c.s": "h2"}}'
-    log = spark.createDataFrame([(1, 1, "upsert", "csv", first), (1, 2, "upsert", "json", "{}"),
-                                 (1, 3, "upsert", "csv", second)], SCHEMA)
-    got = dict(result(fold.upserted(log), "key", "payload"))
-    assert got["csv"] == second and set(got) == {"csv", "json"}
+def test_an_upsert_replaces_a_value_whole(spark):
+    """The last of several values of a key stands, with nothing of the earlier ones."""
+    values = [("shelf", {"row": n, **({"lamp": "on"} if n % 2 else {})}) for n in range(4)]
+    values += [("box", {"row": 9}), ("shelf", {"left": []})]
+    log = spark.createDataFrame([(8, n, "upsert", key, json.dumps(value))
+                                 for n, (key, value) in enumerate(values)], SCHEMA)
+    got = {k: json.loads(v) for k, v in result(fold.upserted(log), "key", "payload")}
+    assert got == dict(values)
 
 
 @pytest.mark.parametrize("payload, falsy", [
