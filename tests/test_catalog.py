@@ -1,5 +1,6 @@
 """Versions, inheritance, organizations, access and curation on small tables."""
 
+import random
 from datetime import datetime
 
 import pytest
@@ -78,6 +79,41 @@ def test_cycles_and_long_chains_of_parents(spark):
     assert len([r for r in got if r[0] == "c0"]) == 150
 
 
+def walked(parent):
+    """Every ancestor that a walk upwards meets before one repeats."""
+    for org in parent:
+        seen, at = [], parent[org]
+        while at is not None and at not in seen:
+            seen.append(at)
+            at = parent.get(at)
+        yield from ((org, a, n + 1) for n, a in enumerate(seen))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_ancestors_as_walks_find_them(spark, seed):
+    """Chains, trees, and cycles of one to many with tails that lead into them."""
+    draw = random.Random(seed)
+    n = draw.choice([1, 5, 30, 60])
+    parent = {k: draw.choice([None, *range(n + 2)] if seed % 2 else [k + 1, max(0, k - 3)])
+              for k in range(n)}
+    rows = spark.createDataFrame(list(parent.items()), "org int, parent int")
+    got = catalog.organization_ancestors(rows).collect()
+    assert sorted(map(tuple, got)) == sorted(walked(parent))
+
+
+def test_a_chain_takes_few_rounds(spark, monkeypatch):
+    rounds, kept = [], catalog.checkpointed
+
+    def counting(df):
+        rounds.append(1)
+        return kept(df)
+    monkeypatch.setattr(catalog, "checkpointed", counting)
+    got = catalog.organization_ancestors(spark.range(1200).select(
+        F.col("id").alias("org"), (F.col("id") + 1).alias("parent")))
+    assert got.count() == 1200 * 1201 // 2 and len(rounds) <= 12
+    assert got.agg(F.max("depth")).first()[0] == 1200
+
+
 def test_lookup_numbers_one_name(spark, subs):
     rows = subs.withColumn("test", F.col("source_key") == 2)
     key = lambda sid: [r["source_key"] for r in catalog.by_source_id(rows, sid).collect()]

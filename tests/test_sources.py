@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from shelfmark.operators import extract
 from shelfmark.sources import readers
 
-DOCUMENT = {"run": {"probe": {"name": "H"}, "shots": 1}, "room": 10}
-MAPPING = {"sample.label": "run.probe.name", "session.shots": "run.shots",
-           "session.room": "room", "outcome.passed": "checks.passed"}
-RECORD = {"sample": {"label": "H"}, "session": {"shots": "1", "room": "10"}, "outcome": None}
+VESSEL = {"hull": {"owner's no": "K-17", "decks [m]": {"upper": 2.5, "lower": None}},
+          "flags": ["PA", "LR"], "draught": "-"}
+FIELDS = {"ship.id": "hull.owner's no", "ship.height.upper": "hull.decks [m].upper",
+          "ship.height.lower": "hull.decks [m].lower", "registry": "flags", "depth": "draught"}
+SHIP = {"ship": {"id": "K-17", "height": {"upper": "2.5", "lower": None}},
+        "registry": '["PA","LR"]', "depth": None}
 
 
 def values(df):
@@ -19,61 +21,75 @@ def values(df):
             for r in df.collect()]
 
 
-def test_json_file(spark, tmp_path):
-    (tmp_path / "a.json").write_text(json.dumps(DOCUMENT, indent=2))
-    (tmp_path / "other.json").write_text(json.dumps({"unrelated": 1}))
-    got = readers.read_json(spark, str(tmp_path), MAPPING)
-    assert values(got) == [RECORD]
-    assert got.first()["file"].endswith("a.json")
-
-
 def test_json_text_and_types(spark):
-    df = spark.createDataFrame([(json.dumps(DOCUMENT),), ("{broken",)], "doc string")
-    got = values(extract.json_records(df, F.col("doc"), MAPPING,
-                                      {"session.shots": "int"}))
-    assert got == [{**RECORD, "session": {"shots": 1, "room": "10"}}]
-
-
-def test_csv_file(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("h1#h2\nFe#1\n #2\nzero#3\n#\n")
-    mapping = {"material.composition": "h1", "n": "h2", "gone": "h3"}
-    got = values(readers.read_csv(spark, str(tmp_path), mapping, "#", types={"n": "int"}))
-    assert got == [{"material": {"composition": "Fe"}, "n": 1, "gone": None},
-                   {"material": None, "n": 2, "gone": None},
-                   {"material": {"composition": "zero"}, "n": 3, "gone": None}]
-    got = values(readers.read_csv(spark, str(tmp_path), mapping, "#", na_values="zero"))
-    assert [r["material"] and r["material"]["composition"] for r in got][:3] == ["Fe", " ", None]
+    df = spark.createDataFrame([(json.dumps(VESSEL),), ("{broken",), ('{"other": 1}',)],
+                               "doc string")
+    got = extract.json_records(df, F.col("doc"), FIELDS, {"ship.height.upper": "double"}, "-")
+    assert values(got) == [{**SHIP, "ship": {"id": "K-17", "height": {"upper": 2.5, "lower": None}}}]
+
+
+def test_json_files(spark, tmp_path):
+    (tmp_path / "one.json").write_text(json.dumps({"site": {"code": "x y"}, "n": 1.5}, indent=1))
+    (tmp_path / "two.json").write_text(json.dumps([{"n": 7}, {"site": {"name": "z"}}]))
+    got = readers.read_json(spark, str(tmp_path), {"at": "site.code", "count": "n"})
+    assert sorted((r["file"][-8:], r["at"], r["count"]) for r in got.collect()) == [
+        ("one.json", "x y", "1.5"), ("two.json", None, "7")]
+
+
+def test_delimited_files(spark, tmp_path):
+    table = [["when", "what", "how much"], ["1 May", 'the "big" one', "12"], ["", "a;b", "-"],
+             [" ", "", "x"], ["", "", ""]]
+    (tmp_path / "t.txt").write_text("\n".join(";".join(
+        '"' + c.replace('"', '""') + '"' if set(c) & set(';"') else c for c in row)
+        for row in table) + "\n")
+    mapping = {"day": "when", "goods.label": "what", "goods.count": "how much", "goods.by": "who"}
+    read = lambda **more: sorted(
+        (str(r["day"]), str((r["goods"] or {}).get("label")), str((r["goods"] or {}).get("count")))
+        for r in values(readers.read_csv(spark, str(tmp_path), mapping, ";", **more)))
+    assert read() == [("1 May", 'the "big" one', "12"), ("None", "None", "x"), ("None", "a;b", "-")]
+    assert read(types={"goods.count": "int"}) == [
+        ("1 May", 'the "big" one', "12"), ("None", "a;b", "None")]
+    assert ("None", "a;b", "None") in read(na_values=["-", ""])
+    # Text lines are read by the same rules as files.
+    lines = spark.createDataFrame([('5;"a ""quoted"" cell"',), ('"x;y";z',)], "line string")
+    got = extract.csv_records(lines, F.col("line"), ["a", "b"], {"one": "a", "two": "b"}, ";")
+    assert values(got) == [{"one": "5", "two": 'a "quoted" cell'}, {"one": "x;y", "two": "z"}]
 
 
 def test_xml_file(spark, tmp_path):
     (tmp_path / "a.xml").write_text(
-        "<all><entry><mat><comp>Fe</comp></mat><n>1</n></entry><entry><n>2</n></entry></all>")
+        "<log><day no='3'><sky><cover>8/8</cover></sky></day><day no='4'><rain>02</rain></day></log>")
     got = values(readers.read_xml(spark, str(tmp_path), {
-        "material.composition": "mat.comp", "n": "n"}, row_tag="entry", types={"n": "int"}))
-    assert got == [{"material": {"composition": "Fe"}, "n": 1}, {"material": None, "n": 2}]
+        "cloud": "sky.cover", "water.mm": "rain", "day": "_no"}, row_tag="day",
+        types={"water.mm": "int"}))
+    assert got == [{"cloud": "8/8", "water": None, "day": "3"},
+                   {"cloud": None, "water": {"mm": 2}, "day": "4"}]
 
 
 def test_yaml_file(spark, tmp_path):
-    (tmp_path / "a.yaml").write_text("mat: {comp: Fe}\nn: 1\n---\nn: 2\n---\nother: x\n")
+    (tmp_path / "a.yaml").write_text("tide: {high: '06:12'}\nport: 5\n---\nport: 9\n---\nx: y\n")
     got = values(readers.read_yaml(spark, str(tmp_path), {
-        "material.composition": "mat.comp", "n": "n"}, types={"n": "int"}))
-    assert got == [{"material": {"composition": "Fe"}, "n": 1}, {"material": None, "n": 2}]
+        "water.high": "tide.high", "at": "port"}, types={"at": "int"}))
+    assert got == [{"water": {"high": "06:12"}, "at": 5}, {"water": None, "at": 9}]
 
 
 def test_file_names(spark, tmp_path):
-    for name in ("Fe_300K.dat", "Cu_20K.dat", "readme.txt"):
+    for name in ("buoy7-2021.log", "buoy12-1999.log", "notes"):
         (tmp_path / name).write_text("x")
     got = values(readers.read_file_names(spark, str(tmp_path), {
-        "material.composition": r"^([A-Z][a-z]?)_", "run.temperature": r"\d+K"}))
-    assert sorted(got, key=str) == [
-        {"material": {"composition": "Cu"}, "run": {"temperature": "20K"}},
-        {"material": {"composition": "Fe"}, "run": {"temperature": "300K"}}]
+        "buoy.number": r"^buoy(\d+)", "year": r"\d{4}"}))
+    assert sorted(got, key=str) == [{"buoy": {"number": "12"}, "year": "1999"},
+                                    {"buoy": {"number": "7"}, "year": "2021"}]
+
+
+NAMES = ["a b", "it's", 'q"u', "b\"o'th", "[x", "x]", "?", "*", "$", "", "[it's", '[q"', "\\", "é"]
 
 
-def test_names_with_odd_characters(spark):
-    df = spark.createDataFrame([('{"a b": {"c\'d": 1}}',)], "doc string")
-    got = extract.json_records(df, F.col("doc"), {"x": "a b"})
-    assert values(got) == [{"x": '{"c\'d":1}'}]
+@pytest.mark.parametrize("name", NAMES)
+def test_names_with_odd_characters(spark, name):
+    df = spark.createDataFrame([(json.dumps({name: {name: 1}}),)], "doc string")
+    got = extract.json_records(df, F.col("doc"), {"x": f"{name}.{name}"})
+    assert values(got) == [{"x": "1"}]
 
 
 @pytest.mark.parametrize("na, want", [(None, "v"), ("v", None), (["a", "v"], None), ([], "v")])
@@ -99,19 +115,19 @@ def test_union_and_passthrough(spark):
 
 
 def test_index_configuration(spark, tmp_path):
-    (tmp_path / "j").mkdir()
-    (tmp_path / "c").mkdir()
-    (tmp_path / "j" / "a.json").write_text(json.dumps(DOCUMENT))
-    (tmp_path / "c" / "b.csv").write_text("h1;h2\nFe;1\n")
-    index = {"json": {"mapping": MAPPING},
-             "csv": {"mapping": {"sample.label": "h1"}, "delimiter": ";"},
-             "filename": {"mapping": {"run.name": r"^(\w)\."}}}
+    for kind, name, text in (("j", "a.json", json.dumps(VESSEL)),
+                             ("c", "b-77.csv", "vessel|flag\nK-3|MT\n")):
+        (tmp_path / kind).mkdir()
+        (tmp_path / kind / name).write_text(text)
+    index = {"json": {"mapping": FIELDS, "na_values": ["-"]},
+             "csv": {"mapping": {"ship.id": "vessel"}, "delimiter": "|"},
+             "filename": {"mapping": {"sheet": r"-(\d+)\."}}}
     paths = {"json": str(tmp_path / "j"), "csv": str(tmp_path / "c"),
              "filename": str(tmp_path / "c")}
     got = {r["data_type"]: r for r in readers.read_indexed(spark, paths, index).collect()}
-    assert got["json"]["sample"]["label"] == "H"
-    assert got["csv"]["sample"]["label"] == "Fe" and got["csv"]["run"] is None
-    assert got["filename"]["run"]["name"] == "b"
+    assert got["json"]["ship"]["id"] == "K-17" and got["json"]["depth"] is None
+    assert got["csv"]["ship"]["id"] == "K-3" and got["csv"]["sheet"] is None
+    assert got["filename"]["sheet"] == "77"
     with pytest.raises(ValueError):
         readers.read_indexed(spark, {}, {"excel": {"mapping": {}}})
 
