@@ -73,13 +73,13 @@ class WordBpe:
 
     def split(self, text: str) -> list[str]:
         """The chunks of a text between white space, lower case; special tokens stand among them
-        as they are. No word of the file's pattern holds white space."""
+        behind a blank, which no other chunk holds. No word of the file's pattern holds one."""
         if "<|" not in text:
             return self._plain(text)
         out = []
         for part in self.marks.split(text):
             if part in self.special:
-                out.append(part)
+                out.append(f" {part}")
             elif part:
                 out.extend(self._plain(part))
         return out
@@ -104,7 +104,7 @@ class WordBpe:
         cache, split = self.cache, [self.split(t) for t in texts]
         new = [c for c in set().union(*split) if c not in cache]
         if new:
-            words = {c: [c] if c in self.special else self.words.findall(c) for c in new}
+            words = {c: [c] if c[0] == " " else self.words.findall(c) for c in new}
             self._learn({w for parts in words.values() for w in parts if w not in cache})
             cache.update({c: b"".join(map(cache.__getitem__, parts))
                           for c, parts in words.items() if len(parts) != 1})
@@ -117,9 +117,8 @@ class WordBpe:
     def _learn(self, words: set[str]) -> None:
         by_width: dict[int, list[tuple[str, bytes]]] = {}
         for word in words:
-            # No word of a text has the form of a special token: these are cut out before.
-            if word in self.special:
-                self.cache[word] = np.array([self.special[word]], "<u4").tobytes()
+            if word[0] == " ":
+                self.cache[word] = np.array([self.special[word[1:]]], "<u4").tobytes()
                 continue
             data = word.encode()
             if len(data) > WORD_LIMIT:

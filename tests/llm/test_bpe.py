@@ -21,7 +21,8 @@ def texts():
     draw = random.Random(5)
     odd = ["", "  ", "I'm <|endoftext|>x <|startoftext|>", "ΑΣ ΣΑΣ ÀÉ é \x1c a\x1db 　２３ ½",
            "a" * 1000, "x" * 63 + " " + "y" * 64 + " " + "é" * 40, "İstanbul ﬁ 漢字かな we'LL",
-           "<|endoftext|><|", "'S'T 12345 ...!!! a_b"]
+           "<|endoftext|><|", "<|STARTOFTEXT|> <|ENDOFTEXT|>", "a<|EndOfText|>b <|endoftext|>",
+           "<|endoftext|><|ENDOFTEXT|> <|endoftext|", "x<|startoftext|>y", "'S'T 12345 ...!!! a_b"]
     letters = "abctheinö'é .,1\n漢\U0001d518"
     return odd + ["".join(draw.choice(letters) for _ in range(draw.randint(1, 200)))
                   for _ in range(500)]
