@@ -12,8 +12,9 @@ that the work stays in proportion to the text. Repeated rows give repeated resul
 an empty one. Only the named columns are read for the result of pairs; ``without_leaks`` keeps all
 columns as they are.
 
-Items are read in blocks of bounded size, and each block is searched in all documents, so that a
-large benchmark is never held at once.
+Items may have ids of any type. They are searched for in blocks of bounded size, each in all
+documents. The driver reads the items and sends every block to the tasks, so that a benchmark has
+to fit its memory.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfmark.llm.common import map_batches, texts_of
 
@@ -170,6 +172,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col: str
     """One row per document and item found in it, with the ``distance`` in edits."""
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
     doc_kind = docs.schema[id_col].dataType.simpleString()
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = f"`{id_col}` {doc_kind}, item_id {item_kind}, distance bigint"
     found = None
     for block in [*blocks(benchmark)] or [[]]:
@@ -183,7 +186,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col: str
                     distances.append(hit.distance)
             return pa.RecordBatch.from_arrays(
                 [batch.column(id_col).take(pa.array(at, pa.int64())),
-                 pa.array(items, pa.int64()), pa.array(distances, pa.int64())],
+                 pa.array(items, item_type), pa.array(distances, pa.int64())],
                 [id_col, "item_id", "distance"])
         part = map_batches(docs, [id_col, text_col], schema, work)
         found = part if found is None else found.unionAll(part)

@@ -53,3 +53,14 @@ def test_blocks_of_items(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (3, 3), (5, 5)]
     left = decontam.without_leaks(docs, benchmark, rate=0.02).collect()
     assert sorted(r.doc_id for r in left) == [0, 2, 4, 6]
+
+
+def test_item_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("d1", "so they found the old mill by the river again")],
+                                 "doc_id string, text string")
+    items = [("q-1", "the old mill by the river"), (None, "found the old mill by the river")]
+    for kind, ids in (("string", [i for i, _ in items]), ("date", [None, None])):
+        rows = [(i, t) for i, (_, t) in zip(ids, items, strict=True)]
+        got = decontam.leaks(docs, spark.createDataFrame(rows, f"item_id {kind}, text string"))
+        assert sorted(str((r.doc_id, r.item_id, r.distance)) for r in got.collect()) == sorted(
+            str(("d1", i, 0)) for i in ids)
