@@ -146,12 +146,20 @@ def leaves(sets: DataFrame, trees: range, similarity: float, node_rows: int = NO
             F.array(F.pmod(F.xxhash64("key", "path"), parts)))
         done = done.unionAll(rows.withColumn("_run", F.explode(places)).select(
             F.xxhash64("path", "_run").alias("leaf"), "key"))
-    near = done.join(sets, "key").select("leaf", "key", "comp", "n_shingles", "doc_id", "sig")
+    own = F.lit(None).cast("array<bigint>").alias("leaves")
+    if len(trees) > 1:
+        # A few leaves per tree, by which two documents that meet in several know the one.
+        sets = sets.join(done.groupBy("key").agg(F.collect_set("leaf").alias("leaves")), "key")
+        own = F.col("leaves")
+    near = done.join(sets, "key").select("leaf", "key", "comp", "n_shingles", "doc_id", "sig", own)
     return near, large
 
 
 def _likely(similarity: float):
-    """Per leaf the documents that may have a partner, with the keys of those after them."""
+    """Per leaf the documents that may have a partner, with the keys of those after them.
+
+    A pair that meets in several leaves belongs to the lowest of them, which each leaf can tell by
+    itself from the lists of leaves of both."""
     expected = similarity * POSITIONS
     least = expected - _LEAST_AGREEMENT * np.sqrt(expected * (1 - similarity))
 
@@ -171,6 +179,13 @@ def _likely(similarity: float):
                 a, b = first[start:start + 65_536], second[start:start + 65_536]
                 far = (sig[a] == sig[b]).sum(axis=1) < least
                 good[a[far], b[far]] = False
+            if group.column("leaves").null_count == 0:
+                leaf = group.column("leaf")[0].as_py()
+                own = [frozenset(x) for x in group.column("leaves").to_pylist()]
+                a, b = np.nonzero(good)
+                other = [min(own[x] & own[y]) != leaf
+                         for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+                good[a[other], b[other]] = False
             involved = np.flatnonzero(good.any(axis=0) | good.any(axis=1))
             if len(involved):
                 yield pa.RecordBatch.from_arrays(
@@ -330,8 +345,6 @@ def links(docs: DataFrame, sets: DataFrame, trees: range, similarity: float, len
     likely = (near.repartition("leaf").sortWithinPartitions("leaf")
               .mapInArrow(_likely(similarity), f"leaf bigint, key bigint, comp bigint, "
                                                f"rep {kind}, partners array<bigint>"))
-    if len(trees) > 1:
-        likely = _once(likely, sets)
     likely = stored(likely, "likely")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     # Shuffled at every size: the documents involved grow with the input.
@@ -341,18 +354,6 @@ def links(docs: DataFrame, sets: DataFrame, trees: range, similarity: float, len
             .mapInArrow(_linked(similarity, length), "a bigint, b bigint")), large
 
 
-def _once(likely: DataFrame, sets: DataFrame) -> DataFrame:
-    """``likely`` with every pair in one leaf only, whichever trees it met in."""
-    pairs = (likely.select("leaf", "key", F.explode("partners").alias("_other"))
-             .groupBy("key", "_other").agg(F.min("leaf").alias("leaf")))
-    members = pairs.select("leaf", "key", "_other").unionAll(
-        pairs.select("leaf", F.col("_other").alias("key"), F.lit(None).cast("bigint")))
-    # A leaf has few members, so lists stay short; a list leaves nulls out.
-    members = members.groupBy("leaf", "key").agg(F.collect_list("_other").alias("partners"))
-    return members.join(sets.select("key", "comp", F.col("doc_id").alias("rep")), "key").select(
-        "leaf", "key", "comp", "rep", "partners")
-
-
 def groups(docs: DataFrame, similarity: float = 0.8, length: int = 5, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """Per document ``doc_id``, ``n_shingles`` and ``component_id``, the least id of the documents
@@ -413,26 +414,29 @@ def one_of_each(docs: DataFrame, similarity: float = 0.8, length: int = 5,
     """
     found = stored(_grouped(docs, similarity, length, id_col, text_col).select(
         "doc_id", "key", "one"), "grouped")
-    rows = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_kept"))
-            .agg(F.count("*").alias("_rows"), F.max("one").alias("_one")).where("_one"))
-    met = docs.join(rows.hint("merge"), docs[id_col] == F.col("_kept"))
-    once = met.where(F.col("_rows") == 1).select(*docs.columns)
-    again = met.where(F.col("_rows") > 1).select(*docs.columns).unionAll(
-        docs.where(docs[id_col].isNull()))
+    # In one struct the columns of a row cannot clash with those of the joins.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("kept"))
+            .agg(F.count("*").alias("n"), F.max("one").alias("one")).where("one"))
+    met = whole.join(rows.hint("merge"), F.col("id") == F.col("kept"))
+    once = met.where("n = 1").select("row")
+    again = met.where("n > 1").select("row", "id", "text").unionAll(whole.where("id is null"))
 
     def keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingles(lower_words(t), length) for t in bytes_of(batch, text_col)]
+        sets = [shingles(lower_words(t), length) for t in bytes_of(batch, "text")]
         keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
-        return pa.RecordBatch.from_arrays([*batch.columns, keys],
-                                          [*batch.schema.names, "_set_key"])
-    again = map_batches(again, docs.columns, StructType(
-        [*docs.schema.fields, StructField("_set_key", LongType())]), keyed)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("row"), batch.column("id"), keys], ["row", "id", "set_key"])
+    again = map_batches(again, again.columns, StructType(
+        [whole.schema["row"], whole.schema["id"], StructField("set_key", LongType())]), keyed)
     chosen = found.where("one and key is not null").select(
-        F.col("key").alias("_chosen"), F.col("doc_id").alias("_kept")).distinct()
-    told = again.join(chosen.hint("merge"), (F.col("_set_key") == F.col("_chosen"))
-                      & F.col(id_col).eqNullSafe(F.col("_kept"))).select(
-        *docs.columns, "_set_key").dropDuplicates(["_set_key"]).select(*docs.columns)
-    return once.unionAll(told).unionAll(again.where("_set_key is null").select(*docs.columns))
+        F.col("key").alias("chosen"), F.col("doc_id").alias("kept")).distinct()
+    told = again.join(chosen.hint("merge"), (F.col("set_key") == F.col("chosen"))
+                      & F.col("id").eqNullSafe(F.col("kept"))).select(
+        "row", "set_key").dropDuplicates(["set_key"]).select("row")
+    rest = again.where("set_key is null").select("row")
+    return once.unionAll(told).unionAll(rest).select("row.*")
 
 
 ORACLE = r"""

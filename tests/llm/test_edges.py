@@ -13,7 +13,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 CLASHING = ("ids", "key", "sig", "leaf", "path", "comp", "score", "_text", "_words", "_key", "h",
             "c", "kind", "host", "_host", "tail", "shard", "slot", "size", "base", "masked",
-            "item_id", "text_crc32", "_label", "f0", "node", "root")
+            "item_id", "text_crc32", "_label", "f0", "node", "root", "_kept", "_rows", "_one",
+            "_set_key", "_chosen", "row", "id", "kept", "n", "one", "chosen", "set_key", "leaves")
 ROWS = [(1, None), (2, ""), (3, "   \n\t "), (4, "a"), (5, "a"), (5, "a"), (None, "b c d"),
         (None, None), (6, "word " * 60_000), (7, "x" * 200_000), (8, "éß漢字 \U0001d518 <|"),
         (9, "mail me at jo.1@host.example.com please")]

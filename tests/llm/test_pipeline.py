@@ -56,6 +56,36 @@ def test_run(spark, folder):
     assert again == bytes(rows[5].ids)
 
 
+def written(spark, folder, rows, schema):
+    """Tables of a folder with other documents."""
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None)], "doc_id bigint, quality int"
+                          ).write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "never in any of the documents here"), (2, None), (3, "")],
+                          "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_odd_rows_and_clashing_names(spark, tmp_path):
+    names = ["_kept", "_rows", "_one", "_set_key", "_chosen", "row", "id", "key", "ids", "score",
+             "leaf", "comp", "masked", "_text", "_id", "n_tokens", "decoded", "item_id", "path"]
+    texts = [None, "", " \n", "word", "word", "two words", "x" * 50_000, "a b c d e f g " * 5_000]
+    rows = [(n if n != 5 else None, t, *[n] * len(names)) for n, t in enumerate(texts)]
+    rows += [rows[6], rows[0]]
+    folder = written(spark, tmp_path, rows, "doc_id bigint, text string, " + ", ".join(
+        f"`{n}` int" for n in names))
+    got = corpus_pipeline.run(spark, folder).collect()
+    # What stays once each: all but copies with words, and what the classifier takes away.
+    assert {r.doc_id for r in got} <= {n for n in range(len(texts))} | {None}
+    assert sum(r.doc_id in (3, 4) for r in got) <= 1 and sum(r.doc_id == 6 for r in got) <= 1
+
+
+def test_empty_tables(spark, tmp_path):
+    folder = written(spark, tmp_path, [], "doc_id bigint, text string, lang string")
+    out = corpus_pipeline.run(spark, folder)
+    assert out.columns == ["doc_id", "ids", "n_tokens", "decoded"] and out.count() == 0
+
+
 def bpe_path():
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
