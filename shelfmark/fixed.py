@@ -37,6 +37,8 @@ NOT_IN_METADATA_UPDATE = [
 ]
 
 # --- personal names -------------------------------------------------------
+# Words that names are split by. The particles agree with the prefixes that the public nameparser
+# library (LGPL) has by default, as family names have to begin where it lets them begin.
 NAME_TITLES = [
     "dr", "mr", "mrs", "ms", "miss", "mx", "prof", "professor", "sir", "dame", "lord", "lady",
     "rev", "reverend", "fr", "father", "sister", "capt", "captain", "col", "colonel",

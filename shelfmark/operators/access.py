@@ -1,7 +1,7 @@
 """Who may see and curate submissions.
 
 ``acl`` is the base list (missing: public) and ``dataset_acl`` the list for the dataset entry
-alone. Lists are matched against a table of principals entry by entry, as an equi-join.
+alone. Distinct lists are matched against a table of principals entry by entry, as an equi-join.
 """
 
 from __future__ import annotations
@@ -59,9 +59,13 @@ def _is_public(acl: Column) -> Column:
 
 
 def _matching(df: DataFrame, acl: Column, principals: DataFrame, key: str) -> DataFrame:
-    """Public rows by a test of the row; only the others are matched entry by entry."""
+    """Public rows by a test of the row. Of the others every distinct list is matched once, entry
+    by entry, and rows follow the verdict on their list, known by its digest."""
     rows = df.select(key, acl.alias("_acl"))
-    listed = (rows.where(~_is_public(F.col("_acl")))
-              .select(key, F.explode("_acl").alias("principal"))
-              .join(principals.select("principal"), "principal", "left_semi").select(key))
+    private = rows.where(~_is_public(F.col("_acl"))).withColumn(
+        "_list", F.sha2(F.to_json("_acl"), 256))
+    lists = private.groupBy("_list").agg(F.first("_acl").alias("_acl"))
+    allowed = (lists.select("_list", F.explode("_acl").alias("principal"))
+               .join(principals.select("principal"), "principal", "left_semi"))
+    listed = private.select(key, "_list").join(allowed, "_list", "left_semi").select(key)
     return rows.where(_is_public(F.col("_acl"))).select(key).unionAll(listed).distinct()

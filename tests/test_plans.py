@@ -7,7 +7,7 @@ import pytest
 from shelfmark.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-STREAMS = {"stream_current_status", "stream_fold"}
+STREAMS = {"stream_current_status", "stream_fold", "stream_draft"}
 
 
 def plan_of(df):
@@ -20,7 +20,7 @@ def test_no_slow_nodes(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "SinglePartition" not in plan
     python = re.findall(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups\w+", plan)
-    assert python == (["MapInPandas"] if name == "index_yaml" else [])
+    assert python == (["MapInPandas"] if name in ("index_yaml", "index_by_submission") else [])
 
 
 def test_only_needed_columns_are_read(spark):
