@@ -581,6 +581,10 @@ ORACLE: dict[str, str] = {
     "index_csv": _with("lines", """
       select l_orderkey, l_linenumber, number, flag, status, cast(null as varchar) as comment
       from lines"""),
+    "index_csv_headers": """
+      select l_orderkey as "order", cast(l_linenumber as bigint) as line,
+        case when l_linenumber % 3 < 2 and l_linestatus <> 'F' then l_linestatus end as status,
+        case when l_linenumber % 3 < 2 then l_partkey end as part from lineitem""",
     "index_na_values": """
       select l_orderkey, l_linenumber,
         case when l_returnflag not in ('A', 'N') then l_returnflag end as flag,
@@ -610,3 +614,5 @@ ORACLE: dict[str, str] = {
       select page_id, url from locations where page_id % 3 = 0 or page_id % 2 <> 0"""),
 }
 ORACLE["stream_draft"] = ORACLE["draft_state"]
+ORACLE["version_batches"] = ORACLE["version_number"]
+ORACLE["overlay_buckets"] = ORACLE["metadata_overlay"]

@@ -15,8 +15,9 @@ from shelfmark.operators import (
 from shelfmark.plans import views
 from shelfmark.schema import EVENTS
 from shelfmark.session import configure, work_folder
-from shelfmark.sources.readers import yaml_records
-from shelfmark.streaming import runs
+from shelfmark.sources import buckets
+from shelfmark.sources.readers import read_csv, yaml_records
+from shelfmark.streaming import runs, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,6 +175,16 @@ def version_number(spark, folder):
     return views.catalog(spark, folder).select("source_key", "source_name", "version")
 
 
+@query
+def version_batches(spark, folder):
+    """Versions of submissions taken in as four batches, of which the last three come late."""
+    out = work_folder(spark, "versions")
+    arrived = views.submissions(spark, folder)
+    for n in range(4):
+        versions.add(arrived.where(F.pmod(F.xxhash64("source_key"), F.lit(4)) == n), out, n)
+    return versions.numbered(arrived, out).select("source_key", "source_name", "version")
+
+
 @query
 def latest_version(spark, folder):
     return catalog.latest_versions(views.submissions(spark, folder),
@@ -218,6 +229,17 @@ def metadata_overlay(spark, folder):
     return catalog.overlay_metadata(old, views.metadata_updates(spark, folder), ["title"])
 
 
+@query
+def overlay_buckets(spark, folder):
+    """The same overlay on a stored catalog of which only the touched buckets are rewritten."""
+    path = work_folder(spark, "catalog")
+    buckets.create(views.catalog(spark, folder).select(
+        "source_id", F.concat(F.lit("title of "), "source_name").alias("title")), path, 32)
+    buckets.overlay(views.metadata_updates(spark, folder).select("source_id", "title"), path,
+                    ["title"])
+    return buckets.read(spark, path)
+
+
 @query
 def update_eligible(spark, folder):
     return catalog.eligible_updates(
@@ -806,6 +828,23 @@ def index_csv(spark, folder):
     return _line_records(spark, folder).select("l_orderkey", "l_linenumber", "line.*")
 
 
+@query
+def index_csv_headers(spark, folder):
+    """Files of one folder under three headers: other orders, other names, quotes."""
+    path = work_folder(spark, "csv")
+    cells = views.delimited(spark, folder).select(
+        F.col("l_orderkey").alias("order"), "l_linenumber",
+        F.split("line", "#")[2].alias('the "status"'), F.col("l_partkey").alias("part, own"))
+    place = F.col("l_linenumber") % 3
+    for n, names in enumerate([cells.columns, cells.columns[::-1], cells.columns[:2]]):
+        cells.where(place == n).select(*[F.col(f"`{c}`") for c in names]).write.csv(
+            f"{path}/form={n}", sep=";", header=True, quote='"', escape='"')
+    got = read_csv(spark, f"{path}/*", {
+        "key.order": "order", "key.line": "l_linenumber", "status": 'the "status"',
+        "part": "part, own"}, ";", {"key.order": "bigint", "key.line": "bigint", "part": "bigint"})
+    return got.select("key.order", "key.line", "status", "part")
+
+
 @query
 def index_na_values(spark, folder):
     return _line_records(spark, folder, na_values=["A", "N"]).select(

@@ -29,12 +29,39 @@ def read_json(spark: SparkSession, path: str, mapping: Mapped, types: Mapped | N
 
 
 def read_csv(spark: SparkSession, path: str, mapping: Mapped, delimiter: str = ",",
-             types: Mapped | None = None, na_values: NaValues = None) -> DataFrame:
-    """Delimited files with a header line. Files of one read share their header: one with other
-    names, or the same in another order, fails the query."""
-    df = spark.read.csv(path, sep=delimiter, header=True, quote='"', escape='"', emptyValue="",
-                        enforceSchema=False)
-    return _records(df, mapping, types, tabular_na(na_values))
+             types: Mapped | None = None, na_values: NaValues = None,
+             one_header: bool = False) -> DataFrame:
+    """Delimited files with a header line each, which may differ from file to file.
+
+    A first pass finds the header of every file; files of one header are then one scan that reads
+    only the mapped columns, and the scans are united by name. A mapped column that a file lacks
+    is missing in its records. With ``one_header`` the pass is left out: a file whose header has
+    other names, or the same in another order, then fails the query.
+    """
+    def scan(paths: str | list[str]) -> DataFrame:
+        df = spark.read.csv(paths, sep=delimiter, header=True, quote='"', escape='"',
+                            emptyValue="", enforceSchema=False)
+        return _records(df, mapping, types, tabular_na(na_values))
+    groups = [] if one_header else _files_by_header(spark, path)
+    return union_records(*map(scan, groups)) if len(groups) > 1 else scan(path)
+
+
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files under a path, those with the same first line together.
+
+    Of the lines, only one per file leaves a task. The driver learns the files' names, as it does
+    for any read, and the distinct headers.
+    """
+    line = F.col("value")
+    lines = spark.read.text(path).where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
+        line).where(F.trim(line) != "")
+    headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    # Paths come escaped as in a URL, and are read as patterns.
+    plain = F.regexp_replace(F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))),
+                             r"([\\\[\]{}*?])", r"\\$1")
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list(plain)).alias("files"))
+    return [row["files"] for row in groups.orderBy("header").collect()]
 
 
 def read_xml(spark: SparkSession, path: str, mapping: Mapped, row_tag: str,

@@ -11,10 +11,12 @@ merged are not read any more and can be removed (``superseded``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 FAN = 8
 _RECORD = "upto bigint, parts array<string>"
@@ -29,25 +31,31 @@ def due(parts: list[Part], fan: int = FAN) -> list[Part]:
 
 
 def add(rows: DataFrame, folder: str, batch_id: int, merge: Callable[[DataFrame], DataFrame],
-        fan: int = FAN) -> None:
-    """Adds the rows of a batch; ``merge`` turns the rows of several parts into those of one."""
+        fan: int = FAN, by: Sequence[str] = ()) -> None:
+    """Adds the rows of a batch; ``merge`` turns the rows of several parts into those of one.
+
+    Within a part there is one folder for each value of the columns ``by``.
+    """
     spark = rows.sparkSession
     parts = _recorded(spark, folder).get(batch_id - 1, [])
     if batch_id and not parts:
         raise ValueError(f"{folder} has no record of batch {batch_id - 1}")
-    rows.write.mode("overwrite").parquet(_path(folder, (batch_id, batch_id)))
+    rows.write.mode("overwrite").partitionBy(*by).parquet(_path(folder, (batch_id, batch_id)))
     parts = [*parts, (batch_id, batch_id)]
     while some := due(parts, fan):
         whole = (some[0][0], some[-1][1])
-        merge(_read(spark, folder, some)).write.mode("overwrite").parquet(_path(folder, whole))
+        rows_of_parts = _read(spark, folder, some, rows.schema if by else None)
+        (merge(rows_of_parts).write.mode("overwrite").partitionBy(*by)
+         .parquet(_path(folder, whole)))
         parts = [*parts[:-fan], whole]
     record = spark.createDataFrame([(batch_id, [f"{a}-{b}" for a, b in parts])], _RECORD)
     record.coalesce(1).write.mode("overwrite").parquet(f"{folder}/current/slot={batch_id % 2}")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """The rows of all parts that stand, still to be merged."""
-    return _read(spark, folder, standing(spark, folder))
+def read(spark: SparkSession, folder: str, schema: StructType | None = None) -> DataFrame:
+    """The rows of all parts that stand, still to be merged; ``schema`` is needed if they were
+    added with ``by``."""
+    return _read(spark, folder, standing(spark, folder), schema)
 
 
 def standing(spark: SparkSession, folder: str) -> list[Part]:
@@ -75,8 +83,13 @@ def _path(folder: str, part: Part) -> str:
     return f"{folder}/parts/{part[0]}-{part[1]}"
 
 
-def _read(spark: SparkSession, folder: str, parts: list[Part]) -> DataFrame:
-    return spark.read.parquet(*[_path(folder, p) for p in parts])
+def _read(spark: SparkSession, folder: str, parts: list[Part],
+          schema: StructType | None = None) -> DataFrame:
+    paths = [_path(folder, p) for p in parts]
+    if schema is None:
+        return spark.read.parquet(*paths)
+    # Parts with folders of their own inside cannot be one scan, and one may hold no rows at all.
+    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(p) for p in paths])
 
 
 def _recorded(spark: SparkSession, folder: str) -> dict[int, list[Part]]:

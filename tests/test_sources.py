@@ -140,11 +140,24 @@ def test_a_block_as_value_and_clashing_targets(spark, tmp_path):
         extract.nested({"x": F.lit(1), "x.y": F.lit(2)})
 
 
-def test_csv_files_of_another_header_fail(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
-    (tmp_path / "b.csv").write_text("y,x\n3,4\n")
+def test_csv_files_of_differing_headers(spark, tmp_path):
+    """Two orders of the same names, other names, a lone header, an empty file, a blank start."""
+    files = {"a.csv": "x,y\n1,2\n", "b.csv": "y,x\n4,3\n", "c c+[1].csv": 'x,"z ""q"""\n5,6\n7,\n',
+             "d.csv": "y\n8\n", "e.csv": "x,y\n", "f.csv": "", "g.csv": " \ny,x\n10,9\n",
+             "h.csv": "x,y\n" + "".join(f"{n},{n + 1}\n" for n in range(100, 400))}
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    mapping = {"at.x": "x", "at.y": "y", "z": 'z "q"'}
+
+    def read(**more):
+        return sorted(((r["at"] or {}).get("x") or "", (r["at"] or {}).get("y") or "",
+                       r.get("z") or "")
+                      for r in values(readers.read_csv(spark, str(tmp_path), mapping, **more)))
+    want = [("1", "2", ""), ("3", "4", ""), ("5", "", "6"), ("7", "", ""), ("", "8", ""),
+            ("9", "10", ""), *((str(n), str(n + 1), "") for n in range(100, 400))]
+    assert read() == sorted(want)
     with pytest.raises(Exception, match="(?i)header"):
-        readers.read_csv(spark, str(tmp_path), {"x": "x", "y": "y"}).collect()
+        read(one_header=True)
 
 
 def test_yaml_faults_are_kept_apart(spark):
