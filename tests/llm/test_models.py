@@ -89,14 +89,6 @@ def test_base_score_and_gain(spark, prose, head):
         assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_scores_do_not_depend_on_partitions(spark, prose):
-    docs = spark.createDataFrame(prose, "doc_id bigint, text string")
-    got = [{r.doc_id: r.score for r in lm.fit_and_score(part, copy_tokens=2000).collect()}
-           for part in (docs.coalesce(1), docs.orderBy(docs.doc_id.desc()).repartition(6))]
-    a, b = (np.array([scores[k] for k in sorted(scores)]) for scores in got)
-    assert len(a) == len(prose) and np.allclose(a, b, rtol=1e-4)
-
-
 def test_probabilities_sum_to_one(prose):
     """Over all known words, and one unknown word of every rare class."""
     lexicon = lm.Lexicon()
