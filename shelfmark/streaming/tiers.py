@@ -31,7 +31,7 @@ def due(parts: list[Part], fan: int = FAN) -> list[Part]:
 
 
 def add(rows: DataFrame, folder: str, batch_id: int, merge: Callable[[DataFrame], DataFrame],
-        fan: int = FAN, by: Sequence[str] = ()) -> None:
+        fan: int = FAN, *, by: Sequence[str] = ()) -> None:
     """Adds the rows of a batch; ``merge`` turns the rows of several parts into those of one.
 
     Within a part there is one folder for each value of the columns ``by``.
