@@ -2,9 +2,12 @@
 
 Every page scores its containers by the text they hold outside of links and boilerplate, and votes
 for the generalised path (tags and classes, numbers blotted out) of the innermost one that holds
-most of it. Votes are summed
-per host in Spark; each page is then extracted from the container at its host's winning path, or
-from its own best container where the page has none there.
+most of it. Votes are summed per host in Spark, as are the pages that have text at a path; each page
+is then extracted from the container at its host's winning path if that holds most of its text.
+Where it does not, the page's own best container is taken if its path is a layout of the host, that
+is, wins on more than half of the pages that have it: so a second layout is read at its own path,
+while a list of readers' comments, which many pages have and few are won by, leaves the article at
+the host's path. A page without text at the host's path is read at its own best container.
 
 The text is the blocks of that container in page order, joined by line feeds: references decoded,
 white space run together, without menus, headers, footers, sidebars, notices, adverts, forms,
@@ -12,7 +15,7 @@ comments of readers, scripts, styles and markup. Nothing else is dropped.
 
 Null and empty pages have an empty text. A null or odd address counts as the host ``''``. Broken
 markup is read leniently and in linear time; pages of any length are read whole. Ties go to the
-path that sorts first. Repeated rows give repeated results, an empty table an empty one. Only the
+path that sorts first. Paths are counted by 64-bit hashes within their host. Repeated rows give repeated results, an empty table an empty one. Only the
 named columns are read, so further ones do no harm.
 """
 
@@ -23,6 +26,7 @@ from collections import Counter
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,8 +163,12 @@ class Page:
         at = len(self.nodes)
         label, words, hidden = _attributes(attributes)
         side = parent.side if parent else -1
+        marks = SIDE_WORDS.intersection(_NAMES.split(words))
+        if self._count["article"] or self._count["main"]:
+            # Search boxes are forms; in an article the word names a part of the text.
+            marks -= {"search"}
         if hidden or (tag not in ("html", "body", "article", "main") and (
-                tag in SIDE_TAGS or not SIDE_WORDS.isdisjoint(_NAMES.split(words)))):
+                tag in SIDE_TAGS or marks)):
             side = at
         elif tag == "article" and not {"comment", "comments"}.isdisjoint(_NAMES.split(words)):
             side = at
@@ -228,6 +236,37 @@ class Page:
             node = node.parent
         return ">".join(reversed(labels))
 
+    def keys(self) -> list[int]:
+        """Per element a hash of its path, 0 to 2^63 - 1; equal for elements of equal paths."""
+        out: list[int] = []
+        for node in self.nodes:
+            key = out[node.parent.at] if node.parent else 0
+            if node.tag in CONTAINERS:
+                key = xxhash.xxh64_intdigest(node.label.encode("utf-8", "replace"), key) >> 1
+            out.append(key)
+        return out
+
+    def _points(self, link_weight: int = 2, anywhere: bool = False) -> list[float]:
+        """Per element the characters inside it, less those in links by a weight."""
+        points = [0.0] * len(self.nodes)
+        for block in self.blocks:
+            if block.node.side < 0 or anywhere:
+                points[block.node.at] += max(0, len(block.text) - link_weight * block.links)
+        for node in reversed(self.nodes):
+            if node.parent:
+                points[node.parent.at] += points[node.at]
+        return points
+
+    def with_text(self) -> list[Node]:
+        """The containers with text outside of boilerplate."""
+        points = self._points()
+        return [n for n in self.nodes if n.tag in CONTAINERS and points[n.at] > 0]
+
+    def hold_most(self, containers: list[Node]) -> bool:
+        """Whether containers hold most of the text outside of boilerplate."""
+        points = self._points()
+        return sum(points[c.at] for c in containers) >= MOST * points[0]
+
     def best(self) -> Node | None:
         """The innermost container with most of the page's text; None on a page without text.
 
@@ -235,13 +274,7 @@ class Page:
         boilerplate counts too; should there be only links, then these do.
         """
         for link_weight, anywhere in ((2, False), (2, True), (0, True)):
-            points = [0.0] * len(self.nodes)
-            for block in self.blocks:
-                if block.node.side < 0 or anywhere:
-                    points[block.node.at] += max(0, len(block.text) - link_weight * block.links)
-            for node in reversed(self.nodes):
-                if node.parent:
-                    points[node.parent.at] += points[node.at]
+            points = self._points(link_weight, anywhere)
             if points[0] > 0:
                 # Containers with more than half of the text lie within each other.
                 at = max(n.at for n in self.nodes
@@ -282,9 +315,10 @@ class Page:
 
     @staticmethod
     def _in_article(node: Node) -> bool:
-        """Whether a header belongs to an article: its headings are titles of the text."""
+        """Whether a header belongs to an article or to the main element: its headings are titles
+        of the text."""
         while node:
-            if node.tag == "article":
+            if node.tag in ("article", "main"):
                 return True
             node = node.parent
         return False
@@ -300,21 +334,32 @@ class Page:
         return out
 
 
-def vote(html: str) -> str | None:
+def vote(html: str) -> tuple[str | None, int | None, set[int]]:
+    """The path that a page votes for, its key, and the keys of all paths at which it has text."""
     page = Page(html)
-    best = page.best()
-    return page.path(best) if best else None
+    best, keys = page.best(), page.keys()
+    present = {keys[n.at] for n in page.with_text()}
+    if not best:
+        return None, None, present
+    return page.path(best), keys[best.at], present | {keys[best.at]}
+
 
+def extract(html: str, path: str | None) -> tuple[str, int | None, str | None]:
+    """The text at a path, or at the page's own best container.
 
-def extract(html: str, path: str | None) -> str:
-    """The text at a path, or at the page's own best container."""
+    If the text at the path is not most of the page's, then also the key of the own best
+    container's path, and its text.
+    """
     page = Page(html)
-    if path:
-        text = page.text(page.at_path(path))
-        if text:
-            return text
+    there = page.at_path(path) if path else []
+    text = page.text(there)
+    if text and page.hold_most(there):
+        return text, None, None
     best = page.best()
-    return page.text([best]) if best else ""
+    if not best:
+        return text, None, None
+    own = page.text([best])
+    return (text, page.keys()[best.at], own) if text else (own, None, None)
 
 
 def host(url: Column) -> Column:
@@ -323,38 +368,79 @@ def host(url: Column) -> Column:
                               F.lit("")))
 
 
-def winners(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Per host its winning path and the number of pages that voted for it."""
+def counts(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Per host and path that is voted for: its ``key``, its ``votes`` and the number of pages that
+    have text there (``present``)."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [batch.column("_host"),
-             pa.array([vote(h) for h in texts_of(batch, html_col)], pa.string())],
-            ["host", "path"])
-    votes = map_batches(pages.select(host(F.col(url_col)).alias("_host"), html_col),
-                        ["_host", html_col], "host string, path string", work)
-    counts = votes.where("path is not null").groupBy("host", "path").agg(F.count("*").alias("n"))
+        found: dict[tuple[str, int], list] = {}
+        for where, html in zip(batch.column("_host").to_pylist(), texts_of(batch, html_col),
+                               strict=True):
+            path, won, present = vote(html)
+            for key in present:
+                row = found.setdefault((where, key), [None, 0, 0])
+                row[2] += 1
+                if key == won:
+                    row[0] = path
+                    row[1] += 1
+        rows = [(*at, *row) for at, row in found.items()]
+        return pa.RecordBatch.from_pylist(
+            [dict(zip(schema.names, row, strict=True)) for row in rows], schema)
+    schema = pa.schema([("host", pa.string()), ("key", pa.int64()), ("path", pa.string()),
+                        ("votes", pa.int64()), ("present", pa.int64())])
+    parts = map_batches(
+        pages.select(host(F.col(url_col)).alias("_host"), html_col), ["_host", html_col],
+        "host string, key bigint, path string, votes bigint, present bigint", work)
+    sums = parts.groupBy("host", "key").agg(
+        F.min("path").alias("path"), F.sum("votes").alias("votes"),
+        F.sum("present").alias("present"))
+    return sums.where("votes > 0")
+
+
+def winners(found: DataFrame) -> DataFrame:
+    """Per host its winning path and the number of pages that voted for it, from ``counts``."""
     # The most votes; of equal paths the first.
-    best = F.min(F.struct((-F.col("n")).alias("n"), "path")).alias("b")
-    return counts.groupBy("host").agg(best).select(
+    best = F.min(F.struct((-F.col("votes")).alias("n"), "path")).alias("b")
+    return found.groupBy("host").agg(best).select(
         "host", F.col("b.path").alias("path"), (-F.col("b.n")).alias("votes"))
 
 
+def layouts(found: DataFrame) -> DataFrame:
+    """The paths, by host and key, that win on more than half of the pages that have them."""
+    return found.where("2 * votes > present").select("host", "key")
+
+
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                html_col: str = "html") -> DataFrame:
     """Per page its id, address and main ``text``."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [extract(h, p) for h, p in zip(
-            texts_of(batch, html_col), batch.column("_path").to_pylist(), strict=True)]
+        texts, keys, owns = [], [], []
+        for row, (html, path) in enumerate(zip(
+                texts_of(batch, html_col), batch.column("_path").to_pylist(), strict=True)):
+            text, key, own = extract(html, path)
+            texts.append(text)
+            # A number that is no key, and differs from row to row, joins with nothing.
+            keys.append(-1 - row if key is None else key)
+            owns.append(own)
         return pa.RecordBatch.from_arrays(
-            [batch.column(id_col), batch.column(url_col), pa.array(texts, pa.string())],
-            [id_col, url_col, "text"])
-    # One short row per host. Stored, so that its size is known when the join is planned.
-    paths = stored(winners(pages, url_col, html_col).select(
+            [batch.column(id_col), batch.column(url_col), batch.column("_host"),
+             pa.array(keys, pa.int64()), pa.array(texts, pa.string()),
+             pa.array(owns, pa.string())], names)
+    # Short rows per host and path. Stored, so that their size is known when joins are planned.
+    found = stored(counts(pages, url_col, html_col), "votes")
+    paths = stored(winners(found).select(
         F.col("host").alias("_host"), F.col("path").alias("_path")), "paths")
+    others = stored(layouts(found), "layouts")
     rows = pages.select(id_col, url_col, html_col, host(F.col(url_col)).alias("_host"))
     kind = pages.schema[id_col].dataType.simpleString()
-    return map_batches(rows.join(paths, "_host", "left"), [id_col, url_col, html_col, "_path"],
-                       f"`{id_col}` {kind}, `{url_col}` string, text string", work)
+    names = [id_col, url_col, "_host", "_key", "text", "_own"]
+    read = map_batches(rows.join(paths, "_host", "left"),
+                       [id_col, url_col, html_col, "_host", "_path"],
+                       f"`{id_col}` {kind}, `{url_col}` string, _host string, _key bigint, "
+                       "text string, _own string", work)
+    same = (F.col("_host") == others["host"]) & (F.col("_key") == others["key"])
+    return read.join(others, same, "left").select(
+        id_col, url_col,
+        F.when(others["key"].isNotNull(), F.col("_own")).otherwise(F.col("text")).alias("text"))
 
 
 def report(texts: DataFrame) -> DataFrame:
