@@ -12,13 +12,16 @@ that the work stays in proportion to the text. Repeated rows give repeated resul
 an empty one. Only the named columns are read for the result of pairs; ``without_leaks`` keeps all
 columns as they are.
 
-Items may have ids of any type. They are searched for in blocks of bounded size, each in all
-documents. The driver reads the items and sends every block to the tasks, so that a benchmark has
-to fit its memory.
+Items may have ids of any type. The size of the benchmark is counted first. Up to ``BLOCK_CHARS``
+characters it is sent to the tasks as it is, and one walk over the documents does. A larger one is
+grouped by text and dealt by hash into blocks of half that size on average; one block at a time is
+sent, and what it finds is written before the next is read, so that neither the driver nor a task
+holds more than a block, whatever the benchmark's size. The documents are walked once per block.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,10 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from shelfmark.llm.common import map_batches, texts_of
+from shelfmark.llm.common import map_batches, stored, texts_of
+from shelfmark.session import work_folder
 
 RATE = 0.08
-BLOCK_CHARS = 4_000_000  # characters of items searched at once
+BLOCK_CHARS = 4_000_000  # characters of a benchmark that is searched for in one walk
 
 _WORD = re.compile(r"\w+")
 
@@ -152,63 +156,100 @@ class Searcher:
             yield low, high
 
 
-def blocks(benchmark: DataFrame, item_col: str = "item_id",
-           text_col: str = "text") -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of at most ``BLOCK_CHARS`` characters, but at least one item."""
-    block, size = [], 0
-    rows = benchmark.select(item_col, text_col).where(F.col(text_col).isNotNull())
-    for item, text in rows.toLocalIterator():
-        if block and size + len(text) > BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-        block.append((item, text))
-        size += len(text)
-    if block:
-        yield block
+def small(benchmark: DataFrame, item_col: str = "item_id",
+          text_col: str = "text") -> list[tuple[object, str]] | None:
+    """The items with a text, or None if they have more than ``BLOCK_CHARS`` characters."""
+    items = benchmark.select(item_col, text_col).where(F.length(text_col) > 0)
+    # One more for each item, so that many tiny ones count as well.
+    if (items.agg(F.sum(F.length(text_col) + 1)).first()[0] or 0) > BLOCK_CHARS:
+        return None
+    return [(item, text) for item, text in items.collect()]
+
+
+def distinct_texts(benchmark: DataFrame, text_col: str = "text") -> tuple[DataFrame, int]:
+    """The different texts of a benchmark with a ``_key`` and a ``_block``, and how many blocks."""
+    texts = benchmark.select(F.col(text_col).alias("_text")).where("length(_text) > 0").distinct()
+    texts = stored(texts.withColumn("_key", F.sha2(F.col("_text").cast("binary"), 256)), "texts")
+    chars = texts.agg(F.sum(F.length("_text") + 1)).first()[0] or 0
+    n = max(1, -(-2 * chars // BLOCK_CHARS))
+    return texts.withColumn("_block", F.expr(f"pmod(xxhash64(_key), {n})")), n
+
+
+def blocks(texts: DataFrame, n: int) -> Iterator[list[tuple[str, str]]]:
+    """One block of keys and texts after the other; the driver holds one at a time."""
+    for block in range(n):
+        yield [(key, text) for key, text in
+               texts.where(F.col("_block") == block).select("_key", "_text").collect()]
+
+
+def _hits(docs: DataFrame, items: list, rate: float, id_col: str, text_col: str, item_kind: str,
+          item_type: pa.DataType, item_col: str = "item_id") -> DataFrame:
+    """One row per document and item found in it."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        searcher = _searcher(items, rate)
+        at, found, distances = [], [], []
+        for row, text in enumerate(texts_of(batch, text_col)):
+            for hit in searcher.find(text):
+                at.append(row)
+                found.append(hit.item)
+                distances.append(hit.distance)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(id_col).take(pa.array(at, pa.int64())),
+             pa.array(found, item_type), pa.array(distances, pa.int64())],
+            [id_col, item_col, "distance"])
+    doc_kind = docs.schema[id_col].dataType.simpleString()
+    return map_batches(docs, [id_col, text_col],
+                       f"`{id_col}` {doc_kind}, {item_col} {item_kind}, distance bigint", work)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """One row per document and item found in it, with the ``distance`` in edits."""
-    item_kind = benchmark.schema["item_id"].dataType.simpleString()
-    doc_kind = docs.schema[id_col].dataType.simpleString()
-    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
-    schema = f"`{id_col}` {doc_kind}, item_id {item_kind}, distance bigint"
-    found = None
-    for block in [*blocks(benchmark)] or [[]]:
-        def work(batch: pa.RecordBatch, block=block) -> pa.RecordBatch:
-            searcher = _searcher(block, rate)
-            at, items, distances = [], [], []
-            for row, text in enumerate(texts_of(batch, text_col)):
-                for hit in searcher.find(text):
-                    at.append(row)
-                    items.append(hit.item)
-                    distances.append(hit.distance)
-            return pa.RecordBatch.from_arrays(
-                [batch.column(id_col).take(pa.array(at, pa.int64())),
-                 pa.array(items, item_type), pa.array(distances, pa.int64())],
-                [id_col, "item_id", "distance"])
-        part = map_batches(docs, [id_col, text_col], schema, work)
-        found = part if found is None else found.unionAll(part)
-    return found
+    kind = benchmark.schema["item_id"].dataType
+    items = small(benchmark)
+    if items is not None:
+        return _hits(docs, items, rate, id_col, text_col, kind.simpleString(),
+                     to_arrow_type(kind))
+    texts, n = distinct_texts(benchmark)
+    folder = work_folder(docs.sparkSession, "hits")
+    for block in blocks(texts, n):
+        part = _hits(docs, block, rate, id_col, text_col, "string", pa.string(), "_key")
+        part.write.mode("append").parquet(folder)
+    hits = docs.sparkSession.read.schema(part.schema).parquet(folder)
+    keys = benchmark.select("item_id", F.sha2(F.col("text").cast("binary"), 256).alias("_key"))
+    return hits.join(keys, "_key").select(id_col, "item_id", "distance")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE,
                   text_col: str = "text") -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    for block in blocks(benchmark):
-        def work(batch: pa.RecordBatch, block=block) -> pa.RecordBatch:
-            searcher = _searcher(block, rate)
+    items = small(benchmark)
+    if items is not None:
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            searcher = _searcher(items, rate)
             return batch.filter(pa.array([not searcher.find(t) for t in texts_of(batch, text_col)],
                                          pa.bool_()))
-        docs = map_batches(docs, docs.columns, docs.schema, work)
-    return docs
+        return map_batches(docs, docs.columns, docs.schema, work)
+    # Documents go by the hash of their text, so that ids may be null or repeated.
+    texts, n = distinct_texts(benchmark)
+    folder = work_folder(docs.sparkSession, "leaked")
+    for block in blocks(texts, n):
+        def leaked(batch: pa.RecordBatch, block=block) -> pa.RecordBatch:
+            searcher = _searcher(block, rate)
+            keys = [hashlib.sha256(t.encode()).hexdigest() for t in texts_of(batch, text_col)
+                    if searcher.find(t)]
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string())], ["_key"])
+        part = map_batches(docs, [text_col], "_key string", leaked).distinct()
+        part.write.mode("append").parquet(folder)
+    found = docs.sparkSession.read.schema("_key string").parquet(folder).distinct()
+    same = F.sha2(docs[text_col].cast("binary"), 256) == found["_key"]
+    return docs.join(found, same, "left_anti")
 
 
 _KEPT: list = []
 
 
-def _searcher(block: list[tuple[int, str]], rate: float) -> Searcher:
+def _searcher(block: list[tuple[object, str]], rate: float) -> Searcher:
     """The searcher of a block; a worker keeps the last one."""
     if not _KEPT or _KEPT[0] != (rate, block):
         _KEPT[:] = [(rate, block), Searcher(block, rate)]

@@ -55,6 +55,40 @@ def test_blocks_of_items(spark, monkeypatch):
     assert sorted(r.doc_id for r in left) == [0, 2, 4, 6]
 
 
+def test_blocks_give_what_one_walk_gives(spark, monkeypatch):
+    """Equal items, null and repeated ids, empty texts and clashing names, in many blocks."""
+    draw = random.Random(5)
+    words = ["mill", "river", "old", "found", "again", "they", "the"]
+    def text(n):
+        return " ".join(draw.choice(words) for _ in range(n))
+    items = [(k % 9 if k % 4 else None, text(draw.randint(1, 9))) for k in range(40)]
+    items += items[:6] + [(50, None), (51, ""), (52, "..."), (53, items[0][1])]
+    docs = [(k % 30 if k % 7 else None, text(draw.randint(0, 60)), k, "x") for k in range(60)]
+    docs += [(1, None, 60, "x"), (2, "", 61, "x"), *docs[:9]]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, _key int, _block string")
+    def both():
+        found = decontam.leaks(frame, benchmark, 0.1)
+        kept = decontam.without_leaks(frame, benchmark, 0.1)
+        assert kept.columns == frame.columns
+        return [sorted(map(str, df.collect())) for df in (found, kept)]
+    want = both()
+    assert want[0] and want[1]
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 400)
+    assert decontam.small(benchmark) is None and decontam.distinct_texts(benchmark)[1] > 3
+    assert both() == want
+    none = spark.createDataFrame([], frame.schema)
+    assert decontam.leaks(none, benchmark).count() == 0
+    assert decontam.without_leaks(none, benchmark).count() == 0
+
+
+def test_empty_benchmark(spark):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "some text")], "doc_id bigint, text string")
+    assert decontam.leaks(docs, none).count() == 0
+    assert decontam.without_leaks(docs, none).count() == 1
+
+
 def test_item_ids_of_any_type(spark):
     docs = spark.createDataFrame([("d1", "so they found the old mill by the river again")],
                                  "doc_id string, text string")
