@@ -44,33 +44,51 @@ def numbered(wanted: DataFrame, folder: str, rows_per_task: int = ROWS_PER_TASK)
     spark = wanted.sparkSession
     asked = wanted.withColumns({"_hour": _hour(), "_span": _span()})
     spans = [row["_span"] for row in asked.select("_span").distinct().collect()]
-    pieces = asked.select(F.struct("source_name", "_hour").alias("_piece")).distinct()
-    names = asked.select(F.struct("source_name").alias("_name")).distinct()
+    pieces = _known(asked.select("source_name", F.col("_hour").alias("hour")),
+                    "source_name", "hour").select(*_KNOWN).distinct()
+    names = _known(asked, "source_name").select(*_KNOWN).distinct()
 
-    counts = (tiers.read(spark, f"{folder}/counts").withColumn("_name", F.struct("source_name"))
-              .join(names, "_name", "left_semi"))
+    counts = (_known(tiers.read(spark, f"{folder}/counts"), "source_name")
+              .join(names, _KNOWN, "left_semi").drop(*_KNOWN))
+    summed = _summed(counts)
     earlier = Window.partitionBy("source_name").orderBy("hour").rowsBetween(
         Window.unboundedPreceding, -1)
-    before = _summed(counts).select(
-        F.struct("source_name", F.col("hour").alias("_hour")).alias("_piece"),
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
-
-    times = (tiers.read(spark, f"{folder}/times", _times(wanted).schema).where(F.col("span").isin(spans))
-             .withColumn("_piece", F.struct("source_name", F.col("hour").alias("_hour")))
-             .join(pieces, "_piece", "left_semi"))
-    # The hour is a key here, so that only what is finer is left to cut a heavy one by.
-    finer = order_slices(F.col("submission_time"), F.col("source_key"))[1:]
-    places = number_rows(times.drop("_piece"), ["source_name", "hour"], ORDER, finer,
-                         out="_place", rows_per_task=rows_per_task)
-    versions = (places.withColumn("_piece", F.struct("source_name", F.col("hour").alias("_hour")))
-                .join(before, "_piece")
-                .select(F.struct("source_name", *ORDER).alias("_row"),
-                        (F.col("_before") + F.col("_place")).alias("version")))
-    return (asked.withColumn("_row", F.struct("source_name", *ORDER))
-            .join(versions, "_row").drop("_row", "_hour", "_span")
+    before = _known(summed.withColumn(
+        "_before", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "source_name", "hour").select(
+            *_KNOWN, "_before")
+
+    times = (tiers.read(spark, f"{folder}/times", _times(wanted).schema).where(F.col("span").isin(spans)))
+    times = _known(times, "source_name", "hour").join(pieces, _KNOWN, "left_semi")
+    # An hour has at most the largest count of a part from each of them.
+    most = tiers.read(spark, f"{folder}/counts").agg(F.max("n")).first()[0] or 0
+    parts = len(tiers.standing(spark, f"{folder}/counts"))
+    if most * parts <= rows_per_task or summed.where(F.col("n") > rows_per_task).isEmpty():
+        # The counts tell that no hour is heavy, so that the rows need not be counted again.
+        inside = Window.partitionBy(*_KNOWN).orderBy(*ORDER)
+        places = times.withColumn("_place", F.row_number().over(inside).cast("bigint"))
+    else:
+        # The hour is a key here, so that only what is finer is left to cut a heavy one by.
+        finer = order_slices(F.col("submission_time"), F.col("source_key"))[1:]
+        places = _known(number_rows(times.drop(*_KNOWN), ["source_name", "hour"], ORDER, finer,
+                                    out="_place", rows_per_task=rows_per_task),
+                        "source_name", "hour")
+    versions = places.join(before, _KNOWN).drop(*_KNOWN).withColumn(
+        "version", F.col("_before") + F.col("_place"))
+    versions = _known(versions, "source_name", *ORDER).select(*_KNOWN, "version")
+    return (_known(asked, "source_name", *ORDER).join(versions, _KNOWN)
+            .drop(*_KNOWN, "_hour", "_span")
             .withColumn("source_id", source_id(F.col("source_name"), F.col("version"))))
 
 
+_KNOWN = ["_hash", "_piece"]
+
+
+def _known(rows: DataFrame, *columns: str) -> DataFrame:
+    """Adds a key of columns that may be NULL. Sorts compare it by the hash in front; a struct
+    alone is compared field by field."""
+    return rows.withColumns({"_hash": F.xxhash64(*columns), "_piece": F.struct(*columns)})
+
+
 def _times(submissions: DataFrame) -> DataFrame:
     return submissions.select("source_name", *ORDER, _hour(), _span())
 

@@ -84,3 +84,14 @@ def test_a_batch_reads_its_span_alone(spark, tmp_path):
     got = versions.numbered(batch, folder)
     assert [r["version"] for r in got.collect()] == [5 * 10 + 1]
     assert "PartitionFilters: [isnotnull(span" in got._jdf.queryExecution().toString()
+
+
+def test_rows_are_joined_once_without_a_heavy_hour(spark, tmp_path):
+    """The stored counts tell that no hour is heavy; they did not spare counting the rows."""
+    rows, folder = submissions(200, 7), str(tmp_path / "v")
+    whole = spark.createDataFrame(rows, SCHEMA)
+    versions.add(whole, folder, 0)
+    got = versions.numbered(whole, folder)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2  # counts of the names, times of the hours
+    assert numbers(got) == numbers(catalog.with_versions(whole))
