@@ -49,19 +49,28 @@ def read_csv(spark: SparkSession, path: str, mapping: Mapped, delimiter: str = "
 def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
     """The files under a path, those with the same first line together.
 
-    Of the lines, only one per file leaves a task. The driver learns the files' names, as it does
-    for any read, and the distinct headers.
+    The driver learns the files' names, as it does for any read.
+    """
+    headers = _headers(spark, path)
+    # Paths come escaped as in a URL, and are read as patterns.
+    plain = F.regexp_replace(F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))),
+                             r"([\\\[\]{}*?])", r"\\$1")
+    groups = headers.groupBy("h0", "h1").agg(F.sort_array(F.collect_list(plain)).alias("files"))
+    return [row["files"] for row in groups.orderBy("files").collect()]
+
+
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """Each ``file`` with 128 bits of hashes of its first line, ``h0`` and ``h1``.
+
+    Only one row per file leaves a task. Unlike texts, hashes are aggregated without sorting all
+    lines of a task.
     """
     line = F.col("value")
     lines = spark.read.text(path).where("_metadata.file_block_start = 0").select(
         F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
         line).where(F.trim(line) != "")
-    headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    # Paths come escaped as in a URL, and are read as patterns.
-    plain = F.regexp_replace(F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))),
-                             r"([\\\[\]{}*?])", r"\\$1")
-    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list(plain)).alias("files"))
-    return [row["files"] for row in groups.orderBy("header").collect()]
+    return lines.groupBy("file").agg(
+        *[F.min_by(F.xxhash64(F.lit(n), line), "at").alias(f"h{n}") for n in range(2)])
 
 
 def read_xml(spark: SparkSession, path: str, mapping: Mapped, row_tag: str,

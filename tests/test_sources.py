@@ -173,3 +173,12 @@ def test_json_rejects(spark):
     df = spark.createDataFrame([(1, "{broken"), (2, '{"a": 1}'), (3, None)], "id int, doc string")
     got = extract.json_rejects(df, F.col("doc"), ["id"]).collect()
     assert [(r["id"], r["reason"]) for r in got] == [(1, "malformed")]
+
+
+def test_headers_are_found_without_sorting_lines(spark, tmp_path):
+    for name, text in [("a", "x;y\n1;2\n"), ("b", "\n  \ny;x\n2;1\n"), ("c", "x;y\n")]:
+        (tmp_path / f"{name}.csv").write_text(text)
+    found = readers._headers(spark, str(tmp_path))
+    assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+    groups = readers._files_by_header(spark, str(tmp_path))
+    assert [[f[-5:] for f in files] for files in groups] == [["a.csv", "c.csv"], ["b.csv"]]
