@@ -8,11 +8,22 @@ from pyspark.sql import functions as F
 from shelfmark.operators.catalog import with_versions
 from shelfmark.session import configure
 
+ROWS_PER_TASK = 50_000  # of rows that cost much each
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt out evenly if the file is read by too few tasks for work on every row.
+
+    A compressed file is cut by bytes, so that one task may get millions of rows.
+    """
+    wanted = -(-rows.count() // ROWS_PER_TASK)
+    return rows if wanted <= rows.rdd.getNumPartitions() else rows.repartition(wanted)
+
+
 def submissions(spark: SparkSession, folder: str) -> DataFrame:
     """Submissions without their version, one per order."""
     key = F.col("o_orderkey")
@@ -94,7 +105,7 @@ def dc_input(spark: SparkSession, folder: str) -> DataFrame:
                .when(key % 6 == 3, F.concat(second, F.lit("; "), first))
                .when(key % 6 == 4, F.concat(first, F.lit(" van "), second))
                .otherwise(F.concat(F.col("p_name"), F.lit(" Jr."))))
-    return table(spark, folder, "part").select(
+    return spread(table(spark, folder, "part")).select(
         key.alias("submission_id"),
         F.when(key % 50 == 0, "").otherwise(F.col("p_name")).alias("title"),
         F.when(size % 10 != 0, F.col("p_name")).alias("author1"),

@@ -177,3 +177,14 @@ def test_catalog_layout(spark, tmp_path):
     plan = back.where("not test and source_name = 'n0007'")._jdf.queryExecution().executedPlan()
     assert "PartitionFilters: [isnotnull(test" in plan.toString()
     assert "EqualTo(source_name,n0007)" in plan.toString()
+
+
+def test_rows_of_a_single_file_are_dealt_out(spark, monkeypatch):
+    from shelfmark.plans import queries, views
+    folder = "/root/testdata/sf0.001"
+    whole = sorted(map(str, queries.submission_json(spark, folder).collect()))
+    assert views.dc_input(spark, folder).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(views, "ROWS_PER_TASK", 20, raising=False)
+    dealt = queries.submission_json(spark, folder)
+    assert dealt.rdd.getNumPartitions() > 1
+    assert sorted(map(str, dealt.collect())) == whole
