@@ -25,6 +25,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,8 @@ class Tokenizers:
     bytes_b: list[bytes]
     lengths_a: np.ndarray
     lengths_b: np.ndarray
+    line_a: np.ndarray   # the bytes of all ids, one after another
+    line_b: np.ndarray
     written: list[bytes]  # ids of A, then of B, as text with each sign that can follow
 
     @property
@@ -88,16 +91,42 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     lengths = [np.array([len(x) for x in names], np.int64) for names in (bytes_a, bytes_b)]
     written = [b"%d%s" % (k, sign) for names, signs in ((bytes_a, b",|"), (bytes_b, b",;"))
                for k in range(len(names)) for sign in (signs[:1], signs[1:])]
-    return Tokenizers(a, b, bytes_a, bytes_b, *lengths, written)
+    lines = [np.frombuffer(b"".join(names), np.uint8) for names in (bytes_a, bytes_b)]
+    return Tokenizers(a, b, bytes_a, bytes_b, *lengths, *lines, written)
 
 
 def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """The items of all rows, and the row of each."""
     counts = [len(r) for r in rows]
-    return (np.fromiter((x for r in rows for x in r), np.int64, sum(counts)),
+    return (np.fromiter(chain.from_iterable(rows), np.int64, sum(counts)),
             np.repeat(np.arange(len(rows)), counts))
 
 
+def _written_out(ids: np.ndarray, lengths: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The bytes of ids, one after another."""
+    size = lengths[ids]
+    shift = (np.cumsum(lengths) - lengths)[ids] - (np.cumsum(size) - size)
+    return line[np.repeat(shift, size) + np.arange(int(size.sum()))]
+
+
+def _faulty(wanted: list[bytes], ids: np.ndarray, text: np.ndarray, lengths: np.ndarray,
+            line: np.ndarray) -> np.ndarray:
+    """Whether the tokens of each text, joined, differ from what is wanted."""
+    n = len(wanted)
+    want = np.fromiter(map(len, wanted), np.int64, n)
+    size = np.zeros(n, np.int64)
+    np.add.at(size, text, lengths[ids])
+    wrong = size != want
+    if wrong.any():  # the others are compared alone
+        some = ~wrong[text]
+        ids = ids[some]
+        wanted = [w for w, bad in zip(wanted, wrong, strict=True) if not bad]
+    same = _written_out(ids, lengths, line) == np.frombuffer(b"".join(wanted), np.uint8)
+    if not same.all():
+        wrong[np.repeat(np.flatnonzero(~wrong), want[~wrong])[~same]] = True
+    return wrong
+
+
 @dataclass
 class Aligned:
     """The alignment of some texts; groups are numbered through all of them."""
@@ -121,21 +150,25 @@ def align(both: Tokenizers, texts: list[str]) -> Aligned:
     ids_a = [e.ids for e in both.a.encode_batch_fast([f" {t}" for t in texts],
                                                      add_special_tokens=False)]
     ids_b = both.b.encode(texts, num_threads=1)
-    for k, text in enumerate(texts):
-        want = f" {text}".encode()
-        if (not text or b"".join(map(both.bytes_a.__getitem__, ids_a[k])) != want
-                or b"".join(map(both.bytes_b.__getitem__, ids_b[k])) != want):
-            ids_a[k], ids_b[k] = [], []
     (a, text_a), (b, text_b) = _flat(ids_a), _flat(ids_b)
+    wanted = [f" {t}".encode() for t in texts]
+    wrong = (np.array([not t for t in texts], bool)
+             | _faulty(wanted, a, text_a, both.lengths_a, both.line_a)
+             | _faulty(wanted, b, text_b, both.lengths_b, both.line_b))
+    if wrong.any():
+        a, text_a = a[~wrong[text_a]], text_a[~wrong[text_a]]
+        b, text_b = b[~wrong[text_b]], text_b[~wrong[text_b]]
     # Texts stand one after another on one line of bytes, as both cover the same bytes.
     ends_a = np.cumsum(both.lengths_a[a])
     ends_b = np.cumsum(both.lengths_b[b])
     is_end = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, bool)
     is_end[ends_a] = True
-    cuts = ends_b[is_end[ends_b]] if len(a) else np.zeros(0, np.int64)
-    return Aligned(a, b, text_a, text_b, np.searchsorted(cuts, ends_a),
-                   np.searchsorted(cuts, ends_b), text_b[np.searchsorted(ends_b, cuts)]
-                   if len(a) else np.zeros(0, np.int64))
+    is_cut = is_end[ends_b] if len(a) else np.zeros(0, bool)
+    # No token is empty, and the group of one is the number of cuts before its end.
+    cuts = np.zeros(len(is_end), np.int64)
+    cuts[ends_b[is_cut]] = 1
+    before = np.cumsum(cuts) - cuts
+    return Aligned(a, b, text_a, text_b, before[ends_a], before[ends_b], text_b[is_cut])
 
 
 def group_texts(both: Tokenizers, found: Aligned, n: int) -> list[bytes]:
@@ -148,7 +181,7 @@ def group_texts(both: Tokenizers, found: Aligned, n: int) -> list[bytes]:
     codes = np.concatenate([2 * found.a + last_a, 2 * (len(both.bytes_a) + found.b) + last_b])
     order = np.argsort(np.concatenate([2 * found.group_a, 2 * found.group_b + 1]), kind="stable")
     text = np.concatenate([found.text_a, found.text_b])[order]
-    written = [both.written[c] for c in codes[order].tolist()]
+    written = list(map(both.written.__getitem__, codes[order].tolist()))
     starts = np.searchsorted(text, np.arange(n + 1)).tolist()
     for k in range(n):
         if starts[k] < starts[k + 1]:
@@ -180,7 +213,7 @@ def pairs(found: Aligned, size_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         at = np.arange(len(group)) - np.repeat(np.cumsum(links[some]) - links[some], links[some])
         a = found.a[first_a[group] + at // count_b[group]]
         b = found.b[first_b[group] + at % count_b[group]]
-        parts.append(_summed(found.text[group], a * size_b + b, np.ones(len(group), np.int64)))
+        parts.append(_summed(found.text[group], a * size_b + b))
         start = stop
     if len(parts) == 1:
         return parts[0]
@@ -189,7 +222,16 @@ def pairs(found: Aligned, size_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return _summed(*[np.concatenate([p[k] for p in parts]) for k in range(3)])
 
 
-def _summed(text: np.ndarray, pair: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+def _summed(text: np.ndarray, pair: np.ndarray,
+            n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct pairs of each text and the sum of their ``n``, or how often each is there."""
+    width = int(pair.max()) + 1 if len(pair) else 1
+    if n is None and (int(text.max()) + 1 if len(text) else 1) * width < 1 << 63:
+        both = np.sort(text * width + pair)  # one key sorts much faster than two
+        at = np.flatnonzero(np.append(True, both[1:] != both[:-1])[:len(both)])
+        text, pair = np.divmod(both[at], width)
+        return text, pair, np.diff(at, append=len(both))
+    n = np.ones(len(text), np.int64) if n is None else n
     order = np.lexsort((pair, text))
     text, pair, n = text[order], pair[order], n[order]
     new = np.append(True, (text[1:] != text[:-1]) | (pair[1:] != pair[:-1]))[:len(text)]
@@ -199,8 +241,8 @@ def _summed(text: np.ndarray, pair: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
 
 def _packed(places: np.ndarray, n: np.ndarray) -> bytes:
     """Ascending places and the number of links at each, small."""
-    steps = np.diff(places, prepend=0)
-    rows = np.concatenate([steps, n])
+    rows = np.concatenate([places, n])
+    rows[1:len(places)] -= places[:-1]
     for kind in (np.uint8, np.uint16, np.uint32, np.uint64):
         if not len(rows) or rows.max() <= np.iinfo(kind).max:
             break
