@@ -4,7 +4,9 @@ The probability of a token is that of its class times that of the token in its c
 frequent words share classes of ``CLASS_WORDS``; every other word belongs to one of the rare
 classes, told by its last letters and accents, and has there the smoothed share of its count. Both
 softmax layers add up weights of hashed features of the words before: the last word, the one before
-it (a skip), and the pair of them, beside a bias that starts at the observed frequencies.
+it (a skip), and the pair of them, beside a bias that starts at the observed frequencies. These know
+rarer words by their class; the layer of classes therefore also has hashed rows for the words
+themselves, so that whichever of the two words before is rare, the nearer one, is known as itself.
 
 Training is distributed: every task of a round updates its copy of the weights by gradients over
 small batches of its documents, and the copies are averaged, each feature weighed by how often a
@@ -40,6 +42,7 @@ CLASS_WORDS = 32
 CLASSES = 16           # of frequent words
 RARE = 48              # classes of all other words
 PAIRS = 2048           # rows for hashed pairs of words
+OTHERS = 2048          # rows for hashed words beyond the frequent ones
 ROUNDS = 2
 BATCH = 4096           # tokens of one gradient update
 RATE = 0.6
@@ -169,22 +172,29 @@ class Model:
         return cls(total, distinct, head, counts, head[first][order],
                    np.arange(len(first))[order], rare[0], rare[1],
                    np.log(mass / mass.sum()).astype(np.float32), word_bias.astype(np.float32),
-                   np.zeros((2 * NAMES + PAIRS, _WIDTH), np.float32),
+                   np.zeros((2 * NAMES + PAIRS + OTHERS + 1, _WIDTH), np.float32),
                    np.zeros((2 * WORD_ROWS, WORDS), np.float32))
 
     def names(self, h: np.ndarray, kind: np.ndarray) -> np.ndarray:
         return _name_of(h, kind, self.words, self.ranks)
 
-    def features(self, name: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def features(self, name: np.ndarray, starts: np.ndarray,
+                 h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the class layer and of the word layer for each token of texts that begin at
-        ``starts``; before a text stands the end of another."""
-        end = int(self.names(*hashes([END]))[0])
-        last = np.append(end, name[:-1])
-        last[starts] = end
-        skip = np.append(end, last[:-1])
-        skip[starts] = end
+        ``starts``; before a text stands the end of another. Without the words' hashes ``h`` rarer
+        words are known by their class alone."""
+        end = hashes([END])
+        last, skip = _before(name, starts, self.names(*end)[0])
         pair = ((last * 65_599 + skip).astype(np.uint64) * _HASH >> np.uint64(40)).astype(np.int64)
-        classes = np.stack([last, NAMES + skip, 2 * NAMES + pair % PAIRS], axis=1)
+        # Rows of one word as the last and as the skip differ; without a rare one there is one more.
+        word = np.full(len(name), OTHERS)
+        if h is not None:
+            last_word, skip_word = _before(h, starts, end[0][0])
+            rare = np.where(last >= WORDS, last_word, skip_word + np.uint64(1)) * _HASH
+            word = np.where((last >= WORDS) | (skip >= WORDS),
+                            (rare >> np.uint64(40)).astype(np.int64) % OTHERS, OTHERS)
+        classes = np.stack([last, NAMES + skip, 2 * NAMES + pair % PAIRS,
+                            2 * NAMES + PAIRS + word], axis=1)
         small = ((np.stack([last, skip], axis=1).astype(np.uint64) + np.uint64(1)) * _HASH
                  >> np.uint64(40)).astype(np.int64) % WORD_ROWS
         return classes, small + np.array([0, WORD_ROWS])
@@ -236,6 +246,15 @@ class Model:
             weights[rows] -= sums
 
 
+def _before(values: np.ndarray, starts: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:
+    """The value before each token and the one before that, ``end`` before a text."""
+    last = np.append(end, values[:-1])
+    last[starts] = end
+    skip = np.append(end, last[:-1])
+    skip[starts] = end
+    return last, skip
+
+
 def _log_shares(logits: np.ndarray, of: np.ndarray) -> np.ndarray:
     """The logarithm of the probability of one column per row; the logits are lost."""
     own = logits[np.arange(len(of)), of]
@@ -299,7 +318,7 @@ class Trainer:
         self._names = np.append(self._names, self.model.names(
             self._lexicon.hash[at:], self._lexicon.kind[at:]))
         name = self._names[ids]
-        classes, small = self.model.features(name, starts)
+        classes, small = self.model.features(name, starts, self._lexicon.hash[ids])
         for at in range(0, len(name), BATCH):
             part = slice(at, at + BATCH)
             self.model.learn(name[part], classes[part], small[part], self.seen)
@@ -469,7 +488,7 @@ class Scorer:
         beyond = np.isnan(logs)
         logs[beyond] = 0
         n = np.diff(np.append(starts, len(ids)))
-        classes, small = model.features(name, starts)
+        classes, small = model.features(name, starts, self._lexicon.hash[ids])
         fit = np.concatenate([
             model.log_probabilities(name[at:at + PIECE], classes[at:at + PIECE],
                                     small[at:at + PIECE]).astype(np.float64)

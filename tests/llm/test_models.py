@@ -116,3 +116,25 @@ def test_probabilities_sum_to_one(prose):
             np.repeat(small[-1:], len(unknown), 0)) + np.log(lm.SMOOTH) - np.log(share)
         assert np.exp(log_p).sum() + np.exp(log_u).sum() == pytest.approx(1, abs=1e-3)
         context = context[::-1]
+
+
+def test_rarer_words_are_known_by_themselves_as_context():
+    """Two words beyond the frequent ones, of one class, each followed by a word of its own."""
+    frequent = [b"f%d" % k for k in range(lm.WORDS + 100)]
+    _, kinds = lm.hashes([b"rare%d" % k for k in range(200)])
+    one, other = np.flatnonzero(kinds == np.bincount(kinds).argmax())[:2].tolist()
+    one, other = b"rare%d" % one, b"rare%d" % other
+    words = [lm.END, *frequent, one, other]
+    h, kind = lm.hashes(words)
+    order = np.argsort(h)
+    counts = np.array([90_000, *[60_000 - 90 * k for k in range(len(frequent))], 1, 1])
+    by_kind = {int(k): (int(counts[kind == k].sum()), int((kind == k).sum()))
+               for k in np.unique(kind)}
+    model = lm.Model.start(int(counts.sum()), len(words), h[order], counts[order], kind[order],
+                           by_kind)
+    left, right = frequent[10], frequent[400]
+    trainer = lm.Trainer(model)
+    for _ in range(20):
+        trainer.add([one + b" " + left, other + b" " + right] * 20)
+    score = lm.Scorer(model).score([a + b" " + b for a in (one, other) for b in (left, right)])[3]
+    assert score[0] + score[3] > score[1] + score[2] + 0.5
