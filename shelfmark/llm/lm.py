@@ -186,7 +186,7 @@ class Model:
         end = hashes([END])
         last, skip = _before(name, starts, self.names(*end)[0])
         pair = ((last * 65_599 + skip).astype(np.uint64) * _HASH >> np.uint64(40)).astype(np.int64)
-        # Rows of one word as the last and as the skip differ; without a rare one there is one more.
+        # Rows of one word as the last and as the skip differ; without a rare one it is one of zeros.
         word = np.full(len(name), OTHERS)
         if h is not None:
             last_word, skip_word = _before(h, starts, end[0][0])
@@ -244,6 +244,7 @@ class Model:
             often[rows] += counts
             sums *= (RATE / np.sqrt(often[rows])).astype(np.float32)[:, None]
             weights[rows] -= sums
+        self.class_rows[-1] = 0  # it stands for no word, and a row of most tokens leaps in a batch
 
 
 def _before(values: np.ndarray, starts: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:

@@ -138,3 +138,5 @@ def test_rarer_words_are_known_by_themselves_as_context():
         trainer.add([one + b" " + left, other + b" " + right] * 20)
     score = lm.Scorer(model).score([a + b" " + b for a in (one, other) for b in (left, right)])[3]
     assert score[0] + score[3] > score[1] + score[2] + 0.5
+    # Contexts without a rare word have a row that learns nothing.
+    assert model.class_rows[:-1].any() and not model.class_rows[-1].any()
